@@ -16,31 +16,33 @@ def class_gains(df: DataFrame, cls: str, conso: str, surface: str, rank: Mapping
                 price: float = PRICE_PER_KWH) -> DataFrame:
     """One row per transition to a better class that both classes have homes for.
 
-    ``conso`` is per square metre.  The table is read once for the class means;
-    each class row then lists its better classes, and an equality join on at
-    most ``len(rank)`` rows adds their means.
+    ``conso`` is per square metre.  The table is read once, for the class means.
+    These are at most ``len(rank)`` rows, so they meet in a single row, from which
+    each class takes the means of its better classes; there is no join.
     """
-    means = (df.filter(col(cls).isin(list(rank))).groupBy(col(cls).alias("classe_depart"))
-             .agg(F.avg(col(conso)).alias("conso_moyenne_depart_kwh_m2"),
-                  F.avg(col(surface)).alias("surface_moyenne_m2"),
-                  F.count(F.lit(1)).alias("nb_logements")))
+    means = df.filter(col(cls).isin(list(rank))).groupBy(col(cls).alias("cls")).agg(
+        F.avg(col(conso)).alias("conso"), F.avg(col(surface)).alias("surface"),
+        F.count(F.lit(1)).alias("homes"))
     better = F.create_map(*[
         part for start in rank for part in (
             F.lit(start),
             F.array(*[F.lit(end) for end in rank if rank[end] < rank[start]]).cast("array<string>"))])
-    ends = means.select(F.col("classe_depart").alias("classe_arrivee"),
-                        F.col("conso_moyenne_depart_kwh_m2").alias("conso_moyenne_arrivee_kwh_m2"))
-    pairs = join_small(
-        means.withColumn("classe_arrivee", F.explode(F.element_at(better, F.col("classe_depart")))),
-        ends, "classe_arrivee", "inner", bound=len(rank))
-    per_m2 = F.col("conso_moyenne_depart_kwh_m2") - F.col("conso_moyenne_arrivee_kwh_m2")
-    per_home = per_m2 * F.col("surface_moyenne_m2")
+    met = means.agg(F.collect_list(F.struct("cls", "conso", "surface", "homes")).alias("starts"),
+                    F.map_from_entries(F.collect_list(F.struct("cls", "conso"))).alias("conso_of"))
+    pairs = (met.select("conso_of", F.explode("starts").alias("start"))
+             .select("conso_of", "start.*", F.explode(F.element_at(better, F.col("start.cls"))).alias("end"))
+             .filter(F.map_contains_key("conso_of", F.col("end")))
+             .withColumn("after", F.element_at("conso_of", F.col("end"))))
+    per_m2 = F.col("conso") - F.col("after")
+    per_home = per_m2 * F.col("surface")
     return pairs.select(
-        transition_label(F.col("classe_depart"), F.col("classe_arrivee")).alias("transition"),
-        "classe_depart", "classe_arrivee", "conso_moyenne_depart_kwh_m2",
-        "conso_moyenne_arrivee_kwh_m2", per_m2.alias("gain_moyen_kwh_m2_an"),
-        per_home.alias("gain_moyen_kwh_an"), (per_home * price).alias("gain_moyen_eur_an"),
-        "surface_moyenne_m2", "nb_logements")
+        transition_label(F.col("cls"), F.col("end")).alias("transition"),
+        F.col("cls").alias("classe_depart"), F.col("end").alias("classe_arrivee"),
+        F.col("conso").alias("conso_moyenne_depart_kwh_m2"),
+        F.col("after").alias("conso_moyenne_arrivee_kwh_m2"),
+        per_m2.alias("gain_moyen_kwh_m2_an"), per_home.alias("gain_moyen_kwh_an"),
+        (per_home * price).alias("gain_moyen_eur_an"),
+        F.col("surface").alias("surface_moyenne_m2"), F.col("homes").alias("nb_logements"))
 
 
 def adjacent_gains(gains: DataFrame,

@@ -2,10 +2,11 @@
 
 ``err > 0`` is one mergeable-sketch job over all columns.  ``err = 0`` would make
 that sketch keep every value and send it to the driver, so exact quantiles are
-found by narrowing instead: a sketch brackets the wanted rank, one aggregation
-counts around the bracket, and the next round looks only inside it.  A round
-shrinks the candidates a few hundred times, so the driver sees two numbers per
-round and in the end at most ``FINAL_ROWS`` candidate values per rank.
+found by narrowing instead: a sketch gives a value on either side of every wanted
+rank, and one aggregation counts the rows between these edges.  While too many rows
+are left between two edges the next round looks only there; a round leaves about
+one in 250.  The driver sees a few counts per round and at the end at most
+``FINAL_ROWS`` distinct values per rank.
 """
 
 from __future__ import annotations
@@ -65,8 +66,8 @@ def value_counts(df: DataFrame, cols) -> dict[str, int]:
 
 
 @dataclass
-class _Target:
-    """One wanted rank: candidates lie strictly between low and high."""
+class _Search:
+    """One wanted rank; ``inside`` rows lie strictly between low and high."""
 
     name: str
     rank: int
@@ -85,73 +86,106 @@ class _Target:
             keep = keep & (x < self.high)
         return F.when(keep, x)
 
-    def narrow(self, probe: float, smaller: int, equal: int) -> None:
-        """Use the number of values below and equal to ``probe`` in the whole column."""
-        if self.value is not None:
+    def settle(self, edges: list[float], counts: dict, values: dict) -> None:
+        """Find the rank among the counted intervals: even codes lie between two
+        edges, odd codes on an edge."""
+        seen = 0
+        for code in range(2 * len(edges) + 1):
+            n = counts.get(code, 0)
+            if seen + n >= self.rank:
+                break
+            seen += n
+        if code % 2:
+            self.value = edges[code // 2]
             return
-        if smaller < self.rank <= smaller + equal:
-            self.value = probe
-        elif self.rank <= smaller:
-            if self.high is None or probe < self.high:
-                self.high = probe
-                self.inside = smaller - self.below
-        elif self.low is None or probe > self.low:
-            self.inside -= smaller + equal - self.below
-            self.low, self.below = probe, smaller + equal
+        for value, n in sorted(values.get(code, ())):
+            seen += n
+            if seen >= self.rank:
+                self.value = value
+                return
+        self._narrow(edges, code // 2, seen, seen + n)
+
+    def _narrow(self, edges: list[float], place: int, seen: int, upto: int) -> None:
+        """Take over the neighbouring edges where they are tighter than the known ends."""
+        end = self.below + self.inside
+        if place > 0 and (self.low is None or edges[place - 1] > self.low):
+            self.low, self.below = edges[place - 1], seen
+        if place < len(edges) and (self.high is None or edges[place] < self.high):
+            self.high, end = edges[place], upto
+        self.inside = end - self.below
 
 
 def values_at_ranks(df: DataFrame, ranks: dict[str, list[int]],
                     sizes: dict[str, int]) -> dict[str, list[float]]:
     """The values at 1-based ranks of the sorted columns, exactly."""
-    targets = [_Target(c, r, sizes[c]) for c, rs in ranks.items() for r in dict.fromkeys(rs)]
-    while True:
-        wide = [t for t in targets if t.value is None and t.inside > FINAL_ROWS]
-        if not wide:
-            break
-        _narrow(df, wide)
-    _finish(df, [t for t in targets if t.value is None])
-    found = {(t.name, t.rank): t.value for t in targets}
+    searches = [_Search(c, r, sizes[c]) for c, rs in ranks.items() for r in dict.fromkeys(rs)]
+    while open_ones := [s for s in searches if s.value is None]:
+        _round(df, open_ones)
+    found = {(s.name, s.rank): s.value for s in searches}
     return {c: [found[c, r] for r in rs] for c, rs in ranks.items()}
 
 
-def _narrow(df: DataFrame, targets: list[_Target]) -> None:
-    """One round: bracket every rank with a sketch, then count around the brackets."""
+def _round(df: DataFrame, searches: list[_Search]) -> None:
+    """Put an edge on either side of every rank and count the rows between."""
+    spans = _brackets(df, searches)
+    edges, kept = defaultdict(set), defaultdict(list)
+    last = all(_expected(s) <= FINAL_ROWS for s in searches)
+    for s, (a, b) in zip(searches, spans):
+        edges[s.name] |= {v for v in (a, b) if v is not None}
+        if last:
+            kept[s.name].append((a, b))
+    edges = {name: sorted(values) for name, values in edges.items()}
+    counts, values = _count_between(df, edges, kept)
+    for s in searches:
+        s.settle(edges[s.name], counts[s.name], values[s.name])
+
+
+def _expected(search: _Search) -> float:
+    """Most rows that can lie within the search's next bracket."""
+    return search.inside if search.inside <= FINAL_ROWS else 4 * SKETCH_ERROR * search.inside + 1
+
+
+def _brackets(df: DataFrame, searches: list[_Search]) -> list[tuple]:
+    """(a, b) around every rank by one sketch job; short candidate lists need no sketch."""
+    wide = [s for s in searches if s.inside > FINAL_ROWS]
+    if not wide:
+        return [(s.low, s.high) for s in searches]
     spans = {}
-    for t in targets:
-        at = (t.rank - t.below) / t.inside
-        spans[id(t)] = (max(0.0, at - SKETCH_ERROR), min(1.0, at + SKETCH_ERROR))
+    for s in wide:
+        at = (s.rank - s.below) / s.inside
+        spans[id(s)] = (max(0.0, at - SKETCH_ERROR), min(1.0, at + SKETCH_ERROR))
     probs = sorted({p for span in spans.values() for p in span})
-    names = [str(i) for i in range(len(targets))]
-    view = df.select([t.candidates().alias(n) for t, n in zip(targets, names)])
-    sketches = view.approxQuantile(names, probs, SKETCH_ERROR)
-    probes = [(t, sketch[probs.index(p)])
-              for t, sketch in zip(targets, sketches) for p in spans[id(t)]]
-    counts = []
-    for i, (t, probe) in enumerate(probes):
-        x = number(col(t.name))
-        counts += [F.count(F.when(x < probe, 1)).alias(f"below_{i}"),
-                   F.count(F.when(x == probe, 1)).alias(f"equal_{i}")]
-    row = df.agg(*counts).first()
-    for i, (t, probe) in enumerate(probes):
-        t.narrow(probe, row[f"below_{i}"], row[f"equal_{i}"])
-
-
-def _finish(df: DataFrame, targets: list[_Target]) -> None:
-    """Read the few candidates left per rank and pick the value."""
-    if not targets:
-        return
-    pairs = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("target"), t.candidates().alias("value"))
-        for i, t in enumerate(targets)]))
-    rows = (df.select(pairs.alias("pair")).select("pair.*").where("value is not null")
-            .groupBy("target", "value").agg(F.count(F.lit(1)).alias("n")).collect())
-    groups = defaultdict(list)
-    for target, value, n in rows:
-        groups[target].append((value, n))
-    for i, t in enumerate(targets):
-        seen = t.below
-        for value, n in sorted(groups[i]):
-            seen += n
-            if seen >= t.rank:
-                t.value = value
-                break
+    ranges = list(dict.fromkeys((s.name, s.low, s.high) for s in wide))
+    first = {(s.name, s.low, s.high): s for s in reversed(wide)}
+    names = [str(i) for i in range(len(ranges))]
+    view = df.select([first[r].candidates().alias(n) for r, n in zip(ranges, names)])
+    sketches = dict(zip(ranges, view.approxQuantile(names, probs, SKETCH_ERROR)))
+    return [tuple(sketches[s.name, s.low, s.high][probs.index(p)] for p in spans[id(s)])
+            if id(s) in spans else (s.low, s.high) for s in searches]
+
+
+def _count_between(df: DataFrame, edges: dict[str, list[float]],
+                   kept: dict[str, list[tuple]]) -> tuple[dict, dict]:
+    """Rows per interval code, and per value within the brackets to keep."""
+    parts = []
+    for i, (name, marks) in enumerate(edges.items()):
+        x = number(col(name))
+        code = F.when(x.isNull(), None)
+        for k, mark in enumerate(marks):
+            code = code.when(x < mark, 2 * k).when(x == mark, 2 * k + 1)
+        value = F.lit(None).cast("double")
+        for a, b in dict.fromkeys(kept.get(name, ())):
+            near = (F.lit(True) if a is None else x > a) & (F.lit(True) if b is None else x < b)
+            value = F.coalesce(value, F.when(near, x))
+        parts.append(F.struct(F.lit(i).alias("column"),
+                              code.otherwise(2 * len(marks)).alias("code"), value.alias("value")))
+    part = parts[0] if len(parts) == 1 else F.explode(F.array(*parts))
+    rows = (df.select(part.alias("part")).select("part.*").where("code is not null")
+            .groupBy("column", "code", "value").agg(F.count(F.lit(1)).alias("n")).collect())
+    names = list(edges)
+    counts, values = defaultdict(lambda: defaultdict(int)), defaultdict(lambda: defaultdict(list))
+    for column, code, value, n in rows:
+        counts[names[column]][code] += n
+        if value is not None:
+            values[names[column]][code].append((value, n))
+    return counts, values

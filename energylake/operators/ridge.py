@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 
 from energylake.functions.columns import col
 
+FIRST_ROWS = 1_000
+FAR_OFF = 1_000.0
+
 
 @dataclass(frozen=True)
 class Moments:
@@ -64,18 +67,33 @@ def fold_moments(df: DataFrame, features: Sequence[str], y: str, fold: str | Non
                  centre: Sequence[float] | None = None) -> dict[int, Moments]:
     """Moments per fold number (fold 0 alone without a fold column), in one job.
 
-    Sums are taken around ``centre``, which keeps them from cancelling; any point
-    near the data will do, by default the column means.
+    Sums are taken around ``centre``, which keeps them from cancelling.  Any point
+    near the data will do; by default the mean of a few rows, and should that turn
+    out to be far off, the sums are taken again around the true means.
     """
     names = [*features, y]
-    if centre is None:
-        centre = df.agg(*[F.avg(col(c)) for c in names]).first()
-    shift = np.array([0.0 if v is None else v for v in centre], dtype=float)
     rows = df.select((col(fold) if fold else F.lit(0)).cast("int").alias("fold"),
                      *[col(c).cast("double").alias(f"x{i}") for i, c in enumerate(names)])
+    if centre is None:
+        centre = _rough_means(rows, len(names))
+    found = _moments_around(rows, np.array(centre, dtype=float))
+    whole = reduce(Moments.__add__, found.values())
+    if np.any(np.abs(whole.mean - centre) > FAR_OFF * whole.deviations()):
+        found = _moments_around(rows, whole.mean)
+    return found
+
+
+def _rough_means(rows: DataFrame, width: int) -> np.ndarray:
+    """Means over the first few rows, a starting point only."""
+    first = np.array([r[1:] for r in rows.head(FIRST_ROWS)], dtype=float).reshape(-1, width)
+    known = np.isfinite(first)
+    return np.where(known, first, 0.0).sum(axis=0) / np.maximum(known.sum(axis=0), 1)
+
+
+def _moments_around(rows: DataFrame, shift: np.ndarray) -> dict[int, Moments]:
     sums = (rows.mapInArrow(_product_sums(shift), "fold int, i int, j int, value double")
             .groupBy("fold", "i", "j").agg(F.sum("value").alias("value")).collect())
-    size, raw = len(names) + 1, {}
+    size, raw = len(shift) + 1, {}
     for k, i, j, value in sums:
         matrix = raw.setdefault(k, np.zeros((size, size)))
         matrix[i, j] = matrix[j, i] = value

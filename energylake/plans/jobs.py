@@ -13,11 +13,14 @@ from energylake import fixed_values as fv
 from energylake.functions.columns import band_closed, col, safe_ratio
 from energylake.operators import cleaning as cl
 from energylake.operators.features import dummies, one_hot, training_target, vocabulary
+from energylake.operators.gains import class_gains
 from energylake.operators.metrics import class_distribution, regression_metrics
 from energylake.operators.ridge import Moments, best_alpha, cross_validate, fold_moments
 from energylake.operators.rows import Bucket, fold_by_key, hash_bucket, split_by_key
-from energylake.operators.scoring import RidgeModel, Term, diagnose, prediction
-from energylake.sources.layers import read_bronze, read_layer, write_layer
+from energylake.operators.scoring import (
+    RidgeModel, Term, diagnose, load_model, prediction, save_model, score_homes)
+from energylake.sources.layers import (
+    read_bronze, read_json_table, read_layer, write_json_table, write_layer)
 
 
 @dataclass(frozen=True)
@@ -99,6 +102,12 @@ def silver_to_gold(spark: SparkSession, silver: str, gold: str) -> DataFrame:
     return read_layer(spark, gold)
 
 
+def publish_gains(gold: DataFrame, path: str, price: float = fv.PRICE_PER_KWH) -> None:
+    """Gains per class transition as one JSON document."""
+    write_json_table(class_gains(gold, "etiquette_dpe", "conso_5_usages_par_m2_ef",
+                                 "surface_habitable_logement", fv.CLASS_RANK, price), path)
+
+
 @dataclass(frozen=True)
 class TrainingSpec:
     """Columns and settings of the regression."""
@@ -178,3 +187,19 @@ def evaluate(rows: DataFrame, model: RidgeModel, alpha: float) -> DataFrame:
         F.lit(float(alpha)).alias("alpha"), pick("mae", "test").alias("mae"),
         pick("rmse", "test").alias("rmse"), pick("r2", "train").alias("r2_train"),
         pick("r2", "test").alias("r2_test")))
+
+
+def publish_model(df: DataFrame, model_path: str, metrics_path: str,
+                  spec: TrainingSpec = TrainingSpec()) -> DataFrame:
+    """Train, keep the model as a table and its metrics as a JSON document."""
+    model, metrics, _ = train(df, spec)
+    save_model(model, df.sparkSession, model_path)
+    write_json_table(metrics, metrics_path)
+    return read_json_table(df.sparkSession, metrics_path)
+
+
+def score_layer(spark: SparkSession, homes: str, model: str, out: str,
+                surface: str = "surface_habitable_logement") -> DataFrame:
+    """Score a whole table of homes and write the result."""
+    write_layer(score_homes(read_layer(spark, homes), load_model(spark, model), surface), out)
+    return read_layer(spark, out)

@@ -7,15 +7,13 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# AQE picks join sides, splits skewed partitions and merges small ones at run
-# time.  A stage whose files are read column-pruned profits from wide splits.
+# AQE picks join sides, splits skewed partitions and merges small ones at run time.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
 
 from energylake.fixed_values import PUBLISH_OPTIONS
 from energylake.functions.columns import col, encode_json
@@ -16,18 +17,24 @@ def as_messages(df: DataFrame) -> DataFrame:
 
 
 def publish(df: DataFrame, topic: str, options: Mapping[str, str], fmt: str = "kafka") -> None:
-    """Send every row of a batch to a topic, from all executors at once.
+    """Send every row of a batch to a topic, from all executors at once."""
+    publish_text(as_messages(df), topic, options, fmt)
+
+
+def publish_text(df: DataFrame, topic: str, options: Mapping[str, str],
+                 fmt: str = "kafka") -> None:
+    """Send rows that are JSON text already, unchanged.
 
     Every replica confirms and failed sends are repeated; ``options`` names the
     brokers and may override.
     """
-    (as_messages(df).write.format(fmt).mode("append").option("topic", topic)
+    (df.select("value").write.format(fmt).mode("append").option("topic", topic)
      .options(**{**PUBLISH_OPTIONS, **options}).save())
 
 
 def publish_stream(df: DataFrame, topic: str, options: Mapping[str, str], checkpoint: str,
-                   fmt: str = "kafka"):
-    """Send a stream, for example of pages as they appear; a restart goes on where it stopped."""
-    return (as_messages(df).writeStream.format(fmt).option("topic", topic)
+                   fmt: str = "kafka") -> StreamingQuery:
+    """Send a stream of JSON text, such as a paged source; a restart goes on where it stopped."""
+    return (df.select("value").writeStream.format(fmt).option("topic", topic)
             .options(**{**PUBLISH_OPTIONS, **options})
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

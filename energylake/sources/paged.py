@@ -11,6 +11,7 @@ checkpoint holds the row reached, which makes a pull resumable.
 from __future__ import annotations
 
 import json
+import sys
 import time
 import urllib.error
 import urllib.parse
@@ -21,11 +22,15 @@ from typing import Protocol
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyspark import cloudpickle
 from pyspark.sql.datasource import (
     DataSource, DataSourceReader, DataSourceStreamReader, InputPartition)
 
 from energylake.fixed_values import PAGE_SIZE
 
+# the reader classes travel whole, so executors need not have this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PAGES_PER_TASK = 100
 TEXT_ROWS = "value string"
 
