@@ -4,6 +4,7 @@
     clean   bronze to silver               gold    silver to gold and its documents
     train   gold to a model                score   homes scored with a model
     export  gold in plain types for reporting tools
+    show    overview figures of the chosen homes
 """
 
 from __future__ import annotations
@@ -11,7 +12,9 @@ from __future__ import annotations
 import argparse
 
 from energylake import fixed_values as fv
+from energylake.operators.rows import is_empty
 from energylake.plans import jobs
+from energylake.plans.dashboard import overview, selected_homes
 from energylake.session import build_session
 from energylake.sources.layers import bi_export, dwelling_schema, read_layer, write_layer
 from energylake.sources.messages import publish_text
@@ -29,7 +32,8 @@ def pull(spark, a) -> None:
 
 
 def ingest(spark, a) -> None:
-    stream = read_stream(spark, topic_options(a.brokers, max_per_trigger=a.batch_size))
+    stream = read_stream(spark, topic_options(a.brokers, max_per_trigger=a.batch_size,
+                                              min_partitions=a.tasks))
     ingest_to_bronze(stream, a.bronze, a.checkpoint).awaitTermination()
     bronze_totals(spark, a.bronze).show()
 
@@ -55,6 +59,15 @@ def export(spark, a) -> None:
     write_layer(bi_export(read_layer(spark, a.gold)), a.out)
 
 
+def show(spark, a) -> None:
+    homes = selected_homes(read_layer(spark, a.gold), classes=a.classes, kinds=a.kinds,
+                           surfaces=a.surface and tuple(a.surface))
+    if is_empty(homes):
+        print("no home passes the filters")
+        return
+    overview(homes).orderBy("panel", "label").show(1000, truncate=False)
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="energylake")
     stages = top.add_subparsers(required=True)
@@ -72,12 +85,17 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--page-size", type=int, default=fv.PAGE_SIZE)
     p = stage(ingest, "brokers", "bronze", "checkpoint")
     p.add_argument("--batch-size", type=int, help="most messages per micro-batch (default: no limit)")
+    p.add_argument("--tasks", type=int, help="least tasks per micro-batch (default: topic partitions)")
     p = stage(clean, "bronze", "silver", "staging")
     p.add_argument("--infer", action="store_true", help="infer types and keep all columns")
     stage(gold, "silver", "gold", "gains")
     stage(train, "gold", "model", "metrics")
     stage(score, "homes", "model", "out")
     stage(export, "gold", "out")
+    p = stage(show, "gold")
+    p.add_argument("--classes", nargs="+")
+    p.add_argument("--kinds", nargs="+", help="building types")
+    p.add_argument("--surface", nargs=2, type=float, metavar=("LOW", "HIGH"))
     return top
 
 

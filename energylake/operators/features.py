@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from energylake.functions.columns import col, finite_ratio
 from energylake.operators.rows import filter_open
 
-MAX_VALUES = 10_000
+MAX_VALUES = 1_000
 
 
 def training_target(df: DataFrame, num: str, den: str, low: float, high: float,

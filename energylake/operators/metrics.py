@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from energylake.functions.columns import col
-from energylake.operators.quantiles import medians
+from energylake.operators.quantiles import medians, quantiles
 
 
 def class_distribution(df: DataFrame, c: str, skip_null: bool = False,
@@ -74,14 +74,15 @@ def profile_categories(df: DataFrame, cols: Sequence[str], k: int = 3) -> DataFr
     counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("count"))
     best = Window.partitionBy("feature").orderBy(F.desc("count"), F.asc("value"))
     top = counts.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    sizes = counts.groupBy("feature").agg(F.count(F.lit(1)).alias("distinct_values"))
+    # asking for the counts as well lets both branches share one shuffle
+    sizes = counts.groupBy("feature").agg(F.count(F.when(F.col("count") > 0, 1)).alias("distinct_values"))
     # at most one row per profiled column
     return top.join(F.broadcast(sizes), "feature")
 
 
-def target_summary(df: DataFrame, c: str) -> DataFrame:
-    """Count, exact median, minimum and maximum."""
-    middle = medians(df, [c])[c]
+def target_summary(df: DataFrame, c: str, rel_err: float = 0) -> DataFrame:
+    """Count, median, minimum and maximum; an error bound spares the search passes."""
+    middle = next(iter(quantiles(df, [c], [0.5], rel_err)[c]), None) if rel_err else medians(df, [c])[c]
     return df.agg(F.count(col(c)).alias("rows"), F.lit(middle).cast("double").alias("median"),
                   F.min(col(c)).alias("min"), F.max(col(c)).alias("max"))
 

@@ -47,17 +47,23 @@ def union_layers(*frames: DataFrame) -> DataFrame:
 
 
 def union_domain(df: DataFrame, first: str, second: str, out: str) -> DataFrame:
-    """Sorted distinct values of two columns together."""
-    return (df.select(col(first).alias(out)).union(df.select(col(second)))
-            .distinct().orderBy(out))
+    """Sorted distinct values of two columns together, read in one scan."""
+    return df.select(F.explode(F.array(col(first), col(second))).alias(out)).distinct().orderBy(out)
 
 
 def count_rows(df: DataFrame, out: str = "rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(out))
 
 
-def slice_rows(df: DataFrame, order_by: str, limit: int | None = None,
-               offset: int = 0) -> DataFrame:
+def ordered(df: DataFrame, *keys: Column, partitions: int | None = None) -> DataFrame:
+    """Globally sorted rows; a large table wants more partitions than the session's default."""
+    if partitions is None:
+        return df.orderBy(*keys)
+    return df.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys)
+
+
+def slice_rows(df: DataFrame, order_by: str, limit: int | None = None, offset: int = 0,
+               partitions: int | None = None) -> DataFrame:
     """``limit`` rows after the first ``offset`` rows in the order of a unique column.
 
     A short slice near the start is a bounded top-k.  Any other would send the
@@ -65,7 +71,7 @@ def slice_rows(df: DataFrame, order_by: str, limit: int | None = None,
     are searched first and the slice is an ordinary range filter.
     """
     if limit is None and offset == 0:
-        return df.orderBy(col(order_by))
+        return ordered(df, col(order_by), partitions=partitions)
     if limit is not None and offset + limit <= TOP_ROWS:
         return df.orderBy(col(order_by)).offset(offset).limit(limit)
     if not numeric_columns(df, [order_by]):
@@ -87,7 +93,7 @@ def slice_rows(df: DataFrame, order_by: str, limit: int | None = None,
         df = df.filter(x > at[ends["after"]])
     if ends["upto"] in at:
         df = df.filter(x <= at[ends["upto"]])
-    return df.orderBy(col(order_by))
+    return ordered(df, col(order_by), partitions=partitions)
 
 
 def hash_bucket(cols: Sequence[str], seed: int, n: int) -> Column:
@@ -117,9 +123,11 @@ def fold_by_key(df: DataFrame, key: Sequence[str], folds: int = 5, seed: int = 4
     return df.withColumn(out, bucket(key, seed + 1, folds).cast("int"))
 
 
-def shuffle_rows(df: DataFrame, key: Sequence[str], seed: int = 42) -> DataFrame:
+def shuffle_rows(df: DataFrame, key: Sequence[str], seed: int = 42,
+                 partitions: int | None = None) -> DataFrame:
     """Rows in a seeded random order that is the same on every run."""
-    return df.orderBy(F.xxhash64(*[col(c) for c in key], F.lit(seed)), *[col(c) for c in key])
+    columns = [col(c) for c in key]
+    return ordered(df, F.xxhash64(*columns, F.lit(seed)), *columns, partitions=partitions)
 
 
 def join_small(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "left",

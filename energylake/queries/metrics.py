@@ -8,6 +8,9 @@ from energylake.functions.columns import band_closed
 from energylake.operators import metrics as m
 from energylake.operators import rows as r
 from energylake.operators.quantiles import quantiles as find_quantiles
+from energylake.plans.dashboard import OverviewSpec
+from energylake.plans.dashboard import overview as make_overview
+from energylake.plans.dashboard import selected_homes
 from energylake.queries.registry import query, table
 
 YEAR_BANDS = [(None, 1997, "avant 1997"), (1997, 1998, "1997-1998"), (1999, 2000, "1999-2000")]
@@ -147,3 +150,31 @@ def regression_metrics(spark, sf):
     found = m.regression_metrics(scored, "l_extendedprice", "pred", ["l_returnflag"])
     return found.select("l_returnflag", "rows", F.round("mae", 4).alias("mae"),
                         F.round("rmse", 4).alias("rmse"), F.round("r2", 8).alias("r2"))
+
+
+@query("""with homes as (
+            select l_returnflag, l_linestatus, year(l_shipdate)::varchar as year, l_quantity,
+                   case when l_linenumber <> 7 then l_extendedprice end as price, l_tax
+            from lineitem
+            where l_returnflag in ('A', 'N') and l_quantity between 5 and 45
+                  and l_linestatus in ('F', 'O')),
+          panels as (
+            select 'class' as panel, l_returnflag as label, * from homes
+            union all select 'type', l_linestatus, * from homes
+            union all select 'period', year, * from homes
+            union all select 'all', null, * from homes)
+          select panel, label, count(*) as homes,
+                 round(count(*) * 100.0::double / sum(count(*)) over (partition by panel), 6) as percent,
+                 round(avg(price), 4) as mean_conso, round(avg(l_quantity), 6) as mean_surface,
+                 round(avg(l_tax), 8) as mean_cost
+          from panels group by panel, label""")
+def overview(spark, sf):
+    homes = table(spark, sf, "lineitem").select(
+        "l_returnflag", "l_linestatus", F.year("l_shipdate").alias("year"), "l_quantity",
+        F.when(F.col("l_linenumber") != 7, F.col("l_extendedprice")).alias("price"), "l_tax")
+    spec = OverviewSpec("l_returnflag", "l_linestatus", "year", "price", "l_quantity", "l_tax")
+    chosen = selected_homes(homes, spec, ["A", "N"], (5, 45), ["F", "O"])
+    return make_overview(chosen, spec).select(
+        "panel", "label", "homes", F.round("percent", 6).alias("percent"),
+        F.round("mean_conso", 4).alias("mean_conso"),
+        F.round("mean_surface", 6).alias("mean_surface"), F.round("mean_cost", 8).alias("mean_cost"))

@@ -15,12 +15,18 @@ from energylake.operators.metrics import topic_totals
 
 
 def topic_options(brokers: str, topics: Mapping[str, str] = TOPIC_FOLDER,
-                  max_per_trigger: int | None = None) -> dict[str, str]:
-    """Options that subscribe to all topics from the earliest message on."""
+                  max_per_trigger: int | None = None,
+                  min_partitions: int | None = None) -> dict[str, str]:
+    """Options that subscribe to all topics from the earliest message on.
+
+    A topic often has few partitions; ``min_partitions`` lets more tasks share them.
+    """
     options = {"kafka.bootstrap.servers": brokers, "subscribe": ",".join(topics),
                "startingOffsets": "earliest"}
     if max_per_trigger is not None:
         options["maxOffsetsPerTrigger"] = str(max_per_trigger)
+    if min_partitions is not None:
+        options["minPartitions"] = str(min_partitions)
     return options
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from energylake.operators import gains as g
 from energylake.operators import metrics as m
+from energylake.plans.dashboard import OverviewSpec, overview, selected_homes
 
 
 @pytest.fixture(scope="module")
@@ -70,6 +71,24 @@ def test_regression_metrics_of_a_constant_target(spark):
 
 def test_target_summary(homes):
     assert rows(m.target_summary(homes, "v")) == [(4, 3.0, 1.0, 8.0)]
+    assert rows(m.target_summary(homes, "v", rel_err=0.01)) == [(4, 2.0, 1.0, 8.0)]
+
+
+def test_overview_reads_the_table_once_and_skips_missing_labels(spark):
+    df = spark.createDataFrame(
+        [("A", "Maison", "p", 10.0, 50.0, 1.0), ("B", None, "p", None, 70.0, 3.0),
+         ("A", "Maison", "q", 30.0, 60.0, None), (None, "Studio", "q", 50.0, 20.0, 2.0)],
+        "c string, t string, p string, conso double, surface double, cost double")
+    spec = OverviewSpec("c", "t", "p", "conso", "surface", "cost")
+    out = overview(df, spec)
+    assert out._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 1
+    found = {(r["panel"], r["label"]): tuple(r)[2:] for r in out.collect()}
+    assert found[("all", None)] == (4, 100.0, 30.0, 50.0, 2.0)
+    assert found[("class", "A")][:3] == (2, pytest.approx(200 / 3), 20.0)
+    assert found[("class", "B")][2] is None
+    assert set(found) == {("all", None), ("class", "A"), ("class", "B"), ("type", "Maison"),
+                          ("type", "Studio"), ("period", "p"), ("period", "q")}
+    assert overview(selected_homes(df, spec, ["A"], (55, 100)), spec).where("panel = 'all'").first()["homes"] == 1
 
 
 GOLDEN = [("F->E", 380, 290, 90, 6480, 1620), ("E->D", 290, 210, 80, 5760, 1440),

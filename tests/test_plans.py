@@ -28,7 +28,7 @@ def test_filters_and_columns_reach_the_scan(spark):
     spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
-def test_command_line_stages_work_together(spark, tmp_path):
+def test_command_line_stages_work_together(spark, tmp_path, capsys):
     import json
     import random
 
@@ -62,6 +62,11 @@ def test_command_line_stages_work_together(spark, tmp_path):
     run("train", "--gold", place["gold"], "--model", place["model"], "--metrics", place["metrics"])
     run("score", "--homes", place["gold"], "--model", place["model"], "--out", place["scored"])
     run("export", "--gold", place["gold"], "--out", place["export"])
+    run("show", "--gold", place["gold"], "--classes", "B", "C", "--surface", "20", "60")
+    shown = capsys.readouterr().out
+    assert "|class |B " in shown and "|class |F " not in shown
+    run("show", "--gold", place["gold"], "--classes", "A")
+    assert "no home passes" in capsys.readouterr().out
     gains = spark.read.option("multiLine", True).json(place["gains"])
     assert gains.count() == 10 and gains.where("gain_moyen_kwh_m2_an > 0").count() == 10
     metrics = spark.read.option("multiLine", True).json(place["metrics"]).first()

@@ -60,6 +60,11 @@ def test_shuffle_keeps_rows_and_changes_order(thousand):
     assert once == again and sorted(once) == keys(thousand.orderBy("k")) and once != sorted(once)
 
 
+def test_order_with_own_partitions(thousand):
+    wide = r.slice_rows(thousand, "k", None, 10, partitions=13)
+    assert wide.rdd.getNumPartitions() == 13 and keys(wide) == [3 * i for i in range(10, 1000)]
+
+
 def test_filters(spark):
     df = spark.createDataFrame([("A", 1.0), ("B", 5.0), (None, 3.0), ("C", 5.1)], "c string, x double")
     kept = r.filter_rows(df, isin={"c": ["A", "B"]}, between={"x": (1, 5)})

@@ -65,7 +65,9 @@ def test_topic_options():
     assert topic_options("b:9092", max_per_trigger=200) == {
         "kafka.bootstrap.servers": "b:9092", "subscribe": "open-data-existant,open-data-neuf",
         "startingOffsets": "earliest", "maxOffsetsPerTrigger": "200"}
-    assert "maxOffsetsPerTrigger" not in topic_options("b:9092")
+    assert topic_options("b:9092", {"a": "x"}, min_partitions=64) == {
+        "kafka.bootstrap.servers": "b:9092", "subscribe": "a", "startingOffsets": "earliest",
+        "minPartitions": "64"}
 
 
 def test_scoring_works_on_a_stream(spark):
