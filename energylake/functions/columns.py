@@ -87,8 +87,12 @@ def safe_ratio(num: Column, den: Column) -> Column:
 
 def finite_ratio(num: Column, den: Column) -> Column:
     """num / den; null for a zero denominator and for a result that is not finite."""
-    ratio = F.try_divide(num.try_cast("double"), den.try_cast("double"))
-    return F.when(F.abs(ratio) < float("inf"), ratio)
+    return finite(F.try_divide(num.try_cast("double"), den.try_cast("double")))
+
+
+def finite(c: Column) -> Column:
+    """``c`` with NaN and infinities as null."""
+    return F.when(F.abs(c) < float("inf"), c)
 
 
 def clamp(c: Column, low: float | None = None, high: float | None = None) -> Column:

@@ -48,7 +48,7 @@ def one_hot(df: DataFrame, cols: Sequence[str],
     """The category columns replaced by 0/1 columns, first value left out."""
     vocab = vocabulary(df, cols) if vocab is None else vocab
     return df.withColumns({
-        name: F.when(col(c) == v, 1.0).otherwise(0.0)
+        name: F.when(col(c).cast("string") == v, 1.0).otherwise(0.0)
         for name, (c, v) in dummies(vocab).items()}).drop(*cols)
 
 

@@ -23,6 +23,8 @@ from energylake.functions.columns import col, number
 
 FINAL_ROWS = 10_000
 SKETCH_ERROR = 0.001
+SKETCHES_PER_CORE = 2
+LEAST_SKETCHES = 200
 
 
 def numeric_columns(df: DataFrame, names) -> list[str]:
@@ -37,14 +39,25 @@ def quantiles(df: DataFrame, cols, probs, err: float = 0.01) -> dict[str, list[f
     if not cols:
         return {}
     if err > 0:
-        view = df.select([col(c).cast("double").alias(str(i)) for i, c in enumerate(cols)])
-        found = view.approxQuantile([str(i) for i in range(len(cols))], list(probs), err)
-        return dict(zip(cols, found))
+        return dict(zip(cols, sketched(df, [col(c).cast("double") for c in cols], probs, err)))
     sizes = value_counts(df, cols)
     wanted = {c: [max(1, math.ceil(p * sizes[c])) for p in probs] for c in cols if sizes[c]}
     return {**{c: [] for c in cols}, **values_at_ranks(df, wanted, sizes)}
 
 
+def sketched(df: DataFrame, columns: list[Column], probs, err: float) -> list[list[float]]:
+    """Quantiles of several columns from one sketch job.
+
+    Every task sends one sketch per column to a single merging task.  Hundreds of
+    thousands of input splits would swamp it, so splits are first strung together,
+    without a shuffle, to a few tasks per core.
+    """
+    names = [str(i) for i in range(len(columns))]
+    tasks = max(LEAST_SKETCHES, SKETCHES_PER_CORE * df.sparkSession.sparkContext.defaultParallelism)
+    view = df.select([c.alias(n) for c, n in zip(columns, names)]).coalesce(tasks)
+    return view.approxQuantile(names, list(probs), err)
+
+
 def medians(df: DataFrame, cols) -> dict[str, float | None]:
     """Exact medians; the mean of the two middle values when the count is even."""
     cols = list(dict.fromkeys(cols))
@@ -157,9 +170,8 @@ def _brackets(df: DataFrame, searches: list[_Search]) -> list[tuple]:
     probs = sorted({p for span in spans.values() for p in span})
     ranges = list(dict.fromkeys((s.name, s.low, s.high) for s in wide))
     first = {(s.name, s.low, s.high): s for s in reversed(wide)}
-    names = [str(i) for i in range(len(ranges))]
-    view = df.select([first[r].candidates().alias(n) for r, n in zip(ranges, names)])
-    sketches = dict(zip(ranges, view.approxQuantile(names, probs, SKETCH_ERROR)))
+    sketches = dict(zip(ranges, sketched(
+        df, [first[r].candidates() for r in ranges], probs, SKETCH_ERROR)))
     return [tuple(sketches[s.name, s.low, s.high][probs.index(p)] for p in spans[id(s)])
             if id(s) in spans else (s.low, s.high) for s in searches]
 

@@ -8,7 +8,7 @@ cross-validation does not read the table again.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from energylake.functions.columns import col
+from energylake.functions.columns import col, encoded
 
 FIRST_ROWS = 1_000
 FAR_OFF = 1_000.0
@@ -64,34 +64,44 @@ class Moments:
 
 
 def fold_moments(df: DataFrame, features: Sequence[str], y: str, fold: str | None = None,
-                 centre: Sequence[float] | None = None) -> dict[int, Moments]:
+                 centre: Sequence[float] | None = None,
+                 vocab: Mapping[str, Sequence[str]] | None = None) -> dict[int, Moments]:
     """Moments per fold number (fold 0 alone without a fold column), in one job.
 
+    ``vocab`` adds the dummies of category columns after the numeric features, the
+    first value of each being the base; a category travels as one small number and
+    becomes dummies inside the task.
+
     Sums are taken around ``centre``, which keeps them from cancelling.  Any point
     near the data will do; by default the mean of a few rows, and should that turn
     out to be far off, the sums are taken again around the true means.
     """
-    names = [*features, y]
-    rows = df.select((col(fold) if fold else F.lit(0)).cast("int").alias("fold"),
-                     *[col(c).cast("double").alias(f"x{i}") for i, c in enumerate(names)])
+    names, vocab = [*features, y], vocab or {}
+    widths = [max(0, len(values) - 1) for values in vocab.values()]
+    rows = df.select(
+        (col(fold) if fold else F.lit(0)).cast("int").alias("fold"),
+        *[col(c).cast("double").alias(f"x{i}") for i, c in enumerate(names)],
+        *[encoded(col(c).cast("string"), {v: k for k, v in enumerate(values)}, 0).alias(f"c{i}")
+          for i, (c, values) in enumerate(vocab.items())])
     if centre is None:
-        centre = _rough_means(rows, len(names))
-    found = _moments_around(rows, np.array(centre, dtype=float))
+        means = _rough_means(rows, len(names))
+        centre = [*means[:-1], *[0.0] * sum(widths), means[-1]]
+    found = _moments_around(rows, np.array(centre, dtype=float), widths)
     whole = reduce(Moments.__add__, found.values())
     if np.any(np.abs(whole.mean - centre) > FAR_OFF * whole.deviations()):
-        found = _moments_around(rows, whole.mean)
+        found = _moments_around(rows, whole.mean, widths)
     return found
 
 
 def _rough_means(rows: DataFrame, width: int) -> np.ndarray:
     """Means over the first few rows, a starting point only."""
-    first = np.array([r[1:] for r in rows.head(FIRST_ROWS)], dtype=float).reshape(-1, width)
+    first = np.array([r[1:width + 1] for r in rows.head(FIRST_ROWS)], dtype=float).reshape(-1, width)
     known = np.isfinite(first)
     return np.where(known, first, 0.0).sum(axis=0) / np.maximum(known.sum(axis=0), 1)
 
 
-def _moments_around(rows: DataFrame, shift: np.ndarray) -> dict[int, Moments]:
-    sums = (rows.mapInArrow(_product_sums(shift), "fold int, i int, j int, value double")
+def _moments_around(rows: DataFrame, shift: np.ndarray, widths: list[int]) -> dict[int, Moments]:
+    sums = (rows.mapInArrow(_product_sums(shift, widths), "fold int, i int, j int, value double")
             .groupBy("fold", "i", "j").agg(F.sum("value").alias("value")).collect())
     size, raw = len(shift) + 1, {}
     for k, i, j, value in sums:
@@ -109,19 +119,31 @@ def _centred(raw: np.ndarray, shift: np.ndarray) -> Moments:
     return Moments(n, shift + total / n, raw[1:, 1:] - np.outer(total, total) / n)
 
 
-def _product_sums(shift: np.ndarray):
+def _product_sums(shift: np.ndarray, widths: list[int]):
     """Task function: upper triangle of the summed products of (1, columns) per fold."""
+    numbers = len(shift) - sum(widths) - 1
+
+    def table(columns: list[np.ndarray]) -> np.ndarray:
+        z = np.zeros((len(shift) + 1, len(columns[0])))
+        z[0] = 1.0
+        z[1:numbers + 1] = columns[:numbers]
+        z[-1] = columns[numbers]
+        base = numbers
+        for codes, width in zip(columns[numbers + 1:], widths):
+            hits = np.flatnonzero(codes)
+            z[base + codes[hits], hits] = 1.0
+            base += width
+        z[1:] -= shift[:, None]
+        return z
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = {}
         for batch in batches:
-            z = np.ones((batch.num_rows, len(shift) + 1))
-            for i in range(len(shift)):
-                z[:, i + 1] = batch.column(i + 1).to_numpy(zero_copy_only=False) - shift[i]
-            folds = batch.column(0).to_numpy(zero_copy_only=False)
+            folds, *columns = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            z = table(columns)
             for k in np.unique(folds):
-                part = z[folds == k]
-                sums[int(k)] = sums.get(int(k), 0.0) + part.T @ part
+                part = z[:, folds == k]
+                sums[int(k)] = sums.get(int(k), 0.0) + part @ part.T
         i, j = np.triu_indices(len(shift) + 1)
         for k, matrix in sums.items():
             yield pa.RecordBatch.from_arrays(

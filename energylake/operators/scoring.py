@@ -72,7 +72,7 @@ def prediction(model: RidgeModel, unknown: str = UNKNOWN_LABEL) -> Column:
         else:
             weights[t.source][t.value] = t.coef / t.std
     for source, by_value in weights.items():
-        out = out + lookup(F.coalesce(col(source), F.lit(unknown)), by_value, 0.0)
+        out = out + lookup(F.coalesce(col(source).cast("string"), F.lit(unknown)), by_value, 0.0)
     return out
 
 

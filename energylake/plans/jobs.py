@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from energylake import fixed_values as fv
-from energylake.functions.columns import band_closed, col, safe_ratio
+from energylake.functions.columns import band_closed, col, finite, safe_ratio
 from energylake.operators import cleaning as cl
-from energylake.operators.features import dummies, one_hot, training_target, vocabulary
+from energylake.operators.features import dummies, training_target, vocabulary
 from energylake.operators.gains import class_gains
 from energylake.operators.metrics import class_distribution, regression_metrics
 from energylake.operators.ridge import Moments, best_alpha, cross_validate, fold_moments
@@ -141,6 +141,7 @@ def training_rows(df: DataFrame, spec: TrainingSpec) -> DataFrame:
     rows = training_target(df.select([col(c) for c in used]), spec.conso, spec.surface,
                            *spec.target_range, out=TARGET)
     rows = cl.fill_label(rows, categories, fv.UNKNOWN_LABEL)
+    rows = rows.withColumns({c: finite(col(c).try_cast("double")) for c in numbers})
     rows = cl.impute_median(rows, numbers, exact=True)
     key = spec.key or used
     rows = split_by_key(rows, key, spec.test, spec.seed, spec.bucket)
@@ -156,11 +157,10 @@ def train(df: DataFrame, spec: TrainingSpec = TrainingSpec()) -> tuple[RidgeMode
     """
     spark, rows = df.sparkSession, training_rows(df, spec)
     categories, numbers = cl.present(df, spec.categories), cl.present(df, spec.numbers)
-    columns = dummies(vocabulary(rows, categories))
+    vocab = vocabulary(rows, categories)
+    columns = dummies(vocab)
     features = [*numbers, *columns]
-    vocab = {c: ["", *[v for source, v in columns.values() if source == c]] for c in categories}
-    inputs = one_hot(rows, categories, vocab)
-    moments = fold_moments(inputs, features, TARGET, "fold")
+    moments = fold_moments(rows, numbers, TARGET, "fold", vocab=vocab)
     training = {k: m for k, m in moments.items() if k != HELD_OUT}
     basis = reduce(Moments.__add__, (moments if spec.scale_on == "all" else training).values())
     mean, std = basis.mean[:-1], basis.deviations()[:-1]

@@ -196,6 +196,17 @@ def test_score_uses_categories_as_trained(spark, trained):
     assert out["classe_predite"] in "DE" and out["couleur"] in ("#FFCC00", "#FF9900")
 
 
+def test_categories_that_are_numbers_and_infinite_inputs(spark):
+    rows = [(i % 3, float("inf") if i % 10 == 0 else float(i % 7), (100.0 + 20 * (i % 3)) * 50, 50.0)
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "zone int, height double, conso double, surface double")
+    model, metrics, _ = train(df, HOMES)
+    assert [t.feature for t in model.terms] == ["height", "zone_1", "zone_2"]
+    assert metrics.first()["r2_test"] > 0.99
+    got = scoring.score(df.limit(3), model).collect()
+    assert [r["conso_predite_m2"] for r in got[1:]] == pytest.approx([120, 140], abs=1)
+
+
 def test_score_is_floored_and_capped(spark):
     model = scoring.RidgeModel((scoring.Term("x", "x", None, 0.0, 1.0, 1.0),), 0.0)
     df = spark.createDataFrame([(-5.0, 1.0), (70.0, 1.0), (900.0, 2.0)], "x double, s double")

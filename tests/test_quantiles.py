@@ -82,3 +82,11 @@ def test_sketch_is_within_its_error(data):
 def test_partitions_do_not_matter(data):
     one, many = (q.quantiles(data.repartition(n), ["hot", "gaps"], [0.3, 0.5], 0) for n in (1, 17))
     assert one == many
+
+
+def test_sketches_are_few_however_many_splits(data, monkeypatch):
+    monkeypatch.setattr(q, "LEAST_SKETCHES", 3)
+    monkeypatch.setattr(q, "SKETCHES_PER_CORE", 0)
+    values = sorted(frames()["smooth"])
+    found = q.quantiles(data.repartition(60), ["smooth"], [0.5], 0.01)["smooth"][0]
+    assert abs(values.index(found) / len(values) - 0.5) <= 0.0101
