@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from energylake.functions.columns import col, encoded, flag, number
-from energylake.operators.quantiles import medians_of, numeric_columns, quantiles
+from energylake.operators.quantiles import medians, numeric_columns, quantiles
 
 
 def present(df: DataFrame, names: Sequence[str]) -> list[str]:
@@ -69,12 +69,7 @@ def impute_median(df: DataFrame, cols: Sequence[str], rel_err: float = 0.01,
 
 
 def _impute_exact(df: DataFrame, names: list[str]) -> DataFrame:
-    if not names:
-        return df
-    counts = [F.count(number(col(c))).alias(str(i)) for i, c in enumerate(names)]
-    *known, total = df.agg(*counts, F.count(F.lit(1)).alias("rows")).first()
-    gaps = {c: n for c, n in zip(names, known) if n < total}
-    middle = medians_of(df, gaps)
+    middle = medians(df, names, gaps_only=True)
     return _replace(df, {
         c: number(col(c)) if middle.get(c) is None
         else F.coalesce(number(col(c)), F.lit(middle[c])) for c in names})

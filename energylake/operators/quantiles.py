@@ -5,8 +5,9 @@ that sketch keep every value and send it to the driver, so exact quantiles are
 found by narrowing instead: a sketch gives a value on either side of every wanted
 rank, and one aggregation counts the rows between these edges.  While too many rows
 are left between two edges the next round looks only there; a round leaves about
-one in 250.  The driver sees a few counts per round and at the end at most
-``FINAL_ROWS`` distinct values per rank.
+one in 250, so two passes do up to some million rows and four a thousand times that.
+The driver sees a few counts per round and at the end at most ``FINAL_ROWS`` distinct
+values per rank.
 """
 
 from __future__ import annotations
@@ -40,9 +41,12 @@ def quantiles(df: DataFrame, cols, probs, err: float = 0.01) -> dict[str, list[f
         return {}
     if err > 0:
         return dict(zip(cols, sketched(df, [col(c).cast("double") for c in cols], probs, err)))
-    sizes = value_counts(df, cols)
-    wanted = {c: [max(1, math.ceil(p * sizes[c])) for p in probs] for c in cols if sizes[c]}
-    return {**{c: [] for c in cols}, **values_at_ranks(df, wanted, sizes)}
+    look = _look(df, [number(col(c)) for c in cols], {p for q in probs for p in _around(q)})
+    sizes = {c: n for c, (n, _) in zip(cols, look) if n}
+    ranks = {c: [max(1, math.ceil(p * n)) for p in probs] for c, n in sizes.items()}
+    spans = {(c, r): tuple(marks[p] for p in _around(q))
+             for c, (n, marks) in zip(cols, look) if n for r, q in zip(ranks[c], probs)}
+    return {**{c: [] for c in cols}, **values_at_ranks(df, ranks, sizes, spans)}
 
 
 def sketched(df: DataFrame, columns: list[Column], probs, err: float) -> list[list[float]]:
@@ -53,29 +57,44 @@ def sketched(df: DataFrame, columns: list[Column], probs, err: float) -> list[li
     without a shuffle, to a few tasks per core.
     """
     names = [str(i) for i in range(len(columns))]
+    return _few_tasks(df, columns, names).approxQuantile(names, list(probs), err)
+
+
+def _few_tasks(df: DataFrame, columns: list[Column], names: list[str]) -> DataFrame:
     tasks = max(LEAST_SKETCHES, SKETCHES_PER_CORE * df.sparkSession.sparkContext.defaultParallelism)
-    view = df.select([c.alias(n) for c, n in zip(columns, names)]).coalesce(tasks)
-    return view.approxQuantile(names, list(probs), err)
+    return df.select([c.alias(n) for c, n in zip(columns, names)]).coalesce(tasks)
 
 
-def medians(df: DataFrame, cols) -> dict[str, float | None]:
-    """Exact medians; the mean of the two middle values when the count is even."""
-    cols = list(dict.fromkeys(cols))
-    sizes = value_counts(df, cols) if cols else {}
-    return medians_of(df, sizes)
+def _look(df: DataFrame, columns: list[Column], probs) -> list[tuple[int, dict]]:
+    """Number of values and sketched quantiles of every column, in one job."""
+    probs = sorted(probs)
+    names = [str(i) for i in range(len(columns))]
+    accuracy = round(1 / SKETCH_ERROR)
+    row = _few_tasks(df, columns, names).agg(*[
+        f for n in names for f in (F.count(n), F.percentile_approx(n, probs, accuracy))]).first()
+    return [(row[2 * i], dict(zip(probs, row[2 * i + 1] or ()))) for i in range(len(names))]
 
 
-def medians_of(df: DataFrame, sizes: dict[str, int]) -> dict[str, float | None]:
-    """Exact medians when the value counts per column are already known."""
-    wanted = {c: sorted({(n + 1) // 2, n // 2 + 1}) for c, n in sizes.items() if n}
-    found = values_at_ranks(df, wanted, sizes)
-    return {c: sum(found[c]) / len(found[c]) if c in found else None for c in sizes}
+def _around(p: float) -> tuple[float, float]:
+    return max(0.0, p - SKETCH_ERROR), min(1.0, p + SKETCH_ERROR)
 
 
-def value_counts(df: DataFrame, cols) -> dict[str, int]:
-    """Number of usable values per column, in one pass."""
-    row = df.agg(*[F.count(number(col(c))).alias(str(i)) for i, c in enumerate(cols)]).first()
-    return {c: row[i] for i, c in enumerate(cols)}
+def medians(df: DataFrame, cols, gaps_only: bool = False) -> dict[str, float | None]:
+    """Exact medians; the mean of the two middle values when the count is even.
+
+    With ``gaps_only`` columns that have a value in every row are left out.
+    """
+    cols = list(dict.fromkeys(cols))
+    if not cols:
+        return {}
+    *look, (rows, _) = _look(df, [*[number(col(c)) for c in cols], F.lit(1.0)], _around(0.5))
+    sizes = {c: n for c, (n, _) in zip(cols, look) if n and not (gaps_only and n == rows)}
+    ranks = {c: sorted({(n + 1) // 2, n // 2 + 1}) for c, n in sizes.items()}
+    spans = {(c, r): tuple(marks[p] for p in _around(0.5))
+             for c, (_, marks) in zip(cols, look) if c in ranks for r in ranks[c]}
+    found = values_at_ranks(df, ranks, sizes, spans)
+    return {c: sum(found[c]) / len(found[c]) if c in found else None for c in cols
+            if c in found or not gaps_only}
 
 
 @dataclass
@@ -128,19 +147,23 @@ class _Search:
         self.inside = end - self.below
 
 
-def values_at_ranks(df: DataFrame, ranks: dict[str, list[int]],
-                    sizes: dict[str, int]) -> dict[str, list[float]]:
-    """The values at 1-based ranks of the sorted columns, exactly."""
+def values_at_ranks(df: DataFrame, ranks: dict[str, list[int]], sizes: dict[str, int],
+                    spans: dict | None = None) -> dict[str, list[float]]:
+    """The values at 1-based ranks of the sorted columns, exactly.
+
+    ``spans`` may hold a first guess (low, high) per (column, rank).
+    """
     searches = [_Search(c, r, sizes[c]) for c, rs in ranks.items() for r in dict.fromkeys(rs)]
+    guesses = [spans[s.name, s.rank] for s in searches] if spans else None
     while open_ones := [s for s in searches if s.value is None]:
-        _round(df, open_ones)
+        _round(df, open_ones, guesses or _brackets(df, open_ones))
+        guesses = None
     found = {(s.name, s.rank): s.value for s in searches}
     return {c: [found[c, r] for r in rs] for c, rs in ranks.items()}
 
 
-def _round(df: DataFrame, searches: list[_Search]) -> None:
-    """Put an edge on either side of every rank and count the rows between."""
-    spans = _brackets(df, searches)
+def _round(df: DataFrame, searches: list[_Search], spans: list[tuple]) -> None:
+    """Count the rows between the edges on either side of every rank."""
     edges, kept = defaultdict(set), defaultdict(list)
     last = all(_expected(s) <= FINAL_ROWS for s in searches)
     for s, (a, b) in zip(searches, spans):
@@ -163,17 +186,14 @@ def _brackets(df: DataFrame, searches: list[_Search]) -> list[tuple]:
     wide = [s for s in searches if s.inside > FINAL_ROWS]
     if not wide:
         return [(s.low, s.high) for s in searches]
-    spans = {}
-    for s in wide:
-        at = (s.rank - s.below) / s.inside
-        spans[id(s)] = (max(0.0, at - SKETCH_ERROR), min(1.0, at + SKETCH_ERROR))
-    probs = sorted({p for span in spans.values() for p in span})
     ranges = list(dict.fromkeys((s.name, s.low, s.high) for s in wide))
     first = {(s.name, s.low, s.high): s for s in reversed(wide)}
-    sketches = dict(zip(ranges, sketched(
-        df, [first[r].candidates() for r in ranges], probs, SKETCH_ERROR)))
-    return [tuple(sketches[s.name, s.low, s.high][probs.index(p)] for p in spans[id(s)])
-            if id(s) in spans else (s.low, s.high) for s in searches]
+    places = {id(s): _around((s.rank - s.below) / s.inside) for s in wide}
+    look = _look(df, [first[r].candidates() for r in ranges],
+                 {p for place in places.values() for p in place})
+    marks = {r: found for r, (_, found) in zip(ranges, look)}
+    return [tuple(marks[s.name, s.low, s.high][p] for p in places[id(s)])
+            if id(s) in places else (s.low, s.high) for s in searches]
 
 
 def _count_between(df: DataFrame, edges: dict[str, list[float]],
