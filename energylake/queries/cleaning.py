@@ -27,11 +27,12 @@ def drop_incomplete(spark, sf):
 
 
 @query("""select o_orderkey, o_orderstatus,
-                 case o_orderstatus when 'F' then 1 when 'O' then 2 end as o_orderstatus_num
+                 case o_orderstatus when 'F' then 1 when 'O' then 2 end::double as o_orderstatus_num
           from orders""")
 def encode_ordinal(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    return cl.encode_ordinal(orders, "o_orderstatus", {"F": 1, "O": 2})
+    coded = cl.encode_ordinal(orders, "o_orderstatus", {"F": 1, "O": 2})
+    return coded.withColumn("o_orderstatus_num", F.col("o_orderstatus_num").cast("double"))
 
 
 @query("""select p_partkey, p_type,
@@ -145,7 +146,7 @@ LINE_RULES = CleaningSpec(
                  (case when size < s1 - 1.5 * (s3 - s1) then s1 - 1.5 * (s3 - s1)
                        when size > s3 + 1.5 * (s3 - s1) then s3 + 1.5 * (s3 - s1)
                        else size end)::float::double as size,
-                 case l_returnflag when 'A' then 1 end as l_returnflag_num,
+                 case l_returnflag when 'A' then 1 end::double as l_returnflag_num,
                  0 as l_linestatus_num
           from filled, q""")
 def clean_lines(spark, sf):
@@ -158,4 +159,5 @@ def clean_lines(spark, sf):
         (1000 / F.col("l_quantity")).alias("size"))
     return clean(rows, LINE_RULES).withColumns({
         "l_discount": F.round("l_discount", 6), "price": F.col("price").cast("double"),
-        "size": F.col("size").cast("double")})
+        "size": F.col("size").cast("double"),
+        "l_returnflag_num": F.col("l_returnflag_num").cast("double")})
