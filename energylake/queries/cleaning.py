@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from energylake.operators import cleaning as cl
-from energylake.plans.jobs import CleaningSpec, clean
+from energylake.plans.jobs import CleaningSpec, bronze_to_silver, clean
 from energylake.queries.registry import query, table
+from energylake.session import scratch_path
+from energylake.sources.layers import read_layer
 
 
 @query("select o_orderkey, o_custkey, o_orderstatus, o_orderpriority from orders")
@@ -125,7 +127,7 @@ LINE_RULES = CleaningSpec(
     rel_err=0)
 
 
-@query("""with rows as (
+CLEAN_SQL = """with rows as (
             select l_orderkey, l_linenumber, l_returnflag, l_linestatus, l_quantity,
                    case when l_linenumber <> 7 then l_discount end as l_discount,
                    case when l_linenumber <> 6 then l_tax > 0.04 end as high_tax,
@@ -148,16 +150,37 @@ LINE_RULES = CleaningSpec(
                        else size end)::float::double as size,
                  case l_returnflag when 'A' then 1 end::double as l_returnflag_num,
                  0 as l_linestatus_num
-          from filled, q""")
-def clean_lines(spark, sf):
-    rows = table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate", "l_suppkey",
+          from filled, q"""
+
+
+def _line_rows(spark, sf):
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus",
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("l_shipdate"), "l_suppkey",
         F.nullif("l_quantity", F.lit(50.0)).alias("l_quantity"),
         F.when(F.col("l_linenumber") != 7, F.col("l_discount")).alias("l_discount"),
         F.when(F.col("l_linenumber") != 6, F.col("l_tax") > 0.04).alias("high_tax"),
         F.when(F.col("l_linenumber") != 5, F.col("l_extendedprice")).alias("price"),
         (1000 / F.col("l_quantity")).alias("size"))
-    return clean(rows, LINE_RULES).withColumns({
+
+
+def _comparable(silver):
+    return silver.withColumns({
         "l_discount": F.round("l_discount", 6), "price": F.col("price").cast("double"),
         "size": F.col("size").cast("double"),
         "l_returnflag_num": F.col("l_returnflag_num").cast("double")})
+
+
+@query(CLEAN_SQL)
+def clean_lines(spark, sf):
+    return _comparable(clean(_line_rows(spark, sf), LINE_RULES))
+
+
+@query(CLEAN_SQL)
+def silver_from_bronze(spark, sf):
+    """The same rules as a job over JSON files, staged and written."""
+    rows = _line_rows(spark, sf)
+    bronze, staging, silver = (scratch_path(spark, n) for n in ("lines", "staging", "silver"))
+    rows.write.json(bronze)
+    bronze_to_silver(spark, bronze, silver, staging, LINE_RULES, rows.schema)
+    return _comparable(read_layer(spark, silver))

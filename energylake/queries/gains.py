@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from energylake.operators import gains as g
 from energylake.queries.registry import query, table
+from energylake.session import scratch_path
+from energylake.sources.layers import read_json_table, write_json_table
 
 RANK = {"A": 1, "N": 2, "R": 3}
 
@@ -54,6 +56,14 @@ def class_gains(spark, sf):
     return _rounded(_gains(spark, sf))
 
 
+@query(GAINS_SQL + ROUNDED_SQL)
+def gains_document(spark, sf):
+    """Written as the JSON document readers load, and loaded."""
+    path = scratch_path(spark, "gains")
+    write_json_table(_gains(spark, sf), path)
+    return _rounded(read_json_table(spark, path))
+
+
 @query(GAINS_SQL + ROUNDED_SQL + " where transition in ('R->N', 'N->A')")
 def adjacent_gains(spark, sf):
     return _rounded(g.adjacent_gains(_gains(spark, sf), ["R->N", "N->A"]))

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from energylake.functions.columns import encode_json
+from energylake.functions.columns import decode_json, encode_json
+from energylake.operators.metrics import class_distribution
 from energylake.queries.registry import query, table
 from energylake.session import scratch_path
 from energylake.sources.layers import read_bronze, read_layer, write_layer
+from energylake.sources.messages import publish, publish_stream
+from energylake.sources.paged import TEXT_ROWS, ParquetPages, paged_source
 from energylake.streaming.ingest import bronze_totals, ingest_to_bronze, read_stream
 
 EVENT_TOPICS = {"click": "existant", "view": "neuf", "purchase": "achat"}
@@ -34,6 +37,31 @@ def silver_roundtrip(spark, sf):
     return back.withColumn("ts", F.unix_micros(F.col("ts").cast("timestamp")))
 
 
+@query("""select event_id, event_type, value, json_extract(props, '$.k')::bigint as k from events""")
+def publish_messages(spark, sf):
+    """Rows sent as messages, and the messages read."""
+    path = scratch_path(spark, "topic")
+    publish(table(spark, sf, "events").select("event_id", "event_type", "value", "props"),
+            "open-data-existant", {"path": path}, fmt="text")
+    sent = spark.read.text(path).select(decode_json(
+        F.col("value"), "event_id bigint, event_type string, value double, props string").alias("m"))
+    return sent.select("m.event_id", "m.event_type", "m.value",
+                       decode_json(F.col("m.props"), "k bigint").getField("k").alias("k"))
+
+
+@query("select o_orderpriority as value, count(*) as n from orders group by 1")
+def paged_resume(spark, sf):
+    """A pull of all pages that is stopped half-way and taken up from its checkpoint."""
+    pages = ParquetPages(f"{sf}/orders.parquet", ["o_orderpriority"], ["value"])
+    spark.dataSource.register(paged_source(pages, TEXT_ROWS, "paged_resume"))
+    path, checkpoint = scratch_path(spark, "pulled"), scratch_path(spark, "pulled-checkpoint")
+    for limit in (pages.total() // 2, pages.total()):
+        stream = spark.readStream.format("paged_resume").option("limit", limit).load()
+        publish_stream(stream, "open-data-existant", {"path": path}, checkpoint,
+                       fmt="text").awaitTermination()
+    return class_distribution(spark.read.text(path), "value", out="n")
+
+
 def _ingested(spark, sf, label):
     """All events sent through the streaming ingest; the bronze path."""
     events = read_stream(spark, {"pathGlobFilter": "events.parquet"}, "parquet",

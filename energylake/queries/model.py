@@ -11,6 +11,7 @@ from energylake.operators.rows import fold_by_key, portable_bucket
 from energylake.operators.scoring import RidgeModel, Term
 from energylake.plans.jobs import TrainingSpec, train
 from energylake.queries.registry import query, table
+from energylake.session import scratch_path
 
 ALPHAS = [0.01, 0.1, 1.0, 10.0, 100.0, 1000.0]
 
@@ -131,6 +132,34 @@ def train_evaluate(spark, sf):
         F.round("gap", 6).alias("gap"), "diagnosis")
 
 
+@query("""with used as (
+            select l_quantity as q, l_extendedprice / l_quantity as y,
+                   ('0x' || substr(md5('42|' || l_orderkey), 1, 8))::bigint % 10000 < 2000 as held_out,
+                   ('0x' || substr(md5('43|' || l_orderkey), 1, 8))::bigint % 5 as part
+            from lineitem
+            where l_extendedprice / l_quantity > 10 and l_extendedprice / l_quantity < 20000),
+          scale as (select avg(q) as m, stddev_pop(q) as s from used),
+          z as (select (q - m) / s as x, y, held_out,
+                       case when held_out then -1 else part end as fold from used, scale), """ + CV_SQL + """,
+          final as (
+            select covar_pop(x, y) * count(*) / (var_pop(x) * count(*) + best.alpha) as w,
+                   avg(x) as mx, avg(y) as my
+            from z, best where not held_out group by best.alpha)
+          select l_orderkey, l_linenumber,
+                 round(greatest(my + w * ((l_quantity - m) / s - mx), 0), 4) as conso_predite_m2,
+                 round(greatest(my + w * ((l_quantity - m) / s - mx), 0) * l_quantity, 3)
+                   as conso_totale_kwh_an
+          from lineitem, final, scale""")
+def train_and_score(spark, sf):
+    """A model fitted, saved, loaded and used on the whole table."""
+    lines, path = table(spark, sf, "lineitem"), scratch_path(spark, "model")
+    scoring.save_model(train(lines, LINE_TRAINING)[0], spark, path)
+    out = scoring.score_homes(lines, scoring.load_model(spark, path), "l_quantity")
+    return out.select("l_orderkey", "l_linenumber",
+                      F.round("conso_predite_m2", 4).alias("conso_predite_m2"),
+                      F.round("conso_totale_kwh_an", 3).alias("conso_totale_kwh_an"))
+
+
 @query("""with coefs as (
             select p_brand as feature,
                    avg(p_retailprice) - (select avg(p_retailprice) from part) as coef

@@ -80,8 +80,9 @@ class HttpPages:
 class ParquetPages:
     """The same interface over a Parquet file, for trials without a service."""
 
-    def __init__(self, path: str, columns: list[str] | None = None):
-        self.path, self.columns = path, columns
+    def __init__(self, path: str, columns: list[str] | None = None,
+                 names: list[str] | None = None):
+        self.path, self.columns, self.names = path, columns, names
         self._at, self._table = None, None
 
     def total(self) -> int:
@@ -96,6 +97,8 @@ class ParquetPages:
             if low < high:
                 if self._at != group:
                     self._at, self._table = group, file.read_row_group(group, self.columns)
+                    if self.names:
+                        self._table = self._table.rename_columns(self.names)
                 yield from self._table.slice(low - first, high - low).to_batches()
             first += rows
 
