@@ -1,13 +1,12 @@
 """Quantiles of many columns in few passes.
 
-``err > 0`` is one mergeable-sketch job over all columns.  ``err = 0`` would make
-that sketch keep every value and send it to the driver, so exact quantiles are
-found by narrowing instead: a sketch gives a value on either side of every wanted
-rank, and one aggregation counts the rows between these edges.  While too many rows
-are left between two edges the next round looks only there; a round leaves about
-one in 250, so two passes do up to some million rows and four a thousand times that.
-The driver sees a few counts per round and at the end at most ``FINAL_ROWS`` distinct
-values per rank.
+``err > 0`` is one mergeable-sketch job over all columns.  A sketch without error
+would keep every value, so exact quantiles (``err = 0``) are found by narrowing: a
+sketch gives a value on either side of every wanted rank, and one aggregation counts
+the rows between these edges.  While too many rows are left between two edges the
+next round looks only there.  A round leaves about one row in 250, so two passes do
+up to some million rows and four a thousand times that.  The driver sees a few counts
+per round and at the end at most ``FINAL_ROWS`` distinct values per rank.
 """
 
 from __future__ import annotations
@@ -40,39 +39,34 @@ def quantiles(df: DataFrame, cols, probs, err: float = 0.01) -> dict[str, list[f
     if not cols:
         return {}
     if err > 0:
-        return dict(zip(cols, sketched(df, [col(c).cast("double") for c in cols], probs, err)))
+        look = _look(df, [number(col(c)) for c in cols], probs, err)
+        return {c: [marks[p] for p in probs] if n else [] for c, (_, n, marks) in zip(cols, look)}
     look = _look(df, [number(col(c)) for c in cols], {p for q in probs for p in _around(q)})
-    sizes = {c: n for c, (n, _) in zip(cols, look) if n}
+    sizes = {c: n for c, (_, n, _) in zip(cols, look) if n}
     ranks = {c: [max(1, math.ceil(p * n)) for p in probs] for c, n in sizes.items()}
     spans = {(c, r): tuple(marks[p] for p in _around(q))
-             for c, (n, marks) in zip(cols, look) if n for r, q in zip(ranks[c], probs)}
+             for c, (_, n, marks) in zip(cols, look) if n for r, q in zip(ranks[c], probs)}
     return {**{c: [] for c in cols}, **values_at_ranks(df, ranks, sizes, spans)}
 
 
-def sketched(df: DataFrame, columns: list[Column], probs, err: float) -> list[list[float]]:
-    """Quantiles of several columns from one sketch job.
+def _look(df: DataFrame, columns: list[Column], probs,
+          err: float = SKETCH_ERROR) -> list[tuple[int, int, dict]]:
+    """Rows, values and sketched quantiles of every column, in one pass.
 
-    Every task sends one sketch per column to a single merging task.  Hundreds of
-    thousands of input splits would swamp it, so splits are first strung together,
-    without a shuffle, to a few tasks per core.
+    The columns are stacked and sketched per column, so each column's sketches merge
+    in a task of their own.  Every input split adds a sketch; hundreds of thousands
+    of splits are therefore first strung together, without a shuffle, to a few tasks
+    per core.
     """
-    names = [str(i) for i in range(len(columns))]
-    return _few_tasks(df, columns, names).approxQuantile(names, list(probs), err)
-
-
-def _few_tasks(df: DataFrame, columns: list[Column], names: list[str]) -> DataFrame:
+    probs, names = sorted(probs), [str(i) for i in range(len(columns))]
     tasks = max(LEAST_SKETCHES, SKETCHES_PER_CORE * df.sparkSession.sparkContext.defaultParallelism)
-    return df.select([c.alias(n) for c, n in zip(columns, names)]).coalesce(tasks)
-
-
-def _look(df: DataFrame, columns: list[Column], probs) -> list[tuple[int, dict]]:
-    """Number of values and sketched quantiles of every column, in one job."""
-    probs = sorted(probs)
-    names = [str(i) for i in range(len(columns))]
-    accuracy = round(1 / SKETCH_ERROR)
-    row = _few_tasks(df, columns, names).agg(*[
-        f for n in names for f in (F.count(n), F.percentile_approx(n, probs, accuracy))]).first()
-    return [(row[2 * i], dict(zip(probs, row[2 * i + 1] or ()))) for i in range(len(names))]
+    stacked = (df.select([c.alias(n) for c, n in zip(columns, names)]).coalesce(tasks)
+               .unpivot([], names, "column", "value"))
+    found = {int(r[0]): r[1:] for r in stacked.groupBy("column").agg(
+        F.count(F.lit(1)), F.count("value"),
+        F.percentile_approx("value", probs, math.ceil(1 / err))).collect()}
+    return [(rows, n, dict(zip(probs, marks or ())))
+            for rows, n, marks in (found.get(i, (0, 0, ())) for i in range(len(names)))]
 
 
 def _around(p: float) -> tuple[float, float]:
@@ -87,11 +81,11 @@ def medians(df: DataFrame, cols, gaps_only: bool = False) -> dict[str, float | N
     cols = list(dict.fromkeys(cols))
     if not cols:
         return {}
-    *look, (rows, _) = _look(df, [*[number(col(c)) for c in cols], F.lit(1.0)], _around(0.5))
-    sizes = {c: n for c, (n, _) in zip(cols, look) if n and not (gaps_only and n == rows)}
+    look = _look(df, [number(col(c)) for c in cols], _around(0.5))
+    sizes = {c: n for c, (rows, n, _) in zip(cols, look) if n and not (gaps_only and n == rows)}
     ranks = {c: sorted({(n + 1) // 2, n // 2 + 1}) for c, n in sizes.items()}
     spans = {(c, r): tuple(marks[p] for p in _around(0.5))
-             for c, (_, marks) in zip(cols, look) if c in ranks for r in ranks[c]}
+             for c, (_, _, marks) in zip(cols, look) if c in ranks for r in ranks[c]}
     found = values_at_ranks(df, ranks, sizes, spans)
     return {c: sum(found[c]) / len(found[c]) if c in found else None for c in cols
             if c in found or not gaps_only}
@@ -191,7 +185,7 @@ def _brackets(df: DataFrame, searches: list[_Search]) -> list[tuple]:
     places = {id(s): _around((s.rank - s.below) / s.inside) for s in wide}
     look = _look(df, [first[r].candidates() for r in ranges],
                  {p for place in places.values() for p in place})
-    marks = {r: found for r, (_, found) in zip(ranges, look)}
+    marks = {r: found for r, (_, _, found) in zip(ranges, look)}
     return [tuple(marks[s.name, s.low, s.high][p] for p in places[id(s)])
             if id(s) in places else (s.low, s.high) for s in searches]
 
