@@ -24,7 +24,7 @@ from energylake.functions.columns import col, number
 FINAL_ROWS = 10_000
 SKETCH_ERROR = 0.001
 SKETCHES_PER_CORE = 2
-LEAST_SKETCHES = 200
+LEAST_SKETCHES = 4_000
 
 
 def numeric_columns(df: DataFrame, names) -> list[str]:
@@ -55,8 +55,8 @@ def _look(df: DataFrame, columns: list[Column], probs,
 
     The columns are stacked and sketched per column, so each column's sketches merge
     in a task of their own.  Every input split adds a sketch; hundreds of thousands
-    of splits are therefore first strung together, without a shuffle, to a few tasks
-    per core.
+    of splits are therefore first strung together, without a shuffle, to some thousand
+    tasks, or a few per core where that is more.
     """
     probs, names = sorted(probs), [str(i) for i in range(len(columns))]
     tasks = max(LEAST_SKETCHES, SKETCHES_PER_CORE * df.sparkSession.sparkContext.defaultParallelism)

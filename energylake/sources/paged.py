@@ -22,6 +22,7 @@ from typing import Protocol
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyarrow.fs import FileSystem
 from pyspark import cloudpickle
 from pyspark.sql.datasource import (
     DataSource, DataSourceReader, DataSourceStreamReader, InputPartition)
@@ -85,11 +86,17 @@ class ParquetPages:
         self.path, self.columns, self.names = path, columns, names
         self._at, self._table = None, None
 
+    def _open(self) -> pq.ParquetFile:
+        if "://" not in self.path:
+            return pq.ParquetFile(self.path)
+        system, path = FileSystem.from_uri(self.path)
+        return pq.ParquetFile(path, filesystem=system)
+
     def total(self) -> int:
-        return pq.ParquetFile(self.path).metadata.num_rows
+        return self._open().metadata.num_rows
 
     def page(self, start: int, size: int) -> Iterator[pa.RecordBatch]:
-        file = pq.ParquetFile(self.path)
+        file = self._open()
         first = 0
         for group in range(file.num_row_groups):
             rows = file.metadata.row_group(group).num_rows

@@ -105,6 +105,12 @@ def test_paged_read(spark, parquet_file, options, want):
     assert rows(got) == [(i, f"r{i}") for i in want]
 
 
+def test_pages_by_uri(parquet_file):
+    pages = ParquetPages("file://" + parquet_file, ["n"])
+    assert pages.total() == 1000
+    assert sum((b.column(0).to_pylist() for b in pages.page(330, 10)), []) == list(range(330, 340))
+
+
 def test_page_runs_cover_every_row_once():
     runs = page_runs(33, 1033, 100, 3)
     assert [(r.start, r.stop) for r in runs] == [(33, 333), (333, 633), (633, 933), (933, 1033)]
