@@ -23,16 +23,16 @@ def pick(df: DataFrame, **wanted: str) -> DataFrame:
     An exact name wins, then one that differs in case; of columns with the same name
     the first counts.  Whatever else the frame holds cannot clash any more.
     """
-    flat = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    found = {out: positional(df, name) for out, name in wanted.items()}
+    return next(iter(found.values()))[0].select([F.col(c).alias(out) for out, (_, c) in found.items()])
 
-    def source(name: str) -> Column:
-        for same in (str, str.lower):
-            at = [i for i, c in enumerate(df.columns) if same(c) == same(name)]
-            if at:
-                return F.col(f"c{at[0]}")
-        raise KeyError(f"no column {name} in {df.columns}")
 
-    return flat.select([source(name).alias(out) for out, name in wanted.items()])
+def positional(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The frame with columns c0, c1, ... and which of them ``name`` was, chosen as in ``pick``."""
+    at = [i for same in (str, str.lower) for i, c in enumerate(df.columns) if same(c) == same(name)]
+    if not at:
+        raise KeyError(f"no column {name} in {df.columns}")
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]), f"c{at[0]}"
 
 
 def slices(batch: pa.RecordBatch, text: int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from energylake.llm import linear
-from energylake.llm.common import map_texts, pick
+from energylake.llm.common import map_texts, pick, positional
 from energylake.llm.ngrams import Grams, labelled_sample
 
 SIZES = (4, 5)
@@ -72,9 +72,6 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7, id_col: str = "
 def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.7,
                text_col: str = "text") -> DataFrame:
     """The documents, all columns, whose score stays below ``threshold``."""
-    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    at = next(i for same in (str, str.lower) for i, c in enumerate(docs.columns)
-              if same(c) == same(text_col))
-    scored = map_texts(plain, f"c{at}", [T.StructField("score", T.DoubleType())],
-                       model.scorer, keep_text=True)
+    rows, text = positional(docs, text_col)
+    scored = map_texts(rows, text, [T.StructField("score", T.DoubleType())], model.scorer, keep_text=True)
     return scored.filter(F.col("score") < threshold).drop("score").toDF(*docs.columns)
