@@ -5,8 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from energylake.llm import decontamination, language, quality, sentencepiece_bpe, toxicity
-from energylake.llm.common import key_remainder, sha256_text
+from energylake.llm import (
+    decontamination, language, line_dedup, multi_index, pii, quality, secret_scan, sentencepiece_bpe,
+    simhash, sql, toxicity)
+from energylake.llm.common import joined_spans, key_remainder, sha256_text
 from energylake.llm.registry import query
 from energylake.queries.registry import table
 
@@ -37,35 +39,7 @@ def op10_quality(spark, sf_dir):
     return held_out(quality.score(docs, model)).select("doc_id", "held_out", "score", "predicted")
 
 
-OP2_SQL = """
-with item_words as (
-  select cast(item_id as varchar) as item, regexp_extract_all(translate(coalesce(text, ''),
-    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from benchmark),
-windows as (
-  select distinct item, least(len(w), 10) as n, list_slice(w, i + 1, i + least(len(w), 10)) as win
-  from (select item, w, unnest(range(greatest(len(w) - 10, 0) + 1)) as i from item_words where len(w) > 0)),
-sizes as (select distinct n from windows),
-doc_words as (
-  select doc_id, regexp_extract_all(translate(coalesce(text, ''),
-    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from documents),
-places as (
-  select doc_id, n, i, list_slice(w, i + 1, i + n) as win
-  from (select doc_id, w, n, unnest(range(greatest(len(w) - n + 1, 0))) as i from doc_words, sizes)),
-found as (select p.doc_id, p.n, p.i, v.item from places p join windows v on p.n = v.n and p.win = v.win),
-hits as (select doc_id, count(distinct k) as n_hit
-         from (select doc_id, unnest(range(i, i + n)) as k from found) group by doc_id),
-items as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as names
-          from (select distinct doc_id, item from found) group by doc_id)
-select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
-  cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(names, '')) as items_sha256,
-  coalesce(n_hit, 0) > 0 as contaminated
-from doc_words d left join hits using (doc_id) left join items using (doc_id)
-"""
-
-
-@query(OP2_SQL)
+@query(sql.DECONTAMINATION)
 def op2_decontamination(spark, sf_dir):
     found = decontamination.find_contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -82,3 +56,45 @@ def op6_sentencepiece(spark, sf_dir):
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         sha256_text(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
         sha256_text(F.col("decoded")).alias("decoded_sha256"))
+
+
+@query()
+def op1_multi_index(spark, sf_dir):
+    return multi_index.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+@query(sql.LINES)
+def op3_line_dedup(spark, sf_dir):
+    return line_dedup.remove_repeated_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_units", F.size("spans").cast("long").alias("n_removed"),
+        F.array_join(F.transform("spans", lambda s: F.concat_ws(
+            ":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias("removed"), "text")
+
+
+def span_report(found, kinds):
+    """Counts and digest of the base kinds, and all spans as text."""
+    base = F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in kinds]
+    return found.select("doc_id", *counts, sha256_text(joined_spans(base)).alias("base_sha256"),
+                        joined_spans(F.col("spans")).alias("spans"))
+
+
+@query(sql.SECRETS)
+def op4_secrets(spark, sf_dir):
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+    return span_report(found, [r.kind for r in secret_scan.BASE_RULES])
+
+
+@query(sql.PII)
+def op5_pii(spark, sf_dir):
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    return span_report(found, [k.name for k in pii.BASE_KINDS])
+
+
+@query()
+def op9_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
