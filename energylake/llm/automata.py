@@ -5,6 +5,7 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass
+from operator import or_
 
 import numpy as np
 
@@ -249,24 +250,40 @@ def compile_dfa(trees: Sequence, anywhere: bool) -> Dfa:
     byte_class = np.array([signature.setdefault(
         tuple(b in s for s in sets), len(signature)) for b in range(256)], np.int32)
     sample = [int(np.flatnonzero(byte_class == c)[0]) for c in range(len(signature))]
+    # sets of states as bits of a number, less those that have neither a byte step nor an end
+    counts = [bool(steps) or s in final for s, steps in enumerate(nfa.steps)]
+    closed = [sum(1 << t for t in nfa.closure([s]) if counts[t]) for s in range(len(counts))]
+    leads = [[0] * len(sample) for _ in counts]
+    for s, steps in enumerate(nfa.steps):
+        for c, b in enumerate(sample):
+            for chars, t in steps:
+                if b in chars:
+                    leads[s][c] |= closed[t]
     # subset construction
-    first = nfa.closure([start])
-    number, rows, todo = {first: 0}, [], [first]
+    number, rows, todo, ends = {closed[start]: 0}, [], [closed[start]], []
     for states in todo:
-        row = []
-        for b in sample:
-            target = nfa.closure({t for s in states for chars, t in nfa.steps[s] if b in chars})
+        row, end, rest = [0] * len(sample), 0, states
+        while rest:
+            low = rest & -rest
+            s = low.bit_length() - 1
+            rest ^= low
+            end |= final.get(s, 0)
+            row = list(map(or_, row, leads[s]))
+        for target in row:
             if target not in number:
                 number[target] = len(number)
                 todo.append(target)
-            row.append(number[target])
-        rows.append(row)
-    table = np.array(rows, np.int64)
-    accept = np.array([sum({final.get(s, 0) for s in states}) for states in todo], np.int64)
-    # minimisation: split blocks by where their states lead until none splits
+        rows.append([number[t] for t in row])
+        ends.append(end)
+    table, accept = np.array(rows, np.int64), np.array(ends, np.int64)
+    # minimisation: split blocks by where their states lead, told apart by a hash, until none splits
+    mix = np.random.default_rng(1).integers(1, 1 << 63, len(sample) + 1, np.uint64) | np.uint64(1)
     block = np.unique(accept, return_inverse=True)[1]
     while True:
-        finer = np.unique(np.column_stack([block, block[table]]), axis=0, return_inverse=True)[1].ravel()
+        mark = (block.astype(np.uint64) + np.uint64(1)) * mix[-1]
+        for c in range(len(sample)):
+            mark ^= (mark >> np.uint64(29)) + (block[table[:, c]].astype(np.uint64) + np.uint64(1)) * mix[c]
+        finer = np.unique(mark, return_inverse=True)[1]
         if finer.max() == block.max():
             break
         block = finer
