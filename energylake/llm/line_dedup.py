@@ -10,13 +10,17 @@ from pyspark.sql import types as T
 from energylake.llm.common import pick, staged
 
 LEAST_WORDS = 4
+FREQUENT = 1_000
 SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def normalised(unit: Column) -> Column:
-    """A-Z in lower case, ASCII white space squeezed and trimmed."""
-    return F.trim(F.regexp_replace(F.translate(unit, UPPER, LOWER), r"[\t\x0B\f\r ]+", " "))
+    """Lower case, ASCII white space squeezed and trimmed; most lines have none to squeeze."""
+    low = F.lower(unit)
+    odd = F.contains(low, F.lit("  "))
+    for c in "\t\x0b\f\r":
+        odd = odd | F.contains(low, F.lit(c))
+    return F.trim(F.when(odd, F.regexp_replace(low, r"[\t\x0B\f\r ]+", " ")).otherwise(low))
 
 
 def repeated_lines(rows: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -24,17 +28,24 @@ def repeated_lines(rows: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame
 
     ``rows`` has row, doc_id and text.  Of equal lines of at least ``least_words`` words the
     one with the least doc_id (null last), row and place stays.  Digests are grouped with
-    partial results, so a line that is everywhere costs one row per task; the join back to
-    its places is one whose large partitions Spark splits.
+    partial results.  Lines that make up over a thousandth of all repeats, so fewer than a
+    thousand, are looked up in a broadcast; the others meet their places in a join in which
+    no key is frequent.
     """
     unit = F.posexplode(F.split("text", "\n", -1)).alias("unit", "line")
     lines = rows.select("row", "doc_id", unit).withColumn("line", normalised(F.col("line")))
-    lines = lines.filter(F.length("line") - F.length(F.translate("line", " ", "")) >= least_words - 1)
-    places = lines.select("row", "doc_id", "unit", F.unhex(F.md5("line")).alias("digest"))
+    lines = lines.filter(F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) >= least_words - 1)
+    places = staged(lines.select("row", "doc_id", "unit", F.unhex(F.md5("line")).alias("digest")), "places")
     place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row", "unit")
-    first = (places.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-             .filter("n > 1").select("digest", F.col("first.row").alias("r"), F.col("first.unit").alias("u")))
-    return (places.join(first, "digest").filter("row != r or unit != u")
+    first = staged(
+        places.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+        .filter("n > 1").select("digest", "n", F.col("first.row").alias("r"), F.col("first.unit").alias("u")),
+        "first")
+    bound = (first.agg(F.sum("n")).first()[0] or 0) / FREQUENT
+    places = places.select("row", "unit", "digest")
+    often = F.broadcast(first.filter(F.col("n") > bound).drop("n"))
+    rest = places.join(often, "digest", "left_anti").join(first.filter(F.col("n") <= bound).drop("n"), "digest")
+    return (places.join(often, "digest").unionByName(rest).filter("row != r or unit != u")
             .groupBy("row").agg(F.collect_list("unit").alias("units")))
 
 

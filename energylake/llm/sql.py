@@ -34,8 +34,8 @@ with units as (
     select doc_id, unnest([{'n': i - 1, 'line': l[i]} for i in range(1, len(l) + 1)]) as u
     from (select doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents))),
 normal as (
-  select doc_id, unit, line, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-    'abcdefghijklmnopqrstuvwxyz'), '[\t\x0B\f\r ]+', ' ', 'g'), ' ') as norm from units),
+  select doc_id, unit, line, trim(regexp_replace(lower(line),
+    '[\t\x0B\f\r ]+', ' ', 'g'), ' ') as norm from units),
 ranked as (
   select *, len(norm) - len(replace(norm, ' ', '')) >= 3
     and row_number() over (partition by norm order by doc_id, unit) > 1 as gone,
