@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -15,6 +15,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from energylake.session import scratch_path
 
 SLICE_BYTES = 1 << 20
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def pick(df: DataFrame, **wanted: str) -> DataFrame:
@@ -46,6 +47,15 @@ def slices(batch: pa.RecordBatch, text: int, size: int = SLICE_BYTES) -> Iterato
         yield batch.slice(a, b - a)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 1,000 rows, where the session still has Spark's default.
+
+    Ten thousand long documents at once would not fit beside the other tasks of an executor.
+    """
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "1000")
+
+
 def map_texts(df: DataFrame, text: str, added: Sequence[T.StructField],
               make: Callable[[], Callable[[list[str | None]], Sequence]],
               keep_text: bool = False) -> DataFrame:
@@ -54,6 +64,7 @@ def map_texts(df: DataFrame, text: str, added: Sequence[T.StructField],
     ``make`` is called once a task; its result gets the texts of a slice and returns one
     list or array for each added column.  The text itself is dropped unless ``keep_text``.
     """
+    small_batches(df.sparkSession)
     at = df.columns.index(text)
     kept = [i for i in range(len(df.columns)) if keep_text or i != at]
     schema = T.StructType([*[df.schema.fields[i] for i in kept], *added])

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from energylake.llm.common import key_remainder, map_texts, pick, staged
+from energylake.llm.common import key_remainder, map_texts, pick, slices, staged
 from energylake.llm.ngrams import hashes, pieces
 
 SIZE, BITS = 3, 20
@@ -130,7 +130,7 @@ def train(docs: DataFrame, per_language: int = 2_000, width: int = 20_000, alpha
     sample = staged(texts.join(chosen, ["key", "lang"]).select("text", "lang"), "languages")
 
     def count(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 0)):
             lang = np.array(batch.column(1).to_pylist(), object)
             row, gram = gram_counts(batch.column(0).to_pylist())
             names, at = np.unique(lang, return_inverse=True)
@@ -174,7 +174,7 @@ def _trust(sample: DataFrame, model: Model) -> np.ndarray:
 
     def judge(batches):
         margins = model.margins()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 0)):
             m = margins(batch.column(0).to_pylist())
             want = model.code[[position[x] for x in batch.column(1).to_pylist()]]
             yield pa.RecordBatch.from_arrays(

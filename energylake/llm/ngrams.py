@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from energylake.llm.common import key_remainder, pick, staged
+from energylake.llm.common import key_remainder, pick, slices, staged
 
 PIECE = 1 << 19
 SLOT_BITS = 20
@@ -123,7 +123,7 @@ def class_counts(sample: DataFrame, grams: Grams) -> DataFrame:
     """Texts of label 1 and of label 0 that hold each n-gram: (gram, ones, zeros)."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 0)):
             label = batch.column(1).to_numpy(zero_copy_only=False)
             row, gram = grams.pairs(batch.column(0).to_pylist())
             ids, at = np.unique(gram, return_inverse=True)
@@ -140,7 +140,7 @@ def rows_of_features(sample: DataFrame, grams: Grams) -> dict[str, list]:
     """(label, positions of its features) of each sampled text; bounded by the sample."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 0)):
             lists = [np.flatnonzero(x) for _, block in grams.present(batch.column(0).to_pylist())
                      for x in block]
             yield pa.RecordBatch.from_arrays(

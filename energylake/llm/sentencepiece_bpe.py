@@ -15,7 +15,8 @@ from energylake.llm.common import map_texts, pick
 
 SPACE = "▁"
 MAX_WORD = 256
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
+DECODE_ROWS = 256
 NO_RANK = np.int64(1) << 40
 
 
@@ -280,12 +281,13 @@ def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids", out: str =
 
     def run(batches):
         p = pieces(model_path)
-        for batch in batches:
-            texts = []
+        for batch in (whole.slice(i, DECODE_ROWS) for whole in batches
+                      for i in range(0, whole.num_rows, DECODE_ROWS)):
             column = batch.column(at)
             offsets, values = column.offsets.to_numpy(), column.values.to_numpy()
-            for i in range(len(column)):
-                texts.append(decode_ids(p, values[offsets[i]:offsets[i + 1]]) if column[i].is_valid else "")
+            known = column.is_valid().to_numpy(zero_copy_only=False)
+            texts = [decode_ids(p, values[a:b]) if k else "" for a, b, k in zip(
+                offsets, offsets[1:], known)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
                                              [*batch.schema.names, out])
 
