@@ -52,13 +52,8 @@ def ratios(sample: DataFrame, grams: Grams, width: int, alpha: float, least_z: f
 
 
 def gathered(sample: DataFrame, grams: Grams) -> Rows:
-    got = rows_of_features(sample, grams)
-    # a fixed row order, whatever the order of the tasks
-    order = sorted(range(len(got["label"])), key=lambda i: (got["label"][i], got["at"][i]))
-    lists = [np.array(got["at"][i], np.int64) for i in order]
-    start = np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)]).astype(np.int64)
-    at = np.concatenate(lists) if lists else np.empty(0, np.int64)
-    return Rows(start, at, np.array([got["label"][i] for i in order], np.float64))
+    label, start, at = rows_of_features(sample, grams)
+    return Rows(start, at, label)
 
 
 def fit_logistic(rows: Rows, ratio: np.ndarray, l2: float, steps: int = 100, memory: int = 10

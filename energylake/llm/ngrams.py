@@ -136,14 +136,27 @@ def class_counts(sample: DataFrame, grams: Grams) -> DataFrame:
             .groupBy("gram").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros")))
 
 
-def rows_of_features(sample: DataFrame, grams: Grams) -> dict[str, list]:
-    """(label, positions of its features) of each sampled text; bounded by the sample."""
+def rows_of_features(sample: DataFrame, grams: Grams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Labels, row starts and feature positions of the sampled texts, in order of the texts' hashes.
+
+    Bounded by the rows of the sample times the features; kept in flat arrays throughout.
+    """
 
     def run(batches):
         for batch in (part for whole in batches for part in slices(whole, 0)):
             lists = [np.flatnonzero(x) for _, block in grams.present(batch.column(0).to_pylist())
                      for x in block]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array(lists, pa.list_(pa.int32()))], ["label", "at"])
-
-    return sample.mapInArrow(run, "label int, at array<int>").toArrow().to_pydict()
+                [*batch.columns[1:], pa.array(lists, pa.list_(pa.int32()))], ["label", "key", "at"])
+
+    got = (sample.select("text", "label", F.xxhash64("text").alias("key"))
+           .mapInArrow(run, "label int, key long, at array<int>").toArrow().combine_chunks())
+    label, key = (got.column(k).to_numpy() for k in ("label", "key"))
+    lists = pa.concat_arrays(got.column("at").chunks)
+    size = np.diff(lists.offsets.to_numpy())
+    values = lists.values.to_numpy()[lists.offsets[0].as_py():]
+    order = np.lexsort((size, label, key))
+    first = np.concatenate([[0], np.cumsum(size)])[order]
+    start = np.concatenate([[0], np.cumsum(size[order])]).astype(np.int64)
+    shift = np.repeat(first - start[:-1], size[order])
+    return label[order].astype(np.float64), start, values[np.arange(len(shift)) + shift].astype(np.int64)

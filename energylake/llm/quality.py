@@ -41,8 +41,8 @@ class Model:
         return score
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = 16_000,
-          width: int = 8_000, alpha: float = 1.0, least_z: float = 3.0, c: float = 1.0,
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = 10_000,
+          width: int = 4_000, alpha: float = 1.0, least_z: float = 3.0, c: float = 1.0,
           id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Learn from at most ``max_rows`` labelled texts (see ``labelled_sample``).
 
