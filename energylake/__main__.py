@@ -16,7 +16,7 @@ from energylake.operators.rows import is_empty
 from energylake.plans import jobs
 from energylake.plans.dashboard import overview, selected_homes
 from energylake.session import build_session
-from energylake.sources.layers import bi_export, dwelling_schema, read_layer, write_layer
+from energylake.sources.layers import bi_export, full_schema, read_layer, write_layer
 from energylake.sources.messages import publish_text
 from energylake.sources.paged import HttpPages, paged_source
 from energylake.streaming.ingest import (
@@ -39,8 +39,9 @@ def ingest(spark, a) -> None:
 
 
 def clean(spark, a) -> None:
-    schema = None if a.infer else dwelling_schema()
-    jobs.bronze_to_silver(spark, a.bronze, a.silver, a.staging, schema=schema).show()
+    schema = None if a.infer else full_schema(spark, a.bronze)
+    jobs.bronze_to_silver(spark, a.bronze, a.silver, a.staging, schema=schema,
+                          dataset=a.dataset).show()
 
 
 def gold(spark, a) -> None:
@@ -87,7 +88,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--batch-size", type=int, help="most messages per micro-batch (default: no limit)")
     p.add_argument("--tasks", type=int, help="least tasks per micro-batch (default: topic partitions)")
     p = stage(clean, "bronze", "silver", "staging")
-    p.add_argument("--infer", action="store_true", help="infer types and keep all columns")
+    p.add_argument("--infer", action="store_true", help="infer all types from the data")
+    p.add_argument("--dataset", help="one partition of the root that ingest writes")
     stage(gold, "silver", "gold", "gains")
     stage(train, "gold", "model", "metrics")
     stage(score, "homes", "model", "out")

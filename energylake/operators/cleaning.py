@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from energylake.functions.columns import col, encoded, flag, number
 from energylake.operators.quantiles import medians, numeric_columns, quantiles
@@ -26,6 +27,13 @@ def drop_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.drop(*names)
 
 
+def has_value(df: DataFrame, name: str) -> Column:
+    """The column is neither null nor NaN, the rule of ``drop_incomplete``."""
+    known = col(name).isNotNull()
+    floating = isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType))
+    return known & ~F.isnan(col(name)) if floating else known
+
+
 def drop_incomplete(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows that have a value in every named column."""
     return df.dropna(subset=list(cols))

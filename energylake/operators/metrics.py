@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from energylake.functions.columns import col
+from energylake.operators.cleaning import has_value
 from energylake.operators.quantiles import medians, quantiles
 
 
@@ -89,7 +90,7 @@ def target_summary(df: DataFrame, c: str, rel_err: float = 0) -> DataFrame:
 
 def cleaning_report(before: DataFrame, required: Sequence[str], cls: str) -> DataFrame:
     """Rows kept per class beside rows read, dropped and kept in all; one scan."""
-    complete = reduce(lambda a, b: a & b, [col(c).isNotNull() for c in required])
+    complete = reduce(lambda a, b: a & b, [has_value(before, c) for c in required])
     per = before.groupBy(col(cls)).agg(
         F.count(F.lit(1)).alias("_in"), F.count(F.when(complete, 1)).alias("count"))
     rows_in, rows_out = (per.agg(F.sum(c)).scalar() for c in ("_in", "count"))
@@ -113,12 +114,16 @@ def dominant_by_area(df: DataFrame, area: str, cls: str, good: Sequence[str] = (
 
 
 def regression_metrics(df: DataFrame, y: str, pred: str, by: Sequence[str] = ()) -> DataFrame:
-    """MAE, RMSE and R2 of predictions, in all or per group."""
-    error = col(y) - col(pred)
-    sse, sst = F.sum(error * error), F.var_pop(col(y)) * F.count(col(y))
+    """MAE, RMSE and R2 of predictions, in all or per group.
+
+    Only rows with both values count, in every figure and in ``rows``.
+    """
+    target = F.when(col(pred).isNotNull(), col(y))
+    error = target - col(pred)
+    sse, sst = F.sum(error * error), F.var_pop(target) * F.count(target)
     r2 = F.when(sst > 0, 1 - sse / sst).otherwise(F.when(sse == 0, 1.0).otherwise(0.0))
     return df.groupBy(*[col(c) for c in by]).agg(
-        F.count(col(y)).alias("rows"), F.avg(F.abs(error)).alias("mae"),
+        F.count(target).alias("rows"), F.avg(F.abs(error)).alias("mae"),
         F.sqrt(F.avg(error * error)).alias("rmse"), r2.alias("r2"))
 
 

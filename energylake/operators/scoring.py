@@ -6,6 +6,8 @@ from collections import defaultdict
 from collections.abc import Mapping
 from dataclasses import astuple, dataclass
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -56,9 +58,18 @@ def load_model(spark: SparkSession, path: str) -> RidgeModel:
     return RidgeModel(tuple(terms), next(r[-1] for r in rows if r[0] == INTERCEPT))
 
 
-def prediction(model: RidgeModel, unknown: str = UNKNOWN_LABEL) -> Column:
+def absent_columns(df: DataFrame, model: RidgeModel) -> list[str]:
+    """Trained columns that the frame lacks; they count as 0 when it is scored."""
+    return sorted({t.source for t in model.terms} - set(df.columns))
+
+
+def prediction(model: RidgeModel, unknown: str = UNKNOWN_LABEL,
+               columns: Sequence[str] | None = None) -> Column:
     """The model as one column expression.
 
+    Of trained columns only those in ``columns`` are read, if that is given; an absent
+    number counts as 0 and an absent category has weight 0.
+
     Centring goes into the constant and each category column becomes one lookup of
     its weight.  A category not seen in training has weight 0, as have columns the
     model does not know; null where a number is missing.
@@ -67,6 +78,8 @@ def prediction(model: RidgeModel, unknown: str = UNKNOWN_LABEL) -> Column:
     weights = defaultdict(dict)
     out = F.lit(float(constant))
     for t in model.terms:
+        if columns is not None and t.source not in columns:
+            continue
         if t.value is None:
             out = out + col(t.source).cast("double") * F.lit(t.coef / t.std)
         else:
@@ -78,7 +91,7 @@ def prediction(model: RidgeModel, unknown: str = UNKNOWN_LABEL) -> Column:
 
 def score(df: DataFrame, model: RidgeModel, out: str = "conso_predite_m2") -> DataFrame:
     """Adds the predicted consumption per square metre, never below 0."""
-    return df.withColumn(out, clamp(prediction(model), low=0))
+    return df.withColumn(out, clamp(prediction(model, columns=df.columns), low=0))
 
 
 def with_cost(df: DataFrame, conso_m2: str, surface: str,

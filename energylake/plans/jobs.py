@@ -71,14 +71,21 @@ def clean(df: DataFrame, spec: CleaningSpec = DWELLINGS) -> DataFrame:
 
 
 def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, staging: str,
-                     spec: CleaningSpec = DWELLINGS, schema=None) -> DataFrame:
+                     spec: CleaningSpec = DWELLINGS, schema=None,
+                     dataset: str | None = None) -> DataFrame:
     """Clean a bronze directory into a silver table and report on it.
 
+    With ``dataset`` only that partition is read; ``bronze`` is then the root that ingest
+    writes, whose log tells committed files from left-over ones.
+
     The JSON text is parsed once, into a columnar staging table in shared storage;
     the quantile jobs and the final write read that.  Rows are counted on the way.
     """
     read, kept = Observation("read"), Observation("kept")
-    rows = read_bronze(spark, bronze, schema).observe(read, F.count(F.lit(1)).alias("rows"))
+    rows = read_bronze(spark, bronze, schema)
+    if dataset is not None:
+        rows = rows.filter(col("dataset") == dataset)
+    rows = rows.observe(read, F.count(F.lit(1)).alias("rows"))
     rows = select_rows(rows, spec).observe(kept, F.count(F.lit(1)).alias("rows"))
     write_layer(rows, staging)
     result = repair(read_layer(spark, staging), spec)

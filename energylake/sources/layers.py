@@ -29,6 +29,21 @@ def dwelling_schema() -> T.StructType:
         + [T.StructField(c, T.BooleanType()) for c in fv.BOOLEAN_COLUMNS])
 
 
+def full_schema(spark: SparkSession, path: str | Sequence[str],
+                known: T.StructType | None = None) -> T.StructType:
+    """Declared schema plus, as text, every other field that occurs in the records.
+
+    One scan collects the distinct field names, which are bounded by what the source
+    sends.  The never-analysed columns stay out.
+    """
+    known = known or dwelling_schema()
+    names = (spark.read.text(path).select(F.explode(F.json_object_keys("value")).alias("name"))
+             .distinct().collect())
+    others = sorted({r["name"] for r in names} - set(known.names)
+                    - {*fv.META_COLUMNS, *fv.DATE_COLUMNS, *fv.TEXT_COLUMNS})
+    return T.StructType([*known.fields, *[T.StructField(n, T.StringType()) for n in others]])
+
+
 def read_bronze(spark: SparkSession, path: str | Sequence[str],
                 schema: T.StructType | None = None, keep_corrupt: bool = False) -> DataFrame:
     """JSON-lines directory with its partition columns.

@@ -59,7 +59,10 @@ class HttpPages:
         self.opener = opener
 
     def total(self) -> int:
-        return int(self._get({"size": 1}).get("total", 0))
+        reply = self._get({"size": 1})
+        if reply.get("total") is None:
+            raise ValueError(f"{self.url} does not say how many rows it has")
+        return int(reply["total"])
 
     def page(self, start: int, size: int) -> Iterator[tuple]:
         reply = self._get({"size": size, "from": start, "format": "json"})
@@ -129,13 +132,14 @@ def page_runs(start: int, stop: int, size: int, pages: int) -> list[PageRun]:
 
 
 def _pull(pages: Pages, run: PageRun) -> Iterator:
+    """Rows of a run; a page with fewer rows than planned fails it, as rows would be lost."""
     for start in range(run.start, run.stop, run.size):
-        empty = True
-        for row in pages.page(start, min(run.size, run.stop - start)):
-            empty = False
+        wanted, got = min(run.size, run.stop - start), 0
+        for row in pages.page(start, wanted):
+            got += row.num_rows if isinstance(row, pa.RecordBatch) else 1
             yield row
-        if empty:
-            return
+        if got < wanted:
+            raise ValueError(f"{got} rows instead of {wanted} from row {start} on")
 
 
 def paged_source(pages: Pages, schema: str = TEXT_ROWS, name: str = "paged") -> type[DataSource]:
