@@ -17,31 +17,43 @@ from energylake.plans import jobs
 from energylake.plans.dashboard import overview, selected_homes
 from energylake.session import build_session
 from energylake.sources.layers import bi_export, full_schema, read_layer, write_layer
-from energylake.sources.messages import publish_text
+from energylake.sources.messages import publish_stream
 from energylake.sources.paged import HttpPages, paged_source
 from energylake.streaming.ingest import (
-    bronze_totals, ingest_to_bronze, read_stream, topic_options)
+    ingest_to_bronze, read_stream, run_totals, topic_options)
+
+# a bounded backlog per micro-batch keeps a first run restartable in steps
+BATCH_MESSAGES = 1_000_000
+
+
+def report(df) -> None:
+    """Every row of a small result, run once."""
+    rows = df.collect()
+    df.sparkSession.createDataFrame(rows, df.schema).show(len(rows), truncate=False)
 
 
 def pull(spark, a) -> None:
     spark.dataSource.register(paged_source(HttpPages(a.url)))
-    reader = spark.read.format("paged").option("offset", a.offset).option("page_size", a.page_size)
+    reader = (spark.readStream.format("paged").option("offset", a.offset)
+              .option("page_size", a.page_size))
     if a.limit is not None:
         reader = reader.option("limit", a.limit)
-    publish_text(reader.load(), a.topic, {"kafka.bootstrap.servers": a.brokers})
+    publish_stream(reader.load(), a.topic, {"kafka.bootstrap.servers": a.brokers},
+                   a.checkpoint).awaitTermination()
 
 
 def ingest(spark, a) -> None:
+    tasks = a.tasks or spark.sparkContext.defaultParallelism
     stream = read_stream(spark, topic_options(a.brokers, max_per_trigger=a.batch_size,
-                                              min_partitions=a.tasks))
-    ingest_to_bronze(stream, a.bronze, a.checkpoint).awaitTermination()
-    bronze_totals(spark, a.bronze).show()
+                                              min_partitions=tasks))
+    for folder, messages in run_totals(ingest_to_bronze(stream, a.bronze, a.checkpoint)).items():
+        print(f"{folder}\t{messages}")
 
 
 def clean(spark, a) -> None:
     schema = None if a.infer else full_schema(spark, a.bronze)
-    jobs.bronze_to_silver(spark, a.bronze, a.silver, a.staging, schema=schema,
-                          dataset=a.dataset).show()
+    report(jobs.bronze_to_silver(spark, a.bronze, a.silver, a.staging, schema=schema,
+                                 dataset=a.dataset))
 
 
 def gold(spark, a) -> None:
@@ -49,7 +61,7 @@ def gold(spark, a) -> None:
 
 
 def train(spark, a) -> None:
-    jobs.publish_model(read_layer(spark, a.gold), a.model, a.metrics).show()
+    report(jobs.publish_model(read_layer(spark, a.gold), a.model, a.metrics))
 
 
 def score(spark, a) -> None:
@@ -66,7 +78,7 @@ def show(spark, a) -> None:
     if is_empty(homes):
         print("no home passes the filters")
         return
-    overview(homes).orderBy("panel", "label").show(1000, truncate=False)
+    report(overview(homes).orderBy("panel", "label"))
 
 
 def parser() -> argparse.ArgumentParser:
@@ -80,13 +92,14 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument(f"--{path}", required=True)
         return p
 
-    p = stage(pull, "url", "topic", "brokers")
+    p = stage(pull, "url", "topic", "brokers", "checkpoint")
     p.add_argument("--limit", type=int, help="most rows (default: all)")
     p.add_argument("--offset", type=int, default=0, help="first row")
     p.add_argument("--page-size", type=int, default=fv.PAGE_SIZE)
     p = stage(ingest, "brokers", "bronze", "checkpoint")
-    p.add_argument("--batch-size", type=int, help="most messages per micro-batch (default: no limit)")
-    p.add_argument("--tasks", type=int, help="least tasks per micro-batch (default: topic partitions)")
+    p.add_argument("--batch-size", type=int, default=BATCH_MESSAGES,
+                   help="most messages per micro-batch (default: %(default)s)")
+    p.add_argument("--tasks", type=int, help="least tasks per micro-batch (default: one per core)")
     p = stage(clean, "bronze", "silver", "staging")
     p.add_argument("--infer", action="store_true", help="infer all types from the data")
     p.add_argument("--dataset", help="one partition of the root that ingest writes")

@@ -38,9 +38,22 @@ def vocabulary(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
     return {c: sorted(values) for c, values in found.items()}
 
 
-def dummies(vocab: Mapping[str, Sequence[str]]) -> dict[str, tuple[str, str]]:
-    """Dummy name to (column, value); the first value of each column is the base."""
-    return {f"{c}_{v}": (c, v) for c, values in vocab.items() for v in values[1:]}
+def dummies(vocab: Mapping[str, Sequence[str]], taken: Sequence[str] = ()
+            ) -> dict[str, tuple[str, str]]:
+    """Dummy name to (column, value); the first value of each column is the base.
+
+    A name is ``column_value``, with a number behind it where that is taken already, by
+    another dummy or by a column in ``taken``; names differ in more than case.
+    """
+    found, used = {}, {name.lower() for name in taken}
+    for c, values in vocab.items():
+        for v in values[1:]:
+            name, k = f"{c}_{v}", 2
+            while name.lower() in used:
+                name, k = f"{c}_{v}_{k}", k + 1
+            used.add(name.lower())
+            found[name] = (c, v)
+    return found
 
 
 def one_hot(df: DataFrame, cols: Sequence[str],
@@ -49,7 +62,7 @@ def one_hot(df: DataFrame, cols: Sequence[str],
     vocab = vocabulary(df, cols) if vocab is None else vocab
     return df.withColumns({
         name: F.when(col(c).cast("string") == v, 1.0).otherwise(0.0)
-        for name, (c, v) in dummies(vocab).items()}).drop(*cols)
+        for name, (c, v) in dummies(vocab, df.columns).items()}).drop(*cols)
 
 
 def fit_scaler(df: DataFrame, features: Sequence[str]) -> dict[str, tuple[float, float]]:

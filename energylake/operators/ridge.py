@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from energylake.functions.columns import col, encoded
 
-FIRST_ROWS = 1_000
-FAR_OFF = 1_000.0
+PACKED = "fold int, n double, mean array<double>, scatter array<double>"
+SALTS = 1_024
 
 
 @dataclass(frozen=True)
@@ -56,15 +56,18 @@ class Moments:
         return coef, float(self.mean[-1] - coef @ self.mean[:-1])
 
     def r2(self, coef: np.ndarray, intercept: float) -> float:
-        """R2 of a fit on these rows."""
+        """R2 of a fit on these rows; with a constant target 1 without error, else 0."""
         v = np.append(-coef, 1.0)
         bias = self.mean @ v - intercept
         sse = v @ self.scatter @ v + self.n * bias * bias
-        return float(1 - sse / self.scatter[-1, -1])
+        sst = self.scatter[-1, -1]
+        # as in deviations(), rounding alone is no spread
+        if sst > self.n * (1e-12 * self.mean[-1]) ** 2:
+            return float(1 - sse / sst)
+        return float(sse <= self.n * (1e-12 * self.mean[-1]) ** 2)
 
 
 def fold_moments(df: DataFrame, features: Sequence[str], y: str, fold: str | None = None,
-                 centre: Sequence[float] | None = None,
                  vocab: Mapping[str, Sequence[str]] | None = None) -> dict[int, Moments]:
     """Moments per fold number (fold 0 alone without a fold column), in one job.
 
@@ -72,9 +75,9 @@ def fold_moments(df: DataFrame, features: Sequence[str], y: str, fold: str | Non
     first value of each being the base; a category travels as one small number and
     becomes dummies inside the task.
 
-    Sums are taken around ``centre``, which keeps them from cancelling.  Any point
-    near the data will do; by default the mean of a few rows, and should that turn
-    out to be far off, the sums are taken again around the true means.
+    Each task keeps one centred matrix per fold, so nothing cancels however far the data
+    lie from zero.  The matrices travel as packed rows and are merged in two levels, by a
+    salt and by fold; the driver gets one row per fold.
     """
     names, vocab = [*features, y], vocab or {}
     widths = [max(0, len(values) - 1) for values in vocab.values()]
@@ -83,57 +86,53 @@ def fold_moments(df: DataFrame, features: Sequence[str], y: str, fold: str | Non
         *[col(c).cast("double").alias(f"x{i}") for i, c in enumerate(names)],
         *[encoded(col(c).cast("string"), {v: k for k, v in enumerate(values)}, 0).alias(f"c{i}")
           for i, (c, values) in enumerate(vocab.items())])
-    if centre is None:
-        means = _rough_means(rows, len(names))
-        centre = [*means[:-1], *[0.0] * sum(widths), means[-1]]
-    found = _moments_around(rows, np.array(centre, dtype=float), widths)
-    whole = reduce(Moments.__add__, found.values())
-    if np.any(np.abs(whole.mean - centre) > FAR_OFF * whole.deviations()):
-        found = _moments_around(rows, whole.mean, widths)
-    return found
-
-
-def _rough_means(rows: DataFrame, width: int) -> np.ndarray:
-    """Means over the first few rows, a starting point only."""
-    first = np.array([r[1:width + 1] for r in rows.head(FIRST_ROWS)], dtype=float).reshape(-1, width)
-    known = np.isfinite(first)
-    return np.where(known, first, 0.0).sum(axis=0) / np.maximum(known.sum(axis=0), 1)
-
-
-def _moments_around(rows: DataFrame, shift: np.ndarray, widths: list[int]) -> dict[int, Moments]:
-    sums = (rows.mapInArrow(_product_sums(shift, widths), "fold int, i int, j int, value double")
-            .groupBy("fold", "i", "j").agg(F.sum("value").alias("value")).collect())
-    size, raw = len(shift) + 1, {}
-    for k, i, j, value in sums:
-        matrix = raw.setdefault(k, np.zeros((size, size)))
-        matrix[i, j] = matrix[j, i] = value
-    if not raw:
+    parts = rows.mapInArrow(_batch_moments(len(names), widths), PACKED)
+    salted = parts.repartition("fold", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    merged = (salted.mapInArrow(_merge, PACKED).repartition("fold").mapInArrow(_merge, PACKED))
+    found = {r["fold"]: _unpacked(r["n"], r["mean"], r["scatter"]) for r in merged.collect()}
+    if not found:
         raise ValueError("no rows to fit on")
-    if any(np.isnan(m).any() for m in raw.values()):
+    if any(np.isnan(m.mean).any() for m in found.values()):
         raise ValueError("features and target must not hold nulls")
-    return {k: _centred(m, shift) for k, m in sorted(raw.items())}
+    return dict(sorted(found.items()))
 
 
-def _centred(raw: np.ndarray, shift: np.ndarray) -> Moments:
-    n, total = raw[0, 0], raw[0, 1:]
-    return Moments(n, shift + total / n, raw[1:, 1:] - np.outer(total, total) / n)
+def _unpacked(n: float, mean, scatter) -> Moments:
+    mean = np.array(mean, dtype=float)
+    return Moments(n, mean, np.array(scatter, dtype=float).reshape(len(mean), len(mean)))
 
 
-def _product_sums(shift: np.ndarray, widths: list[int]):
-    """Task function: upper triangle of the summed products of (1, columns) per fold."""
-    numbers = len(shift) - sum(widths) - 1
+def _packed(sums: Mapping[int, Moments]) -> Iterator[pa.RecordBatch]:
+    for k, m in sums.items():
+        lists = [pa.array([x.ravel()], pa.list_(pa.float64())) for x in (m.mean, m.scatter)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k], pa.int32()), pa.array([m.n], pa.float64()), *lists],
+            names=["fold", "n", "mean", "scatter"])
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task function: one matrix per fold from many, a few rows in memory at a time."""
+    sums = {}
+    for batch in batches:
+        for i in range(batch.num_rows):
+            k, n = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+            part = _unpacked(n, *(batch.column(c)[i].values.to_numpy() for c in (2, 3)))
+            sums[k] = sums[k] + part if k in sums else part
+    yield from _packed(sums)
+
+
+def _batch_moments(numbers: int, widths: list[int]):
+    """Task function: moments per fold of (numbers..., dummies..., target)."""
 
     def table(columns: list[np.ndarray]) -> np.ndarray:
-        z = np.zeros((len(shift) + 1, len(columns[0])))
-        z[0] = 1.0
-        z[1:numbers + 1] = columns[:numbers]
-        z[-1] = columns[numbers]
-        base = numbers
-        for codes, width in zip(columns[numbers + 1:], widths):
+        z = np.zeros((numbers + sum(widths), len(columns[0])))
+        z[:numbers - 1] = columns[:numbers - 1]
+        z[-1] = columns[numbers - 1]
+        base = numbers - 2
+        for codes, width in zip(columns[numbers:], widths):
             hits = np.flatnonzero(codes)
             z[base + codes[hits], hits] = 1.0
             base += width
-        z[1:] -= shift[:, None]
         return z
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,15 +140,13 @@ def _product_sums(shift: np.ndarray, widths: list[int]):
         for batch in batches:
             folds, *columns = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             z = table(columns)
-            for k in np.unique(folds):
+            for k in map(int, np.unique(folds)):
                 part = z[:, folds == k]
-                sums[int(k)] = sums.get(int(k), 0.0) + part @ part.T
-        i, j = np.triu_indices(len(shift) + 1)
-        for k, matrix in sums.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(i), k), pa.int32()), pa.array(i, pa.int32()),
-                 pa.array(j, pa.int32()), pa.array(matrix[i, j])],
-                names=["fold", "i", "j", "value"])
+                mean = part.mean(axis=1)
+                part = part - mean[:, None]
+                found = Moments(float(part.shape[1]), mean, part @ part.T)
+                sums[k] = sums[k] + found if k in sums else found
+        yield from _packed(sums)
 
     return run
 
@@ -174,8 +171,8 @@ def cross_validate(moments: dict[int, Moments], alphas: Sequence[float]) -> list
 
 
 def best_alpha(results: Sequence[tuple]) -> float:
-    """Penalty with the highest mean R2, the first one on a tie."""
-    return max(results, key=lambda r: r[1])[0]
+    """Penalty with the highest mean R2, the first one on a tie; NaN ranks last."""
+    return max(results, key=lambda r: -np.inf if np.isnan(r[1]) else r[1])[0]
 
 
 def select_alpha(df: DataFrame, features: Sequence[str], y: str, alphas: Sequence[float],

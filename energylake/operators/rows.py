@@ -7,10 +7,11 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from energylake.functions.columns import col, number
-from energylake.operators.quantiles import numeric_columns, values_at_ranks
+from energylake.functions.columns import col
+from energylake.session import scratch_path
 
 TOP_ROWS = 100_000
+PLACE_BITS = 33  # of monotonically_increasing_id, the bits below the partition number
 SMALL_ROWS = 10_000
 BUCKETS = 10_000
 
@@ -62,38 +63,54 @@ def ordered(df: DataFrame, *keys: Column, partitions: int | None = None) -> Data
     return df.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys)
 
 
+def row_order(df: DataFrame, c: str) -> list[Column]:
+    """Sort keys by which only rows equal in every column tie: the column, then a hash of the row."""
+    hashed = [col(f.name) for f in df.schema.fields
+              if not any(kind in f.dataType.simpleString() for kind in ("map<", "variant"))]
+    return [col(c), F.xxhash64(*hashed)]
+
+
 def slice_rows(df: DataFrame, order_by: str, limit: int | None = None, offset: int = 0,
                partitions: int | None = None) -> DataFrame:
-    """``limit`` rows after the first ``offset`` rows in the order of a unique column.
+    """``limit`` rows after the first ``offset`` rows in the order of a column.
 
-    A short slice near the start is a bounded top-k.  Any other would send the
-    sorted table through one task, so there the column's values at the two ends
-    are searched first and the slice is an ordinary range filter.
+    The column has any type that can be sorted; nulls come first and equal keys go by a
+    hash of the row.  A slice near the start is a bounded top-k.  Any other would send the
+    sorted table through one task, so there the sorted rows are written once, each with
+    its place; rows are counted per partition and the slice is a range filter on the
+    place.  Both ways give the same rows, and no partition is ever gathered.
     """
+    keys = row_order(df, order_by)
     if limit is None and offset == 0:
-        return ordered(df, col(order_by), partitions=partitions)
+        return ordered(df, *keys, partitions=partitions)
     if limit is not None and offset + limit <= TOP_ROWS:
-        return df.orderBy(col(order_by)).offset(offset).limit(limit)
-    if not numeric_columns(df, [order_by]):
-        raise ValueError(f"a long slice needs a numeric order column, not {order_by}")
-    x = number(col(order_by))
-    rows, known = df.agg(F.count(F.lit(1)), F.count(x)).first()
-    if known != rows:
-        raise ValueError(f"{order_by} has nulls, so its order is not unique")
-    ends = {"after": offset, "upto": rows if limit is None else min(rows, offset + limit)}
-    if ends["after"] >= ends["upto"]:
+        return df.orderBy(*keys).offset(offset).limit(limit)
+    place = "_place"
+    while place in map(str.lower, df.columns):
+        place += "_"
+    path = scratch_path(df.sparkSession, "sorted")
+    (ordered(df, *keys, partitions=partitions)
+     .withColumn(place, F.monotonically_increasing_id()).write.parquet(path))
+    rows = df.sparkSession.read.parquet(path)
+    sizes = (rows.groupBy(F.shiftright(place, PLACE_BITS).alias("part"))
+             .agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect())
+    total = sum(r["n"] for r in sizes)
+    stop = total if limit is None else min(total, offset + limit)
+    if offset >= stop:
         return df.limit(0)
-    ranks = sorted({r for r in ends.values() if 0 < r < rows})
-    at = dict(zip(ranks, values_at_ranks(df, {order_by: ranks}, {order_by: rows})[order_by]))
-    if at:
-        seen = df.agg(*[F.count(F.when(x <= v, 1)) for v in at.values()]).first()
-        if list(seen) != list(at):
-            raise ValueError(f"{order_by} is not unique")
-    if ends["after"] in at:
-        df = df.filter(x > at[ends["after"]])
-    if ends["upto"] in at:
-        df = df.filter(x <= at[ends["upto"]])
-    return ordered(df, col(order_by), partitions=partitions)
+    rows = rows.filter(F.col(place) >= _place(sizes, offset))
+    if stop < total:
+        rows = rows.filter(F.col(place) < _place(sizes, stop))
+    return ordered(rows, F.col(place), partitions=partitions).drop(place)
+
+
+def _place(sizes: Sequence, row: int) -> int:
+    """Place of the row with this number: its partition's bits, then its number within."""
+    for part, n in sizes:
+        if row < n:
+            return (part << PLACE_BITS) + row
+        row -= n
+    raise IndexError(row)
 
 
 def hash_bucket(cols: Sequence[str], seed: int, n: int) -> Column:

@@ -165,7 +165,7 @@ def train(df: DataFrame, spec: TrainingSpec = TrainingSpec()) -> tuple[RidgeMode
     spark, rows = df.sparkSession, training_rows(df, spec)
     categories, numbers = cl.present(df, spec.categories), cl.present(df, spec.numbers)
     vocab = vocabulary(rows, categories)
-    columns = dummies(vocab)
+    columns = dummies(vocab, numbers)
     features = [*numbers, *columns]
     moments = fold_moments(rows, numbers, TARGET, "fold", vocab=vocab)
     training = {k: m for k, m in moments.items() if k != HELD_OUT}

@@ -11,7 +11,8 @@ from energylake.session import scratch_path
 from energylake.sources.layers import read_bronze, read_layer, write_layer
 from energylake.sources.messages import publish, publish_stream
 from energylake.sources.paged import TEXT_ROWS, ParquetPages, paged_source
-from energylake.streaming.ingest import bronze_totals, ingest_to_bronze, read_stream
+from energylake.streaming.ingest import (
+    bronze_totals, ingest_to_bronze, read_stream, run_totals)
 
 EVENT_TOPICS = {"click": "existant", "view": "neuf", "purchase": "achat"}
 EVENT_FOLDER_SQL = """case event_type when 'click' then 'existant' when 'view' then 'neuf'
@@ -62,16 +63,21 @@ def paged_resume(spark, sf):
     return class_distribution(spark.read.text(path), "value", out="n")
 
 
-def _ingested(spark, sf, label):
-    """All events sent through the streaming ingest; the bronze path."""
+def _ingest(spark, sf, label):
+    """All events sent through the streaming ingest: the running query and the bronze path."""
     events = read_stream(spark, {"pathGlobFilter": "events.parquet"}, "parquet",
                          table(spark, sf, "events").schema, sf)
     messages = events.select(
         F.col("event_type").alias("topic"), F.col("ts").alias("timestamp"),
         encode_json("event_id", "user_id", "event_type", "value").cast("binary").alias("value"))
     path = scratch_path(spark, label)
-    ingest_to_bronze(messages, path, scratch_path(spark, f"{label}-checkpoint"),
-                     EVENT_TOPICS).awaitTermination()
+    return ingest_to_bronze(messages, path, scratch_path(spark, f"{label}-checkpoint"),
+                            EVENT_TOPICS), path
+
+
+def _ingested(spark, sf, label):
+    running, path = _ingest(spark, sf, label)
+    running.awaitTermination()
     return path
 
 
@@ -86,3 +92,10 @@ def stream_ingest(spark, sf):
 @query(f"select {EVENT_FOLDER_SQL} as dataset, count(*) as messages from events group by 1")
 def topic_totals(spark, sf):
     return bronze_totals(spark, _ingested(spark, sf, "totals"))
+
+
+@query(f"select {EVENT_FOLDER_SQL} as dataset, count(*) as messages from events group by 1")
+def ingest_run_totals(spark, sf):
+    """What one run of the ingest counted on its way."""
+    totals = run_totals(_ingest(spark, sf, "run")[0])
+    return spark.createDataFrame(list(totals.items()), "dataset string, messages long")

@@ -49,6 +49,28 @@ def slice_rows_resume(spark, sf):
     return r.slice_rows(orders, "o_orderkey", offset=1000)
 
 
+@query("""select c_custkey, c_name, c_acctbal from customer order by c_name, c_custkey offset 700""")
+def slice_by_text(spark, sf):
+    customer = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    return r.slice_rows(customer, "c_name", offset=700)
+
+
+@query("""select o_orderkey + 1152921504606846976 as k, o_custkey from orders
+          order by k limit 120000 offset 7000""")
+def slice_by_large_numbers(spark, sf):
+    """Keys that a double cannot tell apart."""
+    orders = table(spark, sf, "orders").select((F.col("o_orderkey") + 2**60).alias("k"), "o_custkey")
+    return r.slice_rows(orders, "k", limit=120_000, offset=7_000)
+
+
+@query("select l_quantity, l_linenumber from lineitem order by l_quantity, l_linenumber offset 31000")
+def slice_repeated_keys(spark, sf):
+    """Pages of a key that occurs on many rows: all but the first 31,000 rows."""
+    keys = table(spark, sf, "lineitem").select(
+        F.struct("l_quantity", "l_linenumber").alias("k"))
+    return r.slice_rows(keys, "k", offset=31_000).select("k.*")
+
+
 @query("""select case when ('0x' || substr(md5('42|' || l_orderkey), 1, 8))::bigint % 10000 < 2000
                       then 'test' else 'train' end as split,
                  ('0x' || substr(md5('43|' || l_orderkey), 1, 8))::bigint % 5 as fold,

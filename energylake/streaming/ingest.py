@@ -14,6 +14,9 @@ from energylake.functions.columns import col, ingest_parts, lookup
 from energylake.operators.metrics import topic_totals
 
 
+OBSERVED = "messages per folder"
+
+
 def topic_options(brokers: str, topics: Mapping[str, str] = TOPIC_FOLDER,
                   max_per_trigger: int | None = None,
                   min_partitions: int | None = None) -> dict[str, str]:
@@ -62,13 +65,34 @@ def ingest_to_bronze(messages: DataFrame, path: str, checkpoint: str,
     """Write all waiting messages as JSON lines under ``dataset=…/date=…`` and stop.
 
     The sink's log and the checkpoint commit together: a restart neither loses nor
-    repeats a message.
+    repeats a message.  Messages per folder are observed on the way, for ``run_totals``.
     """
-    return (route(messages, folders, ts_col).writeStream.format("text")
+    names = sorted({*folders.values(), UNKNOWN_FOLDER})
+    routed = route(messages, folders, ts_col).observe(
+        OBSERVED, *[F.count_if(F.col("dataset") == n).alias(n) for n in names])
+    return (routed.writeStream.format("text")
             .partitionBy("dataset", "date").option("checkpointLocation", checkpoint)
             .outputMode("append").trigger(availableNow=True).start(path))
 
 
+def run_totals(query: StreamingQuery) -> dict[str, int]:
+    """Waits for the end of an ingest and gives the messages of this run per folder.
+
+    Progress is gathered while the run goes on, as Spark keeps only the last reports; a
+    batch whose report was missed raises, as the totals would be too low.
+    """
+    seen = {}
+    ended = False
+    while not ended:
+        ended = query.awaitTermination(1)
+        seen.update((p.batchId, p.observedMetrics[OBSERVED].asDict())
+                    for p in query.recentProgress if OBSERVED in p.observedMetrics)
+    if seen and len(seen) <= max(seen) - min(seen):
+        raise RuntimeError("reports of some batches were missed; count the bronze layer instead")
+    names = next(iter(seen.values()), {})
+    return {n: total for n in names if (total := sum(s[n] for s in seen.values()))}
+
+
 def bronze_totals(spark: SparkSession, path: str) -> DataFrame:
     """Messages per dataset folder, without parsing them."""
     return topic_totals(spark.read.text(path), "dataset")

@@ -58,14 +58,50 @@ def test_fit_matches_spark_ml(spark):
     assert [got[k] for k in "abc"] == pytest.approx(list(ml.coefficients), rel=1e-6)
 
 
-def test_a_far_off_centre_is_corrected(spark):
+def test_moments_far_from_zero_and_in_any_order(spark):
+    """A first part of the rows that lies far off does no harm, nor does their order."""
     x, y, folds = arrays()
-    df = frame(spark, x, y, folds)
-    near = ridge.fold_moments(df, ["a", "b", "c"], "y", "fold")
-    far = ridge.fold_moments(df, ["a", "b", "c"], "y", "fold", centre=[1e7] * 4)
-    for k in near:
-        assert near[k].n == far[k].n
-        np.testing.assert_allclose(near[k].scatter, far[k].scatter, rtol=1e-9, atol=1e-9)
+    x[:50] += 1e6
+    near = ridge.fold_moments(frame(spark, x, y, folds), ["a", "b", "c"], "y", "fold")
+    back = ridge.fold_moments(frame(spark, x[::-1], y[::-1], folds[::-1], 1), ["a", "b", "c"], "y", "fold")
+    for k in range(5):
+        rows = np.column_stack([x, y])[folds == k]
+        centred = rows - rows.mean(axis=0)
+        for found in (near[k], back[k]):
+            assert found.n == len(rows)
+            np.testing.assert_allclose(found.mean, rows.mean(axis=0), rtol=1e-12)
+            np.testing.assert_allclose(found.scatter, centred.T @ centred, rtol=1e-7, atol=1e-3)
+
+
+def test_the_driver_gets_one_row_per_fold(spark):
+    x, y, folds = arrays()
+    df = frame(spark, x, y, folds, 16)
+    sent = []
+    collect = type(df).collect
+
+    def counted(self):
+        rows = collect(self)
+        sent.append(len(rows))
+        return rows
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(df), "collect", counted)
+        ridge.fold_moments(df, ["a", "b", "c"], "y", "fold")
+    assert sent == [5]
+
+
+def test_constant_targets_and_nan_scores():
+    flat = ridge.Moments(4, np.array([1.0, 5.0]), np.array([[2.0, 0.0], [0.0, 0.0]]))
+    assert flat.r2(np.array([0.0]), 5.0) == 1.0 and flat.r2(np.array([1.0]), 4.0) == 0.0
+    assert ridge.best_alpha([(0.1, float("nan"), 0), (1.0, -2.0, 0)]) == 1.0
+
+
+def test_dummies_of_clashing_names(spark):
+    df = spark.createDataFrame([("a", "a", 9.0), ("y_z", "a", 9.0), ("a", "z", 9.0)],
+                               "x string, x_y string, X_Y_Z_2 double")
+    out = f.one_hot(df, ["x", "x_y"])
+    assert out.columns == ["X_Y_Z_2", "x_y_z", "x_y_z_3"]
+    assert [tuple(r) for r in out.collect()] == [(9, 0, 0), (9, 1, 0), (9, 0, 1)]
 
 
 def test_nulls_are_refused(spark):

@@ -30,14 +30,26 @@ def test_long_slice_is_a_filter_not_a_single_task(thousand):
     assert "Offset" not in plan and "Limit" not in plan and "Filter" in plan
 
 
-def test_long_slice_needs_a_unique_numeric_key(spark):
-    twice = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (3, None)], "k bigint, s string")
-    with pytest.raises(ValueError, match="unique"):
-        r.slice_rows(twice, "k", None, 2)
-    with pytest.raises(ValueError, match="numeric"):
-        r.slice_rows(twice, "s", None, 2)
-    with pytest.raises(ValueError, match="null"):
-        r.slice_rows(twice.withColumn("k", F.nullif("k", F.lit(3))), "k", None, 2)
+@pytest.mark.parametrize("top", [100_000, 0])
+def test_slices_by_any_key(spark, monkeypatch, top):
+    """Text, null, repeated and very large keys, the short way and the long way."""
+    monkeypatch.setattr(r, "TOP_ROWS", top)
+    rows = [(2**60 + i // 3, None if i < 4 else f"s{i % 40:02}", i, "x") for i in range(120)]
+    df = spark.createDataFrame(rows, "k bigint, s string, i int, _place string").repartition(5)
+    for key, want in (("k", sorted(x[0] for x in rows)),
+                      ("s", [None] * 4 + sorted(x[1] for x in rows[4:]))):
+        pages = [r.slice_rows(df, key, 25, start).collect() for start in range(0, 150, 25)]
+        assert [x[key] for page in pages for x in page] == want
+        assert sorted(x["i"] for page in pages for x in page) == list(range(120))
+        assert pages[0][0].asDict().keys() == {"k", "s", "i", "_place"}
+        rest = r.slice_rows(df, key, None, 100).collect()
+        assert rest == pages[4]
+
+
+def test_equal_rows_are_sliced_by_number(spark):
+    same = spark.range(100).select(F.lit("a").alias("k")).repartition(7)
+    assert r.slice_rows(same, "k", None, 33).count() == 67
+    assert r.slice_rows(same.limit(0), "k", None, 33).count() == 0
 
 
 @pytest.mark.parametrize("bucket", [r.hash_bucket, r.portable_bucket])

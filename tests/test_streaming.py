@@ -10,7 +10,7 @@ from energylake.operators.scoring import RidgeModel, Term, score
 from energylake.session import scratch_path
 from energylake.sources.layers import read_bronze
 from energylake.streaming.ingest import (
-    bronze_totals, ingest_to_bronze, read_stream, route, topic_options, with_ingest_date)
+    bronze_totals, ingest_to_bronze, read_stream, route, run_totals, topic_options, with_ingest_date)
 
 SCHEMA = "topic string, value binary, timestamp timestamp"
 DAY = dt.datetime(2026, 3, 5, 23, 59, 30)
@@ -48,6 +48,20 @@ def test_ingest_routes_and_resumes(spark):
         "existant": 2, "neuf": 1, "inconnu": 1}
 
 
+def test_totals_are_those_of_the_run(spark):
+    topic, bronze, checkpoint = (scratch_path(spark, n) for n in ("topic", "bronze", "checkpoint"))
+
+    def run():
+        return run_totals(ingest_to_bronze(stream(spark, topic), bronze, checkpoint))
+
+    for n in range(3):
+        send(spark, topic, [("open-data-existant", f'{{"n":{n}}}'), ("other", "{}")])
+    assert run() == {"existant": 3, "inconnu": 3}
+    assert run() == {}
+    send(spark, topic, [("open-data-neuf", "{}"), ("open-data-neuf", "{}")])
+    assert run() == {"neuf": 2}
+
+
 def test_the_text_of_a_message_is_kept(spark):
     text = json.dumps({"b": 1.0, "a": None, "nested": {"x": [1, 2]}}, ensure_ascii=False)
     df = spark.createDataFrame([("open-data-neuf", bytearray(text.encode()), DAY)], SCHEMA)
