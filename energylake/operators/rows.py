@@ -151,10 +151,9 @@ def join_small(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: s
                bound: int | None = None) -> DataFrame:
     """Join with a side that is expected to be small.
 
-    It is broadcast when the caller can state its largest possible size or when
-    a count, which stops early, shows that it is small.  Otherwise the planner
-    decides: a shuffled join whose skewed partitions AQE splits.
+    It is broadcast when the caller states its largest possible number of rows, say as
+    it has one row per class.  Otherwise nothing is run beforehand: the planner decides
+    by bytes, measured by AQE, and splits skewed partitions of a shuffled join.
     """
-    if bound is None:
-        bound = small.limit(SMALL_ROWS + 1).count()
-    return big.join(F.broadcast(small) if bound <= SMALL_ROWS else small, on, how)
+    known = bound is not None and bound <= SMALL_ROWS
+    return big.join(F.broadcast(small) if known else small, on, how)

@@ -92,13 +92,12 @@ def test_union_fills_what_one_side_lacks(spark):
     assert r.count_rows(r.union_layers(old, old)).first()[0] == 2
 
 
-def test_join_is_broadcast_only_when_small(spark, monkeypatch):
+def test_join_is_broadcast_only_when_known_to_be_small(spark):
     big, small = spark.range(100).withColumnRenamed("id", "k"), spark.range(20).withColumnRenamed("id", "k")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        plan = r.join_small(big, small, "k")._jdf.queryExecution().executedPlan().toString()
+        plan = r.join_small(big, small, "k", bound=20)._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" in plan
-        monkeypatch.setattr(r, "SMALL_ROWS", 10)
         wide = r.join_small(big, small, "k")
         assert "BroadcastHashJoin" not in wide._jdf.queryExecution().executedPlan().toString()
         assert wide.count() == 100
