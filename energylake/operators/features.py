@@ -19,19 +19,20 @@ def training_target(df: DataFrame, num: str, den: str, low: float, high: float,
     return filter_open(df.withColumn(out, finite_ratio(col(num), col(den))), out, low, high)
 
 
-def vocabulary(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
+def vocabulary(df: DataFrame, cols: Sequence[str], most: int | None = None) -> dict[str, list[str]]:
     """Sorted values of each category column, in one pass.
 
-    Each value becomes a column of the model, so a column with more values than a
-    plan can hold is refused rather than cut.
+    Each value becomes a column of the model and a row of its matrix on the driver, so
+    more than ``most`` values in all (1,000 unless given) are refused rather than cut.
     """
+    most = MAX_VALUES if most is None else most
     if not cols:
         return {}
     rows = (df.select([col(c).cast("string").alias(c) for c in cols])
             .unpivot([], list(cols), "feature", "value").filter("value is not null")
-            .distinct().limit(MAX_VALUES + 1).collect())
-    if len(rows) > MAX_VALUES:
-        raise ValueError(f"more than {MAX_VALUES} category values; group them first")
+            .distinct().limit(most + 1).collect())
+    if len(rows) > most:
+        raise ValueError(f"more than {most} category values; group them first or allow more")
     found = {c: [] for c in cols}
     for feature, value in rows:
         found[feature].append(value)

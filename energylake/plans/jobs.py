@@ -131,6 +131,7 @@ class TrainingSpec:
     seed: int = fv.SEED
     bucket: Bucket = hash_bucket
     scale_on: str = "all"
+    max_values: int | None = None
 
 
 TARGET = "target_conso_m2"
@@ -164,7 +165,7 @@ def train(df: DataFrame, spec: TrainingSpec = TrainingSpec()) -> tuple[RidgeMode
     """
     spark, rows = df.sparkSession, training_rows(df, spec)
     categories, numbers = cl.present(df, spec.categories), cl.present(df, spec.numbers)
-    vocab = vocabulary(rows, categories)
+    vocab = vocabulary(rows, categories, spec.max_values)
     columns = dummies(vocab, numbers)
     features = [*numbers, *columns]
     moments = fold_moments(rows, numbers, TARGET, "fold", vocab=vocab)

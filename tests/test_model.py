@@ -144,6 +144,7 @@ def test_too_many_categories_are_refused(spark, monkeypatch):
     monkeypatch.setattr(f, "MAX_VALUES", 5)
     with pytest.raises(ValueError, match="category values"):
         f.vocabulary(spark.range(10).select(F.col("id").cast("string").alias("k")), ["k"])
+    assert len(f.vocabulary(spark.range(10), ["id"], most=10)["id"]) == 10
 
 
 HOMES = TrainingSpec(categories=("type", "zone", "absent"), numbers=("height",), conso="conso",
