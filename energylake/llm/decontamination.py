@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 from functools import lru_cache
@@ -16,6 +17,10 @@ from pyspark.sql import types as T
 from energylake.llm.common import map_texts, pick, positional, staged
 
 WINDOW = 10
+# An automaton takes some 140 bytes of a worker for each byte of benchmark text.
+BLOCK_BYTES = 2 << 20
+LETTERS = 2
+UNKNOWN = "\0" * LETTERS
 # Words are runs of ASCII letters and digits and of everything beyond ASCII; in UTF-8 that
 # is a question of single bytes.  A-Z becomes a-z, every other ASCII byte a space.
 NORMAL = bytes(b if b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90
@@ -41,47 +46,54 @@ class Benchmark:
     window: int = WINDOW
 
 
+def spelled(n: int, base: int) -> str:
+    """A number as ``LETTERS`` letters; each place has its own, so that no other split matches."""
+    return "".join(chr(1 + place * base + n // base ** place % base) for place in range(LETTERS))
+
+
 @lru_cache(maxsize=2)
-def automaton(benchmark: Benchmark) -> ahocorasick.Automaton | None:
-    """Automaton over the windows, each with its number of words and the items that hold it.
+def automaton(benchmark: Benchmark) -> tuple[dict[bytes, str], ahocorasick.Automaton | None]:
+    """Spelling of each benchmark word, and the automaton over the windows in that spelling.
 
-    A window is spelled with a space before and after each word, so that it only matches
-    whole words.  One character stands for one byte.
+    Words of equal, short spelling make few nodes with few branches, and a match can only
+    begin and end with a word.  Each window has its number of words and the items that hold it.
     """
-    owners: dict[str, tuple[int, set[str]]] = {}
-    for item, text in benchmark.items:
-        own = words(text)
-        for i in range(max(len(own) - benchmark.window, 0) + 1 if own else 0):
-            part = own[i:i + benchmark.window]
-            key = " " + b" ".join(part).decode("latin-1") + " "
-            owners.setdefault(key, (len(part), set()))[1].add(item)
+    split = [(item, words(text)) for item, text in benchmark.items]
+    known = sorted({w for _, own in split for w in own})
+    base = max(math.ceil(len(known) ** (1 / LETTERS)), 2)
+    base += base ** LETTERS < len(known)
+    code = {w: spelled(n, base) for n, w in enumerate(known)}
+    owners: dict[str, set[str]] = {}
+    for item, own in split:
+        line = "".join([code[w] for w in own])
+        size = LETTERS * benchmark.window
+        for i in range(0, max(len(line) - size, 0) + 1 if own else 0, LETTERS):
+            owners.setdefault(line[i:i + size], set()).add(item)
     if not owners:
-        return None
+        return code, None
     found = ahocorasick.Automaton()
-    for key, (n, items) in owners.items():
-        found.add_word(key, (n, tuple(sorted(items))))
+    for key, items in owners.items():
+        found.add_word(key, (len(key) // LETTERS, tuple(sorted(items))))
     found.make_automaton()
-    return found
+    return code, found
 
 
 def scanner(benchmark: Benchmark):
     """Function from texts to the columns of ``ADDED``."""
-    machine = automaton(benchmark)
+    code, machine = automaton(benchmark)
 
     def scan(text: str | None):
         own = words(text)
         if machine is None or not own:
             return len(own), 0, [], []
-        line = " " + b" ".join(own).decode("latin-1") + " "
-        found = [(end, *value) for end, value in machine.iter(line)]
+        line = "".join([code.get(w, UNKNOWN) for w in own])
+        found = [(end // LETTERS, *value) for end, value in machine.iter(line)]
         if not found:
             return len(own), 0, [], []
-        spaces = np.flatnonzero(np.frombuffer(line.encode("latin-1"), np.uint8) == 32)
         edge = np.zeros(len(own) + 1, np.int64)
-        for end, n, _ in found:  # the window's last word is the one before the space at ``end``
-            last = int(np.searchsorted(spaces, end))
-            edge[last - n] += 1
-            edge[last] -= 1
+        for last, n, _ in found:
+            edge[last + 1 - n] += 1
+            edge[last + 1] -= 1
         hit = np.cumsum(edge[:-1]) > 0
         return (len(own), int(hit.sum()), sorted({i for _, _, items in found for i in items}),
                 _original(text, hit))
@@ -103,7 +115,7 @@ def _original(text: str, hit: np.ndarray) -> list[dict]:
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                       block_bytes: int = 32 << 20, id_col: str = "doc_id", text_col: str = "text",
+                       block_bytes: int = BLOCK_BYTES, id_col: str = "doc_id", text_col: str = "text",
                        item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, items, spans, contaminated.
 
@@ -116,7 +128,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 
     Benchmark texts travel to the tasks, so their size is measured first.  Up to
     ``block_bytes`` they make one automaton and texts are scanned once; a larger benchmark
-    is dealt out by item into blocks below that size, whose results are merged.
+    is dealt out by item into blocks of about half that size, whose results are merged.
     """
     found = _search(pick(docs, doc_id=id_col, text=text_col), "text", benchmark, window,
                     block_bytes, item_col, item_text_col).drop("text")
@@ -177,7 +189,7 @@ def _merge(joined: DataFrame, text: str) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                      block_bytes: int = 32 << 20, text_col: str = "text",
+                      block_bytes: int = BLOCK_BYTES, text_col: str = "text",
                       item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The documents, all columns, in which no window of the benchmark occurs."""
     rows, text = positional(docs, text_col)

@@ -126,6 +126,28 @@ def test_decontamination_in_one_and_in_many_blocks(spark):
         assert kept.count() == len(texts) - 3 and kept.columns == frame(spark, texts).columns
 
 
+def test_decontamination_against_all_windows(spark):
+    random = np.random.default_rng(9)
+    voc = ["a", "b", "ab", "é", "7", "zz"]
+    items = [" ".join(random.choice(voc, random.integers(0, 9))) for _ in range(12)]
+    texts = ["-".join(random.choice(voc + ["other"], random.integers(0, 60))) for _ in range(60)]
+    bench = spark.createDataFrame([(f"i{k}", t) for k, t in enumerate(items)], "item_id string, text string")
+    got = {r["doc_id"]: r for r in decontamination.find_contamination(
+        frame(spark, texts), bench, window=4).collect()}
+    for d, text in enumerate(texts):
+        own = [w for w in text.split("-") if w]
+        hit, found = set(), set()
+        for k, item in enumerate(items):
+            w = item.split()
+            for i in range(max(len(w) - 3, 1) if w else 0):
+                part = w[i:i + 4]
+                for j in range(len(own) - len(part) + 1):
+                    if own[j:j + len(part)] == part:
+                        hit |= set(range(j, j + len(part)))
+                        found.add(f"i{k}")
+        assert (got[d]["n_words"], got[d]["n_hit"], got[d]["items"]) == (len(own), len(hit), sorted(found))
+
+
 def test_pii_and_redaction(spark):
     cases = {
         "mail a.b@c.de_f@g.hi": ["email:5:13", "email:13:20"],
