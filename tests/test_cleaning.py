@@ -156,7 +156,7 @@ def test_clean_is_the_same_as_the_staged_job(spark, bronze):
 def test_cleaning_reads_the_rows_twice_before_the_write(spark, bronze):
     """All medians are one pass and all quartiles one pass, however many columns.
 
-    A pass shows as two jobs, its scan stage and the merge of the sketches.
+    A pass shows as three jobs, its scan stage and the two merges of the sketches.
     """
     rows = read_bronze(spark, bronze, dwelling_schema())
     group = "count-jobs"
@@ -164,7 +164,7 @@ def test_cleaning_reads_the_rows_twice_before_the_write(spark, bronze):
     jobs.clean(rows)
     found = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
     spark.sparkContext.setJobGroup("", "")
-    assert len(found) <= 4, found
+    assert len(found) <= 6, found
 
 
 def test_gold_replaces_the_source_periods(spark):

@@ -84,9 +84,15 @@ def test_partitions_do_not_matter(data):
     assert one == many
 
 
-def test_sketches_are_few_however_many_splits(data, monkeypatch):
-    monkeypatch.setattr(q, "LEAST_SKETCHES", 3)
-    monkeypatch.setattr(q, "SKETCHES_PER_CORE", 0)
+def test_sketches_merge_in_two_levels(spark, data, monkeypatch):
+    """The scan keeps its splits, and a task of the first level merges those of one salt."""
+    monkeypatch.setattr(q, "SALTS", 3)
     values = sorted(frames()["smooth"])
+    plans = []
+    collect = type(data).collect
+    monkeypatch.setattr(type(data), "collect", lambda df: plans.append(
+        df._jdf.queryExecution().toString()) or collect(df))
     found = q.quantiles(data.repartition(60), ["smooth"], [0.5], 0.01)["smooth"][0]
     assert abs(values.index(found) / len(values) - 0.5) <= 0.0101
+    assert len(plans) == 1 and "Coalesce" not in plans[0]
+    assert "keys=[column" in plans[0] and "salt" in plans[0]
