@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -14,8 +15,9 @@ from pyspark.sql import types as T
 from energylake.llm.common import map_texts, pick, positional, staged
 from energylake.llm.components import components
 
-SHINGLE, DISTANCE, BLOCKS, SEED = 4, 4, 6, 42
+SHINGLE, DISTANCE, SEED = 4, 4, 42
 BUCKET = 4_096
+PAIR_COST = 0.02
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -57,6 +59,19 @@ def block_keys(fp: Column, distance: int, blocks: int) -> list[Column]:
     return keys
 
 
+def blocks_for(n: int, distance: int) -> int:
+    """The cheapest number of blocks for ``n`` fingerprints; the links are the same for any.
+
+    More blocks make more rows, one for each choice of blocks, but longer keys, on which fewer
+    fingerprints meet by chance.  Comparing a pair costs ``PAIR_COST`` of shuffling a row.
+    """
+    def cost(blocks: int) -> float:
+        bits = (blocks - distance) * (64 // blocks)
+        return comb(blocks, distance) * (1 + PAIR_COST * n / 2 ** (bits + 1))
+
+    return min(range(distance + 2, distance + 6), key=cost)
+
+
 class Forest:
     """Keeps of many links a spanning forest."""
 
@@ -161,15 +176,17 @@ def _ball_links(hot: DataFrame, distance: int) -> DataFrame:
     return both.select(F.col("fp").alias("u"), F.col("a").alias("v")).filter("u != v").distinct()
 
 
-def near_links(fingerprints: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS,
+def near_links(fingerprints: DataFrame, distance: int = DISTANCE, blocks: int | None = None,
                bucket: int = BUCKET) -> DataFrame:
     """Edges (u, v) between distinct fingerprints (column fp) that connect what is linked.
 
     Every pair within ``distance`` bits is joined by a path of edges, and each edge is such a
     pair.  Fingerprints meet on their block keys; keys are sorted and compared run by run, a
     spanning forest of the verified pairs is kept, and keys with over ``bucket`` rows are
-    only streamed through and linked by ``_ball_links``.
+    only streamed through and linked by ``_ball_links``.  Without ``blocks`` their number
+    follows from that of the fingerprints.
     """
+    blocks = blocks or blocks_for(fingerprints.count(), distance)
     keyed = fingerprints.select("fp", F.explode(F.array(*block_keys(F.col("fp"), distance, blocks))).alias("k"))
     sorted_ = (keyed.select(F.col("k.choice").alias("choice"), F.col("k.bits").alias("bits"), "fp")
                .repartition("choice", "bits").sortWithinPartitions("choice", "bits", "fp"))
@@ -181,7 +198,7 @@ def near_links(fingerprints: DataFrame, distance: int = DISTANCE, blocks: int =
     return edges.unionAll(_ball_links(hot, distance))
 
 
-def _classes(prints: DataFrame, distance: int, blocks: int, bucket: int) -> DataFrame:
+def _classes(prints: DataFrame, distance: int, blocks: int | None, bucket: int) -> DataFrame:
     """(fp, component_id) of each distinct fingerprint of (doc_id, fp) rows."""
     least = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     root = components(near_links(least.select("fp"), distance, blocks, bucket))
@@ -192,7 +209,7 @@ def _classes(prints: DataFrame, distance: int, blocks: int, bucket: int) -> Data
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
-                    blocks: int = BLOCKS, bucket: int = BUCKET, id_col: str = "doc_id",
+                    blocks: int | None = None, bucket: int = BUCKET, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -209,8 +226,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, blocks: int = BLOCKS,
-             bucket: int = BUCKET, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
+             blocks: int | None = None, bucket: int = BUCKET, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, all columns, less all but the least doc_id of each component.
 
     Documents whose id is null stay, as nothing tells them apart; of repeated rows with the

@@ -73,8 +73,12 @@ def plain_fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-@pytest.mark.parametrize("bucket", [4096, 3])
-def test_near_duplicates_against_all_pairs(spark, bucket):
+def test_blocks_grow_with_the_fingerprints():
+    assert [simhash.blocks_for(n, 4) for n in (0, 10 ** 6, 10 ** 9, 2 * 10 ** 10)] == [6, 6, 7, 8]
+
+
+@pytest.mark.parametrize("bucket, blocks", [(4096, None), (3, None), (4096, 7), (4096, 8)])
+def test_near_duplicates_against_all_pairs(spark, bucket, blocks):
     random = np.random.default_rng(8)
     words = [f"w{i}" for i in range(50)]
     base = [" ".join(random.choice(words, 150)) for _ in range(4)]
@@ -92,12 +96,12 @@ def test_near_duplicates_against_all_pairs(spark, bucket):
             for j, b in enumerate(prints):
                 if (a ^ b).bit_count() <= 4:
                     root[i] = root[j] = min(root[i], root[j])
-    got = simhash.near_duplicates(frame(spark, texts), bucket=bucket).collect()
+    got = simhash.near_duplicates(frame(spark, texts), bucket=bucket, blocks=blocks).collect()
     assert len(got) == len(texts)
     for r in got:
         assert int(r["fingerprint"], 16) == prints[r["doc_id"]]
         assert r["component_id"] == root[r["doc_id"]]
-    kept = simhash.keep_one(frame(spark, texts), bucket=bucket)
+    kept = simhash.keep_one(frame(spark, texts), bucket=bucket, blocks=blocks)
     assert sorted(r[0] for r in kept.collect()) == sorted(set(root))
     assert kept.columns == frame(spark, texts).columns
 
