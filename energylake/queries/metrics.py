@@ -100,6 +100,25 @@ def quantiles(spark, sf):
                                  "prob double, value double")
 
 
+@query("""select 'l_extendedprice' as "column", unnest([0.25, 0.5, 0.75])::double as prob,
+                 count(l_extendedprice) as "rows", true as within from lineitem
+          union all
+          select 'l_quantity', unnest([0.25, 0.5, 0.75])::double, count(l_quantity), true
+            from lineitem""")
+def quantiles_in_bound(spark, sf):
+    """The default error holds: each sketched value's true ranks come within 0.01 of the wanted one."""
+    lines, probs, err = table(spark, sf, "lineitem"), [0.25, 0.5, 0.75], 0.01
+    found = find_quantiles(lines, ["l_extendedprice", "l_quantity"], probs)
+    checks = []
+    for name, values in found.items():
+        for p, v in zip(probs, values):
+            below, upto = F.avg((F.col(name) < v).cast("int")), F.avg((F.col(name) <= v).cast("int"))
+            checks.append(F.struct(
+                F.lit(name).alias("column"), F.lit(p).alias("prob"), F.count(name).alias("rows"),
+                ((below <= p + err) & (upto >= p - err)).alias("within")))
+    return lines.agg(F.array(*checks).alias("checks")).select(F.inline("checks"))
+
+
 @query("""select count(l_extendedprice) as "rows", median(l_extendedprice) as median,
                  min(l_extendedprice) as min, max(l_extendedprice) as max from lineitem""")
 def target_summary(spark, sf):
