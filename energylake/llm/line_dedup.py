@@ -26,15 +26,17 @@ def normalised(unit: Column) -> Column:
 def repeated_lines(rows: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """(row, units): numbers of the lines of each row that have occurred before.
 
-    ``rows`` has row, doc_id and text.  Of equal lines of at least ``least_words`` words the
-    one with the least doc_id (null last), row and place stays.  Digests are grouped with
+    ``rows`` has row, doc_id and text.  Of equal lines of at least ``least_words`` words (with
+    1: of all that are not empty once normalised) the one with the least doc_id (null last), row and place stays.  Digests are grouped with
     partial results.  Lines that make up over a thousandth of all repeats, so fewer than a
     thousand, are looked up in a broadcast; the others meet their places in a join in which
     no key is frequent.
     """
     unit = F.posexplode(F.split("text", "\n", -1)).alias("unit", "line")
     lines = rows.select("row", "doc_id", unit).withColumn("line", normalised(F.col("line")))
-    lines = lines.filter(F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) >= least_words - 1)
+    lines = lines.filter(F.col("line") != "")
+    if least_words > 1:
+        lines = lines.filter(F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) >= least_words - 1)
     places = staged(lines.select("row", "doc_id", "unit", F.unhex(F.md5("line")).alias("digest")), "places")
     place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row", "unit")
     first = staged(
@@ -70,7 +72,8 @@ def remove_repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS, id_co
 
     Lines are the units.  They are equal if their normalised texts are; the earliest in order
     of doc_id (null last) and place stays, all others go, whole texts considered.  Lines with
-    fewer than ``least_words`` words always stay.  Spans are code points of the original, the
+    fewer than ``least_words`` words always stay; with 1 every line counts that is not empty
+    once normalised, also a long one without spaces.  Spans are code points of the original, the
     end exclusive, the line break after a removed line goes with it.  A null text stays null
     and counts as one empty line.  Repeated rows count as further copies.
     """

@@ -48,6 +48,9 @@ from ranked group by doc_id
 """
 
 
+EVERY_LINE = LINES.replace("len(norm) - len(replace(norm, ' ', '')) >= 3", "norm <> ''")
+
+
 def spans(kind: str, order: int, pattern: str, check: str = "true") -> str:
     """Rows (doc_id, k, kind, s, e) of one kind; gaps and matches summed up give the places."""
     pattern = pattern.replace("'", "''")

@@ -183,6 +183,19 @@ def test_line_dedup_keeps_the_first(spark):
         "One  two three FOUR", " one two three four"]
 
 
+def test_line_dedup_of_every_line(spark):
+    texts = ["les.\n\n漢字漢字漢字\n \t", "a\n Les.\n\n漢字漢字漢字\n  ", "x" * 5000 + "\na", "x" * 5000]
+    rows = {r["doc_id"]: r for r in line_dedup.remove_repeated_lines(frame(spark, texts), least_words=1).collect()}
+    assert [rows[i]["text"] for i in range(4)] == [texts[0], "a\n\n  ", "x" * 5000, ""]
+    run = REGISTRY["op3_line_dedup_all"].run(spark, DATA).collect()
+    seen = set()
+    for r in sorted(run, key=lambda r: r["doc_id"]):
+        for line in r["text"].split("\n"):
+            norm = re.sub("[\t\x0b\f\r ]+", " ", line.lower()).strip(" ")
+            assert norm not in seen
+            seen |= {norm} - {""}
+
+
 def test_classifiers_without_labels_and_on_empty_tables(spark):
     docs, none = frame(spark, TEXTS), spark.createDataFrame([], "doc_id long, toxic int, quality int")
     scores = toxicity.score(docs, toxicity.train(docs, none)).collect()
