@@ -41,7 +41,11 @@ def luhn(value: Column) -> Column:
 
 
 def mod97(value: Column) -> Column:
-    """The IBAN, its first four characters moved to the end and letters as 10 to 35, is 1 modulo 97."""
+    """The IBAN, its first four characters moved to the end and letters as 10 to 35, is 1 modulo 97.
+
+    Spaces do not count.
+    """
+    value = F.replace(value, F.lit(" "), F.lit(""))
     moved = F.concat(F.substr(value, F.lit(5)), F.substring(value, 1, 4))
 
     def step(rest: Column, c: Column) -> Column:
@@ -81,8 +85,27 @@ BASE_KINDS = (
     Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", "+",
          lambda v: F.length(digits(v)).between(9, 15), 0.6, 0.3, "call|phone|tel|mobile|fax|anruf"),
 )
+# Characters of an IBAN by country.  The length tells where one with spaces ends,
+# so capitals that follow do not count as part of it.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+
+
+def iban_pattern() -> str:
+    """An IBAN of its country's length with or without spaces between its characters, or else one
+    of 15 to 34 characters, without spaces or in groups of four."""
+    known = "|".join(f"(?:{'|'.join(c.split())})[0-9] ?[0-9](?: ?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])"
+                     for n, c in IBAN_LENGTHS.items())
+    return (rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9])(?:{known}|[A-Z]{{2}}[0-9]{{2}}(?:[A-Z0-9]{{11,30}}(?![A-Za-z0-9])"
+            r"|(?=(?: ?[A-Z0-9]){11})(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?(?![A-Za-z0-9])))")
+
+
 MORE_KINDS = (
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])", "", mod97,
+    Kind("iban", iban_pattern(), "", mod97,
          0.9, 0.1, "iban|bank|account|konto|compte|cuenta"),
 )
 KINDS = BASE_KINDS + MORE_KINDS

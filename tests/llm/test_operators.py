@@ -174,6 +174,24 @@ def test_pii_and_redaction(spark):
     assert [s["start"] for s in spans] == [7 * i for i in range(200)]
 
 
+def test_pii_finds_ibans_with_spaces(spark):
+    cases = {
+        "konto DE89 3704 0044 0532 0130 00 BIC COBADEFF": "iban:6:33",
+        "BE68 5390 0754 7034 NL91 ABNA 0417 1643 00": "iban:0:19,iban:20:42",
+        "FR76 3000 6000 0112 3456 7890 189, DE 89": "iban:0:33",
+        "GB82WEST 12345698765432 XX": "iban:0:23",
+        "ZZ68 5390 0754 7034 and ZZ685390075470345": "",
+        "DE89 3704 0044 0532 0130 01": "", "DE89  3704 0044 0532 0130 00": "",
+        "QX72 5390 0754 7034 1": "iban:0:21", "QX72539007547034 1": "",
+        "DE89370400440532013000": "iban:0:22",
+    }
+    kinds = pii.MORE_KINDS
+    for r in pii.find_pii(frame(spark, list(cases)), kinds).collect():
+        got = ",".join(f"{s['kind']}:{s['start']}:{s['end']}" for s in r["spans"])
+        assert got == list(cases.values())[r["doc_id"]], (list(cases)[r["doc_id"]], got)
+    assert pii.redact(frame(spark, list(cases)), kinds).first()["text"] == "konto [IBAN] BIC COBADEFF"
+
+
 def test_line_dedup_keeps_the_first(spark):
     texts = [None, "", "one two three four\nshort", "x\nOne  two three FOUR\nshort\n one two three four"]
     rows = {r["doc_id"]: r for r in line_dedup.remove_repeated_lines(frame(spark, texts)).collect()}
