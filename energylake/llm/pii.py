@@ -173,21 +173,29 @@ def add_spans(rows: DataFrame, text: str, kind: Kind) -> DataFrame:
             .drop("_found", "_gaps", "_steps", "_sums", "_starts"))
 
 
+def all_spans(kinds: tuple[Kind, ...], least_score: float) -> Column:
+    """The spans of all kinds; ``least_score`` drops some of those beyond the base kinds."""
+    def scored(kind: Kind) -> Column:
+        spans = F.col(kind.name)
+        return spans if kind in BASE_KINDS or least_score <= 0 else F.filter(spans, lambda s: s["score"] >= least_score)
+
+    return F.concat(*[scored(k) for k in kinds])
+
+
 def find_pii(docs: DataFrame, kinds: tuple[Kind, ...] = KINDS, least_score: float = 0.0,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id and spans, an array of (kind, start, end, score).
 
     Whole texts are searched.  Matches of a kind are leftmost and do not overlap; those that
-    fail its check go, and so do spans scored below ``least_score``.  Spans come by order of
+    fail its check go.  Spans of the base kinds stay whatever their score; those of other kinds
+    go if scored below ``least_score``, by default none.  Spans come by order of
     kinds, then by start, in code points, the end exclusive.  Null and empty texts have none;
     repeated rows are searched each for itself.
     """
     rows = pick(docs, doc_id=id_col, text=text_col)
     for kind in kinds:
         rows = add_spans(rows, "text", kind)
-    spans = F.concat(*[F.col(k.name) for k in kinds])
-    if least_score > 0:
-        spans = F.filter(spans, lambda s: s["score"] >= least_score)
+    spans = all_spans(kinds, least_score)
     return rows.select("doc_id", spans.alias("spans"))
 
 
@@ -196,15 +204,14 @@ def redact(docs: DataFrame, kinds: tuple[Kind, ...] = KINDS, least_score: float
     """The documents, all columns, with each span in the text replaced by its kind in brackets.
 
     Where spans of different kinds overlap, the one that begins first, or else the longer
-    one, names the whole stretch.  Other texts, null ones included, stay as they are.
+    one, names the whole stretch.  ``least_score`` is that of ``find_pii``; spans it drops stay
+    in the text.  Other texts, null ones included, stay as they are.
     """
     rows, text = positional(docs, text_col)
     names = rows.columns
     for kind in kinds:
         rows = add_spans(rows, text, kind)
-    spans = F.concat(*[F.col(k.name) for k in kinds])
-    if least_score > 0:
-        spans = F.filter(spans, lambda s: s["score"] >= least_score)
+    spans = all_spans(kinds, least_score)
     # an end counts down, so that of spans with one start the longest is first
     rows = rows.withColumn("_order", F.array_sort(F.transform(spans, lambda s: F.struct(
         s["start"].alias("start"), (-s["end"]).alias("low"), s["kind"].alias("kind")))))

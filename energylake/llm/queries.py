@@ -81,7 +81,7 @@ def op3_line_dedup_all(spark, sf_dir):
     return line_report(line_dedup.remove_repeated_lines(table(spark, sf_dir, "documents"), least_words=1))
 
 
-def span_report(found, kinds):
+def span_report(found, kinds, *more):
     """Counts and digest of the base kinds, and all spans as text."""
     base = F.filter("spans", lambda s: s["kind"].isin(*kinds))
 
@@ -90,7 +90,7 @@ def span_report(found, kinds):
 
     counts = [count(k) for k in kinds]
     return found.select("doc_id", *counts, sha256_text(joined_spans(base)).alias("base_sha256"),
-                        joined_spans(F.col("spans")).alias("spans"))
+                        joined_spans(F.col("spans")).alias("spans"), *more)
 
 
 @query(sql.SECRETS)
@@ -105,6 +105,14 @@ def op5_pii(spark, sf_dir):
     return span_report(found, [k.name for k in pii.BASE_KINDS])
 
 
+@query()
+def op5_pii_scores(spark, sf_dir):
+    """As op5_pii, with the score of each span in the order of the spans."""
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    scores = F.transform("spans", lambda s: F.format_number(s["score"], 2))
+    return span_report(found, [k.name for k in pii.BASE_KINDS], F.array_join(scores, ",").alias("scores"))
+
+
 @query()
 def op9_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))

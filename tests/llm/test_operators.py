@@ -192,6 +192,22 @@ def test_pii_finds_ibans_with_spaces(spark):
     assert pii.redact(frame(spark, list(cases)), kinds).first()["text"] == "konto [IBAN] BIC COBADEFF"
 
 
+def test_pii_scores(spark):
+    iban = "DE89 3704 0044 0532 0130 00"
+    docs = frame(spark, [f"konto {iban}", f"see {iban}", "x a@b.cd"])
+    got = {r[0]: [(s["kind"], s["score"]) for s in r[1]] for r in pii.find_pii(docs, least_score=0.95).collect()}
+    assert got == {0: [("iban", 1.0)], 1: [], 2: [("email", 0.9)]}
+    clean = {r[0]: r[1] for r in pii.redact(docs, least_score=0.95).collect()}
+    assert clean == {0: "konto [IBAN]", 1: f"see {iban}", 2: "x [EMAIL]"}
+    assert {r[0]: r[1] for r in pii.redact(docs).collect()}[1] == "see [IBAN]"
+    plain = {r["doc_id"]: r["spans"] for r in REGISTRY["op5_pii"].run(spark, DATA).collect()}
+    scored = REGISTRY["op5_pii_scores"].run(spark, DATA).collect()
+    assert {r["doc_id"]: r["spans"] for r in scored} == plain
+    scores = [(r["spans"].split(",") if r["spans"] else [], r["scores"].split(",") if r["scores"] else [])
+              for r in scored]
+    assert all(len(a) == len(b) for a, b in scores) and len({x for _, b in scores for x in b}) > 2
+
+
 def test_line_dedup_keeps_the_first(spark):
     texts = [None, "", "one two three four\nshort", "x\nOne  two three FOUR\nshort\n one two three four"]
     rows = {r["doc_id"]: r for r in line_dedup.remove_repeated_lines(frame(spark, texts)).collect()}
