@@ -129,7 +129,7 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, cells: int = 32, sa
     the share ``visit`` of all rows, and all rows of those cells are ranked by their true
     score.  Rows without an id, with a null or zero vector or one with a null or non-finite
     component take no part, nor do vectors of another length than that of the least id.
-    Rows that repeat an id are candidates each for itself.  An empty table gives no rows.
+    Rows that repeat an id are candidates each for itself, and as queries get ``k`` rows each.  An empty table gives no rows.
     """
     rows = pick(vectors, id=id_col, v=vec_col).select("id", F.col("v").cast("array<double>").alias("v"))
     rows = rows.filter(F.col("id").isNotNull() & usable(F.col("v")))
@@ -145,15 +145,16 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, cells: int = 32, sa
             if batch.num_rows:
                 v = np.vstack(batch.column(1).to_numpy(zero_copy_only=False))
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(book.cells(v))], ["id", "v", "cell"])
+                    [*batch.columns, pa.array(book.cells(v))], ["id", "v", "ask", "cell"])
 
     id_type = rows.schema["id"].dataType.simpleString()
-    index = staged(rows.mapInArrow(assign, f"id {id_type}, v array<double>, cell long"), "index")
+    numbered = rows.withColumn("ask", F.monotonically_increasing_id())  # tells rows of one id apart
+    index = staged(numbered.mapInArrow(assign, f"id {id_type}, v array<double>, ask long, cell long"), "index")
     size = np.zeros(len(book.left) * len(book.right), np.int64)
     for r in index.groupBy("cell").count().collect():  # at most cells squared
         size[r["cell"]] = r["count"]
     layout = Layout(size, max(LEAST_SHARDS, -(-int(size.sum()) // SHARD_ROWS)))
-    asked = rows.filter(queries)
+    asked = index.filter(queries).select("id", "v", "ask")
     blocks = max(1, -(-asked.count() // QUERY_ROWS))
 
     def place(batches):
@@ -165,22 +166,23 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, cells: int = 32, sa
     def probe(batches):
         wanted = max(int(np.ceil(visit * layout.total)), min(k + 1, layout.total))
         for batch in batches:
-            ids, out = batch.column(0).to_pylist(), []
-            for query, vector in zip(ids, batch.column(1).to_pylist()):
+            out = []
+            for query, vector, ask in zip(*(c.to_pylist() for c in batch.columns)):
                 walked = book.walk(np.array(vector), layout.size, wanted)
-                out += [(query, vector, s, c) for s, c in layout.shards_of(walked)]
+                out += [(query, vector, ask, s, c) for s, c in layout.shards_of(walked)]
             yield pa.RecordBatch.from_pydict({
                 "id": pa.array([o[0] for o in out], batch.column(0).type),
                 "v": pa.array([o[1] for o in out], pa.list_(pa.float64())),
-                "shard": pa.array([o[2] for o in out], pa.int64()),
-                "cells": pa.array([o[3] for o in out], pa.list_(pa.int64()))})
+                "ask": pa.array([o[2] for o in out], pa.int64()),
+                "shard": pa.array([o[3] for o in out], pa.int64()),
+                "cells": pa.array([o[4] for o in out], pa.list_(pa.int64()))})
 
     def rank(entries: pd.DataFrame, probes: pd.DataFrame) -> pd.DataFrame:
-        out = ([], [], [])
+        out = ([], [], [], [])
         if len(entries) and len(probes):
             entries = entries.sort_values("id", kind="stable")
             ids, cell, e = entries["id"].to_numpy(), entries["cell"].to_numpy(), np.vstack(entries["v"])
-            for query, vector, wanted in zip(probes["id"], probes["v"], probes["cells"]):
+            for query, vector, ask, wanted in zip(probes["id"], probes["v"], probes["ask"], probes["cells"]):
                 own = np.flatnonzero(np.isin(cell, wanted, kind="table") & (ids != query))
                 if not len(own):
                     continue
@@ -192,16 +194,18 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, cells: int = 32, sa
                 out[0].extend([query] * len(best))
                 out[1].extend(ids[own][best])
                 out[2].extend(score[best])
-        return pd.DataFrame({"query_id": out[0], "vec_id": out[1], "score": out[2]})
+                out[3].extend([ask] * len(best))
+        return pd.DataFrame({"query_id": out[0], "vec_id": out[1], "score": out[2], "ask": out[3]})
 
     # entries go to each block of queries, so a shard that many queries probe is split by query
-    keyed = index.withColumn("key", F.shiftrightunsigned(F.xxhash64(F.col("id").cast("string")), 1))
+    keyed = index.select("id", "v", "cell", F.shiftrightunsigned(F.xxhash64(F.col("id").cast("string")), 1).alias("key"))
     entries = keyed.mapInArrow(place, f"id {id_type}, v array<double>, cell long, shard long").withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    probes = (asked.repartition(F.col("id")).mapInArrow(
-        probe, f"id {id_type}, v array<double>, shard long, cells array<long>")
-        .withColumn("block", F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(1)), F.lit(blocks)).cast("int")))
-    ranked = entries.groupBy("shard", "block").cogroup(probes.groupBy("shard", "block")).applyInPandas(rank, found)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    probes = (asked.repartition(F.col("ask")).mapInArrow(
+        probe, f"id {id_type}, v array<double>, ask long, shard long, cells array<long>")
+        .withColumn("block", F.pmod(F.xxhash64("ask", F.lit(1)), F.lit(blocks)).cast("int")))
+    ranked = entries.groupBy("shard", "block").cogroup(probes.groupBy("shard", "block")).applyInPandas(
+        rank, f"{found}, ask long")
+    order = Window.partitionBy("ask").orderBy(F.desc("score"), "vec_id")
     return (ranked.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
