@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from heapq import heappop, heappush
 
 import numpy as np
@@ -107,12 +108,10 @@ class Layout:
         return [(int(s[0]), c) for s, c in zip(np.split(shard, cuts), np.split(cell, cuts)) if len(s)]
 
 
-def fit(vectors: DataFrame, cells: int, sample_rows: int) -> Codebook | None:
-    """Codebook from the ``sample_rows`` rows with the smallest hash; None if there is no row."""
+def fit(vectors: DataFrame, cells: int, sample_rows: int) -> Codebook:
+    """Codebook from the ``sample_rows`` rows with the smallest hash, of which there is one at least."""
     rows = (vectors.orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(sample_rows)
             .select("v").toArrow().column("v").to_pylist())
-    if not rows:
-        return None
     points = np.array(rows, np.float64)
     half = max(points.shape[1] // 2, 1)
     return Codebook(*[kmeans(part, min(cells, len(part))) for part in (points[:, :half], points[:, half:])])
@@ -128,17 +127,24 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, cells: int = 32, sa
     most; every row is indexed.  A query walks the cells by summed nearness until they hold
     the share ``visit`` of all rows, and all rows of those cells are ranked by their true
     score.  Rows without an id, with a null or zero vector or one with a null or non-finite
-    component take no part, nor do vectors of another length than that of the least id.
+    component take no part.  Vectors of each length are a table of their own, with its own cells
+    and one search for each length that has queries.
     Rows that repeat an id are candidates each for itself, and as queries get ``k`` rows each.  An empty table gives no rows.
     """
     rows = pick(vectors, id=id_col, v=vec_col).select("id", F.col("v").cast("array<double>").alias("v"))
     rows = rows.filter(F.col("id").isNotNull() & usable(F.col("v")))
-    least = rows.agg(F.min(F.struct("id", F.size("v").alias("n"))).alias("x")).select("x.n").first()[0]
-    rows = rows.filter(F.size("v") == (least or 0))
+    lengths = rows.groupBy(F.size("v").alias("n")).agg(F.bool_or(queries).alias("asked")).filter("asked").collect()
+    parts = [_search(rows.filter(F.size("v") == r["n"]), queries, k, cells, sample_rows, visit)
+             for r in sorted(lengths)]
+    if parts:
+        return reduce(DataFrame.unionAll, parts)
+    id_type = rows.schema["id"].dataType.simpleString()
+    return rows.sparkSession.createDataFrame([], f"query_id {id_type}, rank int, vec_id {id_type}, score double")
+
+
+def _search(rows: DataFrame, queries: Column, k: int, cells: int, sample_rows: int, visit: float) -> DataFrame:
+    """``search`` among rows (id, v) with vectors of one length."""
     book = fit(rows, cells, sample_rows)
-    found = f"query_id {rows.schema['id'].dataType.simpleString()}, vec_id {rows.schema['id'].dataType.simpleString()}, score double"
-    if book is None:
-        return rows.sparkSession.createDataFrame([], found.replace("vec_id", "rank int, vec_id", 1))
 
     def assign(batches):
         for batch in batches:
@@ -148,6 +154,7 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, cells: int = 32, sa
                     [*batch.columns, pa.array(book.cells(v))], ["id", "v", "ask", "cell"])
 
     id_type = rows.schema["id"].dataType.simpleString()
+    found = f"query_id {id_type}, vec_id {id_type}, score double"
     numbered = rows.withColumn("ask", F.monotonically_increasing_id())  # tells rows of one id apart
     index = staged(numbered.mapInArrow(assign, f"id {id_type}, v array<double>, ask long, cell long"), "index")
     size = np.zeros(len(book.left) * len(book.right), np.int64)

@@ -265,6 +265,18 @@ def test_search_with_a_query_id_on_two_rows(spark):
     assert sorted(map(tuple, got)) == sorted(want) and len(want) == 20
 
 
+def test_search_among_vectors_of_each_length(spark):
+    e = [(0, [1.0, 2.0])] + [(i, [float(i % 7), 1.0, float(-i), 2.0]) for i in range(1, 60)]
+    e += [(60, [3.0]), (61, [2.0]), (62, [-1.0]), (63, [5.0, 0.5])]
+    vectors = spark.createDataFrame(e, "vec_id long, embedding array<double>")
+    got = multi_index.search(vectors, F.col("id") % 20 == 0, k=5, cells=4, visit=1.0).collect()
+    want = []
+    for q, v in e:
+        near = sorted((-float(np.dot(v, x)), i) for i, x in e if i != q and len(x) == len(v))[:5]
+        want += [(q, n, i, -s) for n, (s, i) in enumerate(near, 1) if q % 20 == 0]
+    assert sorted(map(tuple, got)) == sorted(want) and len(want) == 13
+
+
 def test_search_recall(spark):
     found = REGISTRY["op1_multi_index"].run(spark, "/root/testdata/sf0.01").collect()
     e = np.array([r[0] for r in duckdb.connect().execute(
