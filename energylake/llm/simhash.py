@@ -199,13 +199,13 @@ def near_links(fingerprints: DataFrame, distance: int = DISTANCE, blocks: int |
 
 
 def _classes(prints: DataFrame, distance: int, blocks: int | None, bucket: int) -> DataFrame:
-    """(fp, component_id) of each distinct fingerprint of (doc_id, fp) rows."""
+    """(fp, root, component_id) of each distinct fingerprint of (doc_id, fp) rows."""
     least = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     root = components(near_links(least.select("fp"), distance, blocks, bucket))
     named = least.join(root, least["fp"] == root["node"], "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), "least")
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return named.join(smallest, "root").select("fp", "component_id")
+    return named.join(smallest, "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
@@ -228,10 +228,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
              blocks: int | None = None, bucket: int = BUCKET, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents, all columns, less all but the least doc_id of each component.
+    """The documents, all columns, less all but the least doc_id (null last) of each component.
 
-    Documents whose id is null stay, as nothing tells them apart; of repeated rows with the
-    least id one stays.
+    Of rows with the same least id, or with null ids only, the first stays.
     """
     rows, text = positional(docs, text_col)
     key = positional(docs, id_col)[1]
@@ -239,7 +238,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
     prints = staged(_fingerprints(table.select("row", F.col(key).alias("doc_id"), text), text, shingle),
                     "prints")
     classes = _classes(prints, distance, blocks, bucket)
-    least = (prints.join(classes, "fp").filter("doc_id = component_id")
-             .groupBy("component_id").agg(F.min("row").alias("row")).select("row"))
-    nameless = prints.filter("doc_id is null").select("row")
-    return table.join(least.unionAll(nameless), "row", "left_semi").select(rows.columns).toDF(*docs.columns)
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")
+    first = (prints.join(classes, "fp").groupBy("root").agg(F.min(place).alias("first"))
+             .select(F.col("first.row").alias("row")))
+    return table.join(first, "row", "left_semi").select(rows.columns).toDF(*docs.columns)

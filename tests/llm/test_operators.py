@@ -106,6 +106,14 @@ def test_near_duplicates_against_all_pairs(spark, bucket, blocks):
     assert kept.columns == frame(spark, texts).columns
 
 
+def test_keep_one_among_null_ids(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(200)) for x in "abc")
+    docs = spark.createDataFrame([(None, a), (7, a), (None, a + " new"), (None, b), (None, b), (3, c), (3, c)],
+                                 "doc_id long, text string").coalesce(1)
+    kept = sorted(simhash.keep_one(docs).collect(), key=lambda r: r["text"])
+    assert [tuple(r) for r in kept] == [(7, a), (None, b), (3, c)]
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (5, 5)], "u long, v long")
     got = dict(components.components(edges).collect())
