@@ -58,11 +58,12 @@ def small_batches(spark: SparkSession) -> None:
 
 def map_texts(df: DataFrame, text: str, added: Sequence[T.StructField],
               make: Callable[[], Callable[[list[str | None]], Sequence]],
-              keep_text: bool = False) -> DataFrame:
+              keep_text: bool = False, also: int | None = None) -> DataFrame:
     """The frame with columns computed from its text column, slice by slice in Arrow batches.
 
     ``make`` is called once a task; its result gets the texts of a slice and returns one
-    list or array for each added column.  The text itself is dropped unless ``keep_text``.
+    list or array for each added column; with ``also`` it gets the values of that column, too.
+    The text itself is dropped unless ``keep_text``.
     """
     small_batches(df.sparkSession)
     at = df.columns.index(text)
@@ -74,7 +75,8 @@ def map_texts(df: DataFrame, text: str, added: Sequence[T.StructField],
         work = make()
         for batch in batches:
             for part in slices(batch, at):
-                made = work(part.column(at).to_pylist())
+                given = [part.column(i).to_pylist() for i in (at, also) if i is not None]
+                made = work(*given)
                 arrays = [part.column(i).cast(arrow.field(k).type) for k, i in enumerate(kept)]
                 arrays += [m if isinstance(m, pa.Array) else pa.array(m, arrow.field(k).type)
                            for k, m in enumerate(made, len(kept))]

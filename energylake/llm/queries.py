@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from zlib import crc32
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
 from energylake.llm import (
-    decontamination, language, line_dedup, multi_index, pii, quality, secret_scan, sentencepiece_bpe,
-    simhash, sql, toxicity)
+    backoff_lm, decontamination, hard_negatives, language, line_dedup, multi_index, periodic_runs, pii, quality,
+    secret_scan, sentencepiece_bpe, simhash, sql, toxicity)
 from energylake.llm.common import joined_spans, key_remainder, sha256_text
 from energylake.llm.registry import query
 from energylake.queries.registry import table
@@ -116,3 +118,48 @@ def op5_pii_scores(spark, sf_dir):
 @query()
 def op9_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def repeated_tail(key, words):
+    """The words, of every tenth key (by hash) with a periodic tail."""
+    h, n = crc32(str(key).encode()), len(words)
+    if key is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    tail = words[a:a + p]
+    return words[:a] + (tail * (-(-(n - a) // p)))[:n - a]
+
+
+@query()
+def op11_periodic_runs(spark, sf_dir):
+    found = periodic_runs.find_runs(table(spark, sf_dir, "documents"), rewrite=repeated_tail)
+    best = F.array_min(F.transform("runs", lambda r: F.struct(
+        (-r["length"]).alias("minus"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")),
+        F.lit("\n"))), "")
+    found = found.select("doc_id", "runs", "collapsed", best.alias("best"))
+    length = -F.col("best.minus")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
+        length.alias("length"), F.col("best.period").alias("period"),
+        F.floor(1000 * length / F.col("best.period")).alias("exponent_milli"),
+        sha256_text(lines).alias("runs_sha256"), sha256_text(F.col("collapsed")).alias("collapsed_sha256"))
+
+
+@query(sql.HARD_NEGATIVES)
+def op12_hard_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("id") % 100 == 0)
+
+
+@query(sql.LANGUAGE_MODEL)
+def op13_language_model(spark, sf_dir):
+    held = F.coalesce(key_remainder(F.col("doc_id"), 10) == 0, F.lit(False))
+    learn = F.coalesce(key_remainder(F.col("id"), 10) != 0, F.lit(True))
+    scored = backoff_lm.score_texts(table(spark, sf_dir, "documents"), learn)
+    return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         F.round("base_score", 6).alias("base_score"), F.round("score", 6).alias("score"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from energylake.llm.backoff_lm import ADD, PRIOR
 from energylake.llm.secret_scan import NAMES
 
 WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -102,3 +103,51 @@ PII = report([
     spans("phone", 4, r"\+[0-9][ ().0-9-]+[0-9]", f"len({DIGITS}) between 9 and 15"),
     spans("iban", 5, r"\b[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}\b", MOD97),
 ], ["email", "ip", "card", "phone"], "k, s")
+
+HARD_NEGATIVES = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e
+  from embeddings where label is not null and embedding is not null and vec_id is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+pairs as (
+  select a.vec_id as anchor, b.vec_id as id, a.label = b.label as same,
+    cast(list_inner_product(a.e, b.e) as bigint) as score
+  from v a, v b where a.vec_id % 100 = 0 and a.vec_id <> b.vec_id and len(a.e) = len(b.e)),
+positives as (select * from pairs where same
+  qualify row_number() over (partition by anchor order by score desc, id) <= 5)
+select p.anchor as anchor_id, p.id as positive_id,
+  cast(row_number() over (partition by p.anchor, p.id order by n.score desc, n.id) as int) as rank,
+  n.id as negative_id, p.score as positive_score, n.score as negative_score
+from positives p join pairs n on n.anchor = p.anchor and not n.same
+  and 100 * n.score between 30 * p.score and 90 * p.score
+qualify row_number() over (partition by p.anchor, p.id order by n.score desc, n.id) <= 10
+"""
+
+# crc32 of a number as text: each byte is followed by eight shifts of one bit
+CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(
+    string_split(cast(doc_id as varchar), ''), lambda d: [ascii(d), -1, -1, -1, -1, -1, -1, -1, -1]::bigint[]))),
+    lambda a, b: case when b >= 0 then xor(a, b) when a % 2 = 1 then xor(a // 2, 3988292384) else a // 2 end))"""
+
+LANGUAGE_MODEL = rf"""
+with texts as (
+  select doc_id, coalesce({CRC} % 10 = 0, false) as held, list_concat([' begin'], regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+'), [' end']) as w from documents),
+tokens as (
+  select doc_id, held, w[i] as h, w[i + 1] as w
+  from (select doc_id, held, w, unnest(range(1, len(w))) as i from texts)),
+pairs as (select h, w, count(*) as c from tokens where not held group by all),
+ones as (select w, sum(c) as c from pairs group by w),
+contexts as (select h, sum(c) as c from pairs group by h),
+size as (select cast(sum(c) as bigint) as n, count(*) as v from ones),
+scored as (
+  select doc_id, held, n, coalesce(o.c, 0) as c1, coalesce(x.c, 0) as ch, coalesce(p.c, 0) as c2,
+    (coalesce(o.c, 0) + {ADD}::double) / (n + {ADD}::double * (v + 1)) as base
+  from tokens t, size left join ones o on o.w = t.w left join contexts x on x.h = t.h
+    left join pairs p on p.h = t.h and p.w = t.w)
+select doc_id, held as held_out, count(*) as n_tokens, count(*) filter (where c1 > 0) as n_known,
+  n as train_tokens, round(sum(log10(base)), 6) as base_score,
+  round(sum(log10((c2 + {PRIOR}::double * base) / (ch + {PRIOR}::double))), 6) as score
+from scored group by doc_id, held, n
+"""
