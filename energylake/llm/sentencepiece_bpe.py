@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +17,7 @@ from energylake.llm.common import map_texts, pick
 
 SPACE = "▁"
 MAX_WORD = 256
-CACHE_WORDS = 100_000
+CACHE_BYTES, WORD_BYTES = 96 << 20, 110  # a word's own cost: a string, its entry and a number
 DECODE_ROWS = 256
 NO_RANK = np.int64(1) << 40
 
@@ -55,7 +57,10 @@ class Pieces:
         byte = {int(texts[i][3:5], 16): i for i in range(size) if model.is_byte(i)}
         if len(byte) < 256:
             raise ValueError("only models with byte fallback")
-        self.byte = [byte[b] for b in range(256)]
+        self.byte = np.array([byte[b] for b in range(256)], np.int32)
+        letters = {ord(t): i for t, i in self.id_of.items() if len(t) == 1}
+        self.letter = np.arange(max(letters) + 1) + size  # number of each code point, up to the highest piece
+        self.letter[list(letters)] = list(letters.values())
         back = [b"" if model.is_control(i) else bytes([int(t[3:5], 16)]) if model.is_byte(i)
                 else b" \xe2\x81\x87 " if model.is_unknown(i) else t.replace(SPACE, " ").encode()
                 for i, t in enumerate(texts)]
@@ -78,9 +83,14 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-def symbols(p: Pieces, word: str) -> list[int]:
-    """One number per character: its piece, or one beyond all pieces that stands for its code point."""
-    return [p.id_of.get(c, p.size + ord(c)) for c in word]
+def symbols(p: Pieces, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """One number per character of all words, and how many each word has.
+
+    A character's number is its piece, or one beyond all pieces that stands for its code point.
+    """
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    return np.where(points < len(p.letter), p.letter[np.minimum(points, len(p.letter) - 1)], points + p.size), size
 
 
 def merge_rounds(p: Pieces, start: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -170,85 +180,98 @@ def merge_long(p: Pieces, symbol: list[int]) -> list[int]:
     return [s for s in symbol if s >= 0]
 
 
-def to_ids(p: Pieces, merged) -> list[int]:
-    """Piece ids; a character without a piece becomes the ids of its UTF-8 bytes."""
-    out = []
-    for s in merged:
-        if s < p.size:
-            out.append(s)
-        else:
-            out.extend(p.byte[b] for b in chr(s - p.size).encode("utf-8", "surrogatepass"))
-    return out
-
-
-def encode_words(p: Pieces, words: list[str]) -> list[np.ndarray]:
-    """Ids of each word."""
-    out: list[np.ndarray | None] = [None] * len(words)
-    short = [i for i, w in enumerate(words) if len(w) <= MAX_WORD]
-    if short:
-        flat = [symbols(p, words[i]) for i in short]
-        size = np.array([len(f) for f in flat])
-        start = np.concatenate([[0], np.cumsum(size)[:-1]])
-        merged, cut = merge_rounds(p, start, np.array([s for f in flat for s in f], np.int64))
-        plain = merged < p.size
-        for k, i in enumerate(short):
-            part = merged[cut[k]:cut[k + 1]]
-            out[i] = (part.astype(np.int32) if plain[cut[k]:cut[k + 1]].all()
-                      else np.array(to_ids(p, part.tolist()), np.int32))
-    for i, w in enumerate(words):
-        if out[i] is None:
-            out[i] = np.array(to_ids(p, merge_long(p, symbols(p, w))), np.int32)
-    return out
+def spelled(p: Pieces, merged: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Piece ids and their number per word; characters without a piece become their UTF-8 bytes."""
+    odd = np.flatnonzero(merged >= p.size)
+    if not len(odd):
+        return merged.astype(np.int32), size
+    data = [chr(c).encode("utf-8", "surrogatepass") for c in (merged[odd] - p.size).tolist()]
+    width = np.ones(len(merged), np.int64)
+    width[odd] = list(map(len, data))
+    ids = np.repeat(merged, width).astype(np.int32)
+    ends = np.cumsum(width)
+    ids[np.repeat(merged >= p.size, width)] = p.byte[np.frombuffer(b"".join(data), np.uint8)]
+    bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(size)])]
+    return ids, np.diff(bounds)
+
+
+def encode_words(p: Pieces, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all words in one array, and their number per word."""
+    flat, size = symbols(p, words)
+    start = np.cumsum(size) - size
+    long = np.flatnonzero(size > MAX_WORD)
+    if not len(long):
+        merged, cut = merge_rounds(p, start, flat)
+        return spelled(p, merged, np.diff(cut))
+    short = np.flatnonzero(size <= MAX_WORD)
+    kept = np.repeat(size <= MAX_WORD, size)
+    merged, cut = merge_rounds(p, np.cumsum(size[short]) - size[short], flat[kept])
+    parts = dict(zip(short.tolist(), np.split(merged, cut[1:-1]))) if len(short) else {}
+    for i in long.tolist():
+        parts[i] = np.array(merge_long(p, flat[start[i]:start[i] + size[i]].tolist()), np.int64)
+    parts = [parts[i] for i in range(len(words))]
+    return spelled(p, np.concatenate(parts), np.array(list(map(len, parts)), np.int64))
+
+
+class Known:
+    """Ids of words met before, one after the other in one array; the older half goes when it is full."""
+
+    def __init__(self, p: Pieces, limit: int):
+        self.p, self.limit, self.bytes = p, limit, 0
+        self.place: dict[str, int] = {}
+        self.start, self.values = np.zeros(1, np.int64), np.empty(0, np.int32)
+
+    def places(self, words: list[str]) -> np.ndarray:
+        """The place of each word; new ones are encoded first."""
+        fresh = list(dict.fromkeys([w for w in words if w not in self.place]))
+        if fresh:
+            if self.bytes > self.limit:
+                self._halve()
+                fresh = list(dict.fromkeys([w for w in words if w not in self.place]))
+            ids, size = encode_words(self.p, fresh)
+            self.place.update(zip(fresh, range(len(self.place), len(self.place) + len(fresh))))
+            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(size)])
+            self.values = np.concatenate([self.values, ids])
+            self.bytes += sum(map(len, fresh)) + WORD_BYTES * len(fresh) + ids.nbytes
+        return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+
+    def ids(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words at the places, joined, and their number per word."""
+        size = self.start[places + 1] - self.start[places]
+        shift = np.repeat(self.start[places] - (np.cumsum(size) - size), size)
+        return self.values[np.arange(len(shift)) + shift], size
+
+    def _halve(self) -> None:
+        words = list(self.place)[len(self.place) // 2:]
+        keep = np.arange(len(self.place) - len(words), len(self.place))
+        self.values, size = self.ids(keep)
+        self.start = np.concatenate([[0], np.cumsum(size)])
+        self.place = dict(zip(words, range(len(words))))
+        self.bytes = sum(map(len, words)) + WORD_BYTES * len(words) + self.values.nbytes
+
+
+@lru_cache(maxsize=1)
+def known(path: str) -> Known:
+    return Known(pieces(path), CACHE_BYTES)
 
 
 def encoder(path: str):
     """Function from texts to their ids, as one Arrow list array.
 
     The space mark opens every word, so texts are cut into words at spaces and, if no piece
-    holds a newline, at newlines.  Words met before come from a cache of bounded size.
+    holds a newline, at newlines.  Words met before, also by earlier tasks of the worker, come from a
+    store of bounded size.
     """
-    p = pieces(path)
-    cache: dict[str, np.ndarray] = {}
-    newline = None if p.newline is None else np.array([p.newline], np.int32)
-
-    def cut(text: str) -> list[str]:
-        words, held = [], SPACE
-        for word in text.replace(SPACE, " ").split(" "):
-            if word:
-                words.append(held + word)
-                held = SPACE
-            else:
-                held += SPACE
-        if len(held) > 1:
-            words.append(held[:-1])
-        return words
+    p, store = pieces(path), known(path)
+    cut = re.compile(f"{SPACE}*[^{SPACE}\n]+|\n|{SPACE}+" if p.newline is not None
+                     else f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
 
     def encode(texts):
-        fresh, parts_of = set(), []
-        for text in texts:
-            parts = []
-            for w in cut(text) if text else ():
-                if newline is not None and "\n" in w:
-                    for k, part in enumerate(w.split("\n")):
-                        if k:
-                            parts.append("\n")
-                        if part:
-                            parts.append(part)
-                else:
-                    parts.append(w)
-            parts_of.append(parts)
-            fresh.update(parts)
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
-        if newline is not None:
-            cache["\n"] = newline
-        fresh = [w for w in fresh if w not in cache]
-        cache.update(zip(fresh, encode_words(p, fresh)))
-        rows = [[cache[w] for w in parts] for parts in parts_of]
-        sizes = [sum(map(len, r)) for r in rows]
-        flat = [x for r in rows for x in r]
-        values = np.concatenate(flat) if flat else np.empty(0, np.int32)
-        offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int32)
+        words = [cut(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
+        count = np.fromiter(map(len, words), np.int64, len(words))
+        values, size = store.ids(store.places(list(chain.from_iterable(words))))
+        ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum(count)]
+        offsets = np.concatenate([[0], ends]).astype(np.int32)
         return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))]
 
     return encode
