@@ -65,22 +65,11 @@ def op1_multi_index(spark, sf_dir):
     return multi_index.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
 
-def line_report(cleaned):
-    return cleaned.select(
-        "doc_id", "n_units", F.size("spans").cast("long").alias("n_removed"),
-        F.array_join(F.transform("spans", lambda s: F.concat_ws(
-            ":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias("removed"), "text")
-
-
 @query(sql.LINES)
 def op3_line_dedup(spark, sf_dir):
-    return line_report(line_dedup.remove_repeated_lines(table(spark, sf_dir, "documents")))
-
-
-@query(sql.EVERY_LINE)
-def op3_line_dedup_all(spark, sf_dir):
-    """Lines of any length, also those without spaces."""
-    return line_report(line_dedup.remove_repeated_lines(table(spark, sf_dir, "documents"), least_words=1))
+    return line_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_removed", F.array_join(F.transform("spans", lambda s: F.concat_ws(
+            ":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias("removed"), "text")
 
 
 def span_report(found, kinds, *more):

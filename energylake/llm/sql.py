@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from energylake.llm.backoff_lm import ADD, PRIOR
+from energylake.llm.line_dedup import LEAST_CHARS, UNIT_CHARS
 from energylake.llm.secret_scan import NAMES
 
 WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -29,29 +30,35 @@ select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(n_hit, 0) as
 from doc_words d left join hits using (doc_id) left join items using (doc_id)
 """
 
-LINES = r"""
-with units as (
-  select doc_id, u.n as unit, u.line from (
-    select doc_id, unnest([{'n': i - 1, 'line': l[i]} for i in range(1, len(l) + 1)]) as u
-    from (select doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents))),
-normal as (
-  select doc_id, unit, line, trim(regexp_replace(lower(line),
-    '[\t\x0B\f\r ]+', ' ', 'g'), ' ') as norm from units),
-ranked as (
-  select *, len(norm) - len(replace(norm, ' ', '')) >= 3
-    and row_number() over (partition by norm order by doc_id, unit) > 1 as gone,
-    sum(len(line) + 1) over (partition by doc_id order by unit) - len(line) - 1 as start from normal)
-select doc_id, cast(count(*) as bigint) as n_units,
-  cast(count(*) filter (where gone) as bigint) as n_removed,
-  coalesce(string_agg(start || ':' || (start + len(line)), ',' order by unit) filter (where gone), '') as removed,
-  coalesce(string_agg(line, chr(10) order by unit) filter (where not gone), '') as text
-from ranked group by doc_id
+LINES = rf"""
+with parts as (
+  select doc_id, text, regexp_extract_all(coalesce(text, ''), '\n|(?s:.)+?(?:[.!?][ \t]+|[。！？]|\n|\z)') as l from documents),
+units as (
+  select doc_id, u.i as i, u.x as x, rtrim(trim(regexp_replace(lower(u.x), '[\t\n\x0B\f\r ]+', ' ', 'g'), ' '), '.!?。！？ ') as norm
+  from (select doc_id, unnest([{{'i': i, 'x': l[i]}} for i in range(1, len(l) + 1)]) as u from parts)),
+placed as (
+  select *, sum(len(x)) over (partition by doc_id order by i) - len(x) as start from units),
+numbered as (
+  select *, row_number() over (partition by doc_id order by i) as k,
+    row_number() over (partition by norm order by doc_id, i) > 1 as again
+  from placed where norm <> ''),
+stretches as (
+  select *, k - row_number() over (partition by doc_id, again order by k) as stretch from numbered),
+runs as (
+  select doc_id, min(i) as a, max(i) as b, min(start) as s, max(start + len(x)) as e, count(*) as n
+  from stretches where again group by doc_id, stretch
+  having sum(len(norm)) filter (where len(norm) >= {UNIT_CHARS}) >= {LEAST_CHARS}),
+listed as (
+  select doc_id, sum(n) as n, string_agg(s || ':' || e, ',' order by s) as removed from runs group by doc_id),
+kept as (
+  select doc_id, string_agg(x, '' order by i) as text from units u
+  where not exists (from runs r where r.doc_id = u.doc_id and u.i between r.a and r.b) group by doc_id)
+select p.doc_id, cast(coalesce(n, 0) as bigint) as n_removed, coalesce(removed, '') as removed,
+  case when p.text is not null then coalesce(k.text, '') end as text
+from parts p left join listed using (doc_id) left join kept k using (doc_id)
 """
 
 
-EVERY_LINE = LINES.replace("len(norm) - len(replace(norm, ' ', '')) >= 3", "norm <> ''")
-
-
 def spans(kind: str, order: int, pattern: str, check: str = "true") -> str:
     """Rows (doc_id, k, kind, s, e) of one kind; gaps and matches summed up give the places."""
     pattern = pattern.replace("'", "''")

@@ -51,6 +51,23 @@ def test_secrets_match_plain_expressions(spark):
         assert [tuple(s) for s in got[i] if s["kind"] != "pem"] == secret_base(t or ""), t
 
 
+def test_encoding_with_a_small_store_is_the_librarys():
+    random = np.random.default_rng(6)
+    letters = list("aeinrst  \n▁é漢😀-.0") + ["the", "ing", "▁▁", "\n▁", " \n", "x" * 300]
+    texts = TEXTS + ["".join(random.choice(letters, random.integers(0, 300))) for _ in range(200)]
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    store = sentencepiece_bpe.known(MODEL)
+    encode, limit = sentencepiece_bpe.encoder(MODEL), store.limit
+    try:
+        for store.limit in (limit, 5000, 0):
+            for i in range(0, len(texts), 20):
+                got = encode(texts[i:i + 20])[0].to_pylist()
+                assert got == [library.encode(t or "") for t in texts[i:i + 20]]
+            assert store.limit or len(store.place) < 6000
+    finally:
+        store.limit = limit
+
+
 def test_encoding_is_the_librarys(spark):
     random = np.random.default_rng(5)
     letters = list("aeinrst  \n▁é漢😀-.0") + ["the", "ing", "▁▁"]
@@ -216,26 +233,68 @@ def test_pii_scores(spark):
     assert all(len(a) == len(b) for a, b in scores) and len({x for _, b in scores for x in b}) > 2
 
 
-def test_line_dedup_keeps_the_first(spark):
-    texts = [None, "", "one two three four\nshort", "x\nOne  two three FOUR\nshort\n one two three four"]
-    rows = {r["doc_id"]: r for r in line_dedup.remove_repeated_lines(frame(spark, texts)).collect()}
-    assert rows[2]["text"] == texts[2] and rows[0]["text"] is None
-    assert rows[3]["text"] == "x\nshort" and rows[3]["n_units"] == 4
-    assert [texts[3][s["start"]:s["end"]] for s in rows[3]["spans"]] == [
-        "One  two three FOUR", " one two three four"]
-
-
-def test_line_dedup_of_every_line(spark):
-    texts = ["les.\n\n漢字漢字漢字\n \t", "a\n Les.\n\n漢字漢字漢字\n  ", "x" * 5000 + "\na", "x" * 5000]
-    rows = {r["doc_id"]: r for r in line_dedup.remove_repeated_lines(frame(spark, texts), least_words=1).collect()}
-    assert [rows[i]["text"] for i in range(4)] == [texts[0], "a\n\n  ", "x" * 5000, ""]
-    run = REGISTRY["op3_line_dedup_all"].run(spark, DATA).collect()
-    seen = set()
-    for r in sorted(run, key=lambda r: r["doc_id"]):
-        for line in r["text"].split("\n"):
-            norm = re.sub("[\t\x0b\f\r ]+", " ", line.lower()).strip(" ")
-            assert norm not in seen
-            seen |= {norm} - {""}
+PASSAGE = ("The river ran high that spring and the mill stood idle for weeks on end. Nobody could cross it "
+           "without the old ferry! Was there a bridge further up the valley? None that would have held a cart "
+           "with its load of grain and two horses, said the miller, who had counted the planks himself.")
+
+
+def test_dedup_finds_passages_inside_longer_lines(spark):
+    common = "This work is free for all to use and copy."
+    texts = [f"Before it stands a line. {PASSAGE} After it.\n{common}",
+             f"{common} Another start here. {PASSAGE.upper()}  More.",
+             "Other\n\n" + PASSAGE.replace("! ", "!\n\n ") + f"\n{common}",
+             f"{common}\nA page of its own with nothing else in it that occurs elsewhere, which is long enough to count.",
+             PASSAGE[30:], PASSAGE, PASSAGE, None, ""]
+    rows = {r["doc_id"]: r for r in line_dedup.remove_repeats(frame(spark, texts)).collect()}
+    assert [rows[i]["n_removed"] for i in range(9)] == [0, 4, 5, 0, 3, 4, 4, 0, 0]
+    assert rows[1]["text"] == f"{common} Another start here. More."
+    assert rows[2]["text"] == "Other\n\n" and rows[6]["text"] == "" and rows[7]["text"] is None
+    assert rows[4]["text"] == PASSAGE[30:PASSAGE.index("Nobody")]
+    for i, r in rows.items():
+        kept = texts[i] or ""
+        for s in reversed(r["spans"]):
+            kept = kept[:s["start"]] + kept[s["end"]:]
+        assert kept == (r["text"] or "")
+
+
+def test_dedup_of_single_units(spark):
+    texts = ["les.\n\n漢字漢字漢字\n \t", "a\n Les.\n\n漢字。漢字漢字漢字\n  ", "x" * 5000 + "\na", "x" * 5000]
+    rows = {r["doc_id"]: r for r in line_dedup.remove_repeats(frame(spark, texts), 1, 1).collect()}
+    assert [rows[i]["text"] for i in range(4)] == [texts[0], "a\n\n漢字。  ", "x" * 5000 + "\n", ""]
+    rows = line_dedup.remove_repeats(frame(spark, texts)).collect()
+    assert {r["doc_id"]: r["n_removed"] for r in rows} == {0: 0, 1: 0, 2: 0, 3: 1}
+
+
+def test_dedup_of_null_ids_copies_and_no_rows(spark):
+    docs = spark.createDataFrame([(None, PASSAGE), (None, PASSAGE), (9, PASSAGE), (None, None)],
+                                 "doc_id long, text string").coalesce(1)
+    rows = line_dedup.remove_repeats(docs).collect()
+    assert sorted((r["doc_id"] is None, r["n_removed"]) for r in rows) == [(False, 0), (True, 0), (True, 4), (True, 4)]
+    assert line_dedup.remove_repeats(docs.limit(0)).count() == 0
+
+
+def test_dedup_against_plain_units(spark):
+    random = np.random.default_rng(6)
+    some = [" ".join(random.choice(["aa", "Bb", "c.d", "e"], random.integers(1, 9))) + x
+            for x in (". ", "!\n", "\n", "?  ", "。", "... ", "") for _ in range(6)]
+    texts = ["".join(random.choice(some + ["\n", " ", "\n\n"], random.integers(0, 25))) for _ in range(80)]
+    seen, want = set(), []
+    for t in texts:
+        parts, found, run = re.findall(r"\n|(?s:.)+?(?:[.!?][ \t]+|[。！？]|\n|\Z)", t), [], []
+        assert "".join(parts) == t
+        for at, x in enumerate([*parts, None]):
+            norm = "new" if x is None else re.sub(r"\s+", " ", x.lower()).strip(" ").rstrip(".!?。！？ ")
+            if x is not None and norm in seen:
+                run.append((at, len(norm)))
+            elif norm or x is None:
+                if sum(n for _, n in run if n >= 5) >= 20:
+                    found.append((run[0][0], run[-1][0]))
+                run = []
+                seen.add(norm)
+        gone = {i for a, b in found for i in range(a, b + 1)}
+        want.append("".join(x for i, x in enumerate(parts) if i not in gone))
+    got = {r["doc_id"]: r["text"] for r in line_dedup.remove_repeats(frame(spark, texts), 20, 5).collect()}
+    assert [got[i] for i in range(len(texts))] == want and want != texts
 
 
 def test_classifiers_without_labels_and_on_empty_tables(spark):
