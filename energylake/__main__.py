@@ -16,7 +16,7 @@ from energylake.operators.rows import is_empty
 from energylake.plans import jobs
 from energylake.plans.dashboard import overview, selected_homes
 from energylake.session import build_session
-from energylake.sources.layers import bi_export, full_schema, read_layer, write_layer
+from energylake.sources.layers import bi_export, read_layer, write_layer
 from energylake.sources.messages import publish_stream
 from energylake.sources.paged import HttpPages, paged_source
 from energylake.streaming.ingest import (
@@ -51,9 +51,12 @@ def ingest(spark, a) -> None:
 
 
 def clean(spark, a) -> None:
-    schema = None if a.infer else full_schema(spark, a.bronze)
-    report(jobs.bronze_to_silver(spark, a.bronze, a.silver, a.staging, schema=schema,
-                                 dataset=a.dataset))
+    if a.day:
+        jobs.clean_day(spark, a.bronze, a.silver, a.staging, a.sketches, a.day, dataset=a.dataset,
+                       discover=not a.infer)
+        return
+    report(jobs.bronze_to_silver(spark, a.bronze, a.silver, a.staging, dataset=a.dataset,
+                                 discover=not a.infer))
 
 
 def gold(spark, a) -> None:
@@ -103,6 +106,8 @@ def parser() -> argparse.ArgumentParser:
     p = stage(clean, "bronze", "silver", "staging")
     p.add_argument("--infer", action="store_true", help="infer all types from the data")
     p.add_argument("--dataset", help="one partition of the root that ingest writes")
+    p.add_argument("--day", help="clean this day only, into its partition of silver")
+    p.add_argument("--sketches", help="table of the days' statistics, needed with --day")
     stage(gold, "silver", "gold", "gains")
     stage(train, "gold", "model", "metrics")
     stage(score, "homes", "model", "out")
@@ -116,6 +121,8 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
+    if getattr(args, "day", None) and not args.sketches:
+        parser().error("--day needs --sketches")
     args.run(build_session(), args)
 
 

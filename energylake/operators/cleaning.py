@@ -71,9 +71,12 @@ def impute_median(df: DataFrame, cols: Sequence[str], rel_err: float = 0.01,
         return _impute_exact(df, present(df, cols))
     names = numeric_columns(df, cols)
     middle = quantiles(df, names, [0.5], rel_err)
-    return _replace(df, {
-        c: F.coalesce(col(c).cast("float"), F.lit(float(middle[c][0])))
-        for c in names if middle[c]})
+    return fill_gaps(df, {c: middle[c][0] for c in names if middle[c]})
+
+
+def fill_gaps(df: DataFrame, values: Mapping[str, float]) -> DataFrame:
+    """Null to the column's given value, in single precision."""
+    return _replace(df, {c: F.coalesce(col(c).cast("float"), F.lit(float(v))) for c, v in values.items()})
 
 
 def _impute_exact(df: DataFrame, names: list[str]) -> DataFrame:
@@ -88,14 +91,19 @@ def clip_iqr(df: DataFrame, cols: Sequence[str], k: float = 1.5,
     """Values beyond k interquartile ranges from the quartiles are set to that bound."""
     names = numeric_columns(df, cols)
     quartiles = quantiles(df, names, [0.25, 0.75], rel_err)
-    changed = {}
-    for c in names:
-        if quartiles[c]:
-            q1, q3 = quartiles[c]
-            low, high = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
-            changed[c] = (F.when(col(c) < low, low).when(col(c) > high, high)
-                          .otherwise(col(c)).cast("float"))
-    return _replace(df, changed)
+    return clip_between(df, {c: fences(*quartiles[c], k) for c in names if quartiles[c]})
+
+
+def fences(q1: float, q3: float, k: float = 1.5) -> tuple[float, float]:
+    """Bounds ``k`` interquartile ranges beyond the quartiles."""
+    return q1 - k * (q3 - q1), q3 + k * (q3 - q1)
+
+
+def clip_between(df: DataFrame, bounds: Mapping[str, tuple[float, float]]) -> DataFrame:
+    """Values beyond a column's given bounds are set to the bound, in single precision."""
+    return _replace(df, {
+        c: F.when(col(c) < low, low).when(col(c) > high, high).otherwise(col(c)).cast("float")
+        for c, (low, high) in bounds.items()})
 
 
 def log_transform(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -76,6 +76,49 @@ def _look(df: DataFrame, columns: list[Column], probs,
             for rows, n, marks in (found.get(i, (0, 0, ())) for i in range(len(names)))]
 
 
+def kept_sketches(df: DataFrame, cols, err: float = 0.01, by=()) -> DataFrame:
+    """(*by, column, rows, n, sketch): a sketch to keep of each column, per value of ``by``.
+
+    ``rows`` counts all rows and ``n`` those with a value.  Sketches of parts of a table merge
+    into one of the whole, so each part is read once, however often the whole is asked about.
+    As in ``quantiles``, every input split makes a sketch and these merge in two levels.
+    """
+    by, cols, size = list(by), list(cols), F.lit(min(MOST_KEPT, math.ceil(KEPT / err)))
+    numbers = [str(i) for i in range(len(cols))]
+    stacked = (df.select(*[col(c) for c in by], *[number(col(c)).alias(n) for c, n in zip(cols, numbers)])
+               .withColumn("salt", F.spark_partition_id() % SALTS)
+               .unpivot([*by, "salt"], numbers, "column", "value"))
+    parts = stacked.groupBy(*by, "column", "salt").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("value").alias("n"),
+        F.kll_sketch_agg_double("value", size).alias("sketch"))
+    return parts.groupBy(*by, "column").agg(
+        F.sum("rows").alias("rows"), F.sum("n").alias("n"), _merged(size).alias("sketch")).withColumn(
+        "column", F.element_at(F.array(*map(F.lit, cols)), F.col("column").cast("int") + 1))
+
+
+def _merged(size: Column) -> Column:
+    return F.kll_merge_agg_double(F.when(F.col("n") > 0, F.col("sketch")), size)
+
+
+def from_sketches(kept: DataFrame, probs, err: float = 0.01) -> dict[str, tuple[int, int, dict]]:
+    """Rows, values and quantiles by probability of each column, from ``kept_sketches`` of all parts."""
+    probs, size = sorted(set(probs)), F.lit(min(MOST_KEPT, math.ceil(KEPT / err)))
+    merged = kept.groupBy("column").agg(
+        F.sum("rows").alias("rows"), F.sum("n").alias("n"), _merged(size).alias("sketch"))
+    marks = F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("sketch", F.array(*map(F.lit, probs))))
+    return {r[0]: (r[1], r[2], dict(zip(probs, r[3] or ())))
+            for r in merged.select("column", "rows", "n", marks).collect()}
+
+
+def place_among_values(p: float, rows: int, n: int) -> float:
+    """Where the quantile ``p`` of a column whose gaps hold its median lies among its ``n`` values alone.
+
+    The copies of the median lie in the middle, so quantiles outside them move outwards.
+    """
+    at = p * rows
+    return at / n if at <= n / 2 else 0.5 if at <= n / 2 + rows - n else (at - (rows - n)) / n
+
+
 def _around(p: float) -> tuple[float, float]:
     return max(0.0, p - SKETCH_ERROR), min(1.0, p + SKETCH_ERROR)
 

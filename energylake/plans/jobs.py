@@ -15,12 +15,15 @@ from energylake.operators import cleaning as cl
 from energylake.operators.features import dummies, training_target, vocabulary
 from energylake.operators.gains import class_gains
 from energylake.operators.metrics import class_distribution, regression_metrics
+from energylake.operators.quantiles import (
+    from_sketches, kept_sketches, numeric_columns, place_among_values)
 from energylake.operators.ridge import Moments, best_alpha, cross_validate, fold_moments
 from energylake.operators.rows import Bucket, fold_by_key, hash_bucket, split_by_key
 from energylake.operators.scoring import (
     RidgeModel, Term, diagnose, load_model, prediction, save_model, score_homes)
 from energylake.sources.layers import (
-    read_bronze, read_json_table, read_layer, write_json_table, write_layer)
+    parse_bronze, read_bronze, read_json_table, read_layer, replace_partitions, with_others,
+    write_json_table, write_layer)
 
 
 @dataclass(frozen=True)
@@ -51,16 +54,20 @@ def select_rows(df: DataFrame, spec: CleaningSpec = DWELLINGS) -> DataFrame:
     return cl.drop_incomplete(cl.drop_columns(df, spec.dropped), spec.critical)
 
 
+def encode(df: DataFrame, spec: CleaningSpec = DWELLINGS) -> DataFrame:
+    """Codes and constants of selected rows: all of ``repair`` that needs no statistics."""
+    df = cl.encode_ordinal(df, spec.labels, fv.CLASS_RANK)
+    df = cl.encode_ordinal(df, cl.present(df, spec.insulation), fv.INSULATION_RANK, 0, lower=True)
+    return cl.encode_boolean(cl.fill_zero(df, spec.zero), spec.boolean)
+
+
 def repair(df: DataFrame, spec: CleaningSpec = DWELLINGS) -> DataFrame:
     """Codes, gap filling, clipping and scaling of selected rows.
 
     Two jobs read the needed columns before the result is planned: one for all
     medians, one for all quartiles of the filled columns.
     """
-    df = cl.encode_ordinal(df, spec.labels, fv.CLASS_RANK)
-    df = cl.encode_ordinal(df, cl.present(df, spec.insulation), fv.INSULATION_RANK, 0, lower=True)
-    df = cl.encode_boolean(cl.fill_zero(df, spec.zero), spec.boolean)
-    df = cl.impute_median(df, spec.median, spec.rel_err)
+    df = cl.impute_median(encode(df, spec), spec.median, spec.rel_err)
     df = cl.clip_iqr(df, spec.clipped, fv.IQR_FACTOR, spec.rel_err)
     return cl.log_transform(df, spec.logged)
 
@@ -70,25 +77,32 @@ def clean(df: DataFrame, spec: CleaningSpec = DWELLINGS) -> DataFrame:
     return repair(select_rows(df, spec), spec)
 
 
+def _bronze_rows(spark: SparkSession, bronze: str, spec: CleaningSpec, schema, dataset: str | None,
+                 discover: bool) -> DataFrame:
+    rows = parse_bronze(spark, bronze, schema, spec.dropped) if discover else read_bronze(spark, bronze, schema)
+    return rows if dataset is None else rows.filter(col("dataset") == dataset)
+
+
 def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, staging: str,
                      spec: CleaningSpec = DWELLINGS, schema=None,
-                     dataset: str | None = None) -> DataFrame:
+                     dataset: str | None = None, discover: bool = False) -> DataFrame:
     """Clean a bronze directory into a silver table and report on it.
 
     With ``dataset`` only that partition is read; ``bronze`` is then the root that ingest
-    writes, whose log tells committed files from left-over ones.
+    writes, whose log tells committed files from left-over ones.  With ``discover`` every field
+    beyond the schema (by default that of the dwellings) becomes a text column, and those of
+    other datasets don't.
 
-    The JSON text is parsed once, into a columnar staging table in shared storage;
-    the quantile jobs and the final write read that.  Rows are counted on the way.
+    The JSON text is read and parsed once, into a columnar staging table in shared storage;
+    the field names, the quantile jobs and the final write read that.  Rows are counted on the way.
     """
     read, kept = Observation("read"), Observation("kept")
-    rows = read_bronze(spark, bronze, schema)
-    if dataset is not None:
-        rows = rows.filter(col("dataset") == dataset)
+    rows = _bronze_rows(spark, bronze, spec, schema, dataset, discover)
     rows = rows.observe(read, F.count(F.lit(1)).alias("rows"))
     rows = select_rows(rows, spec).observe(kept, F.count(F.lit(1)).alias("rows"))
     write_layer(rows, staging)
-    result = repair(read_layer(spark, staging), spec)
+    staged = read_layer(spark, staging)
+    result = repair(with_others(staged) if discover else staged, spec)
     write_layer(result, silver)
     rows_in, rows_out = read.get["rows"], kept.get["rows"]
     return (class_distribution(read_layer(spark, silver), spec.critical[0])
@@ -96,6 +110,57 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, staging: str
                           "rows_out": F.lit(rows_out), "columns_out": F.lit(len(result.columns))}))
 
 
+DAY = "date"
+
+
+@dataclass(frozen=True)
+class History:
+    """What the kept sketches of all days say: fill values and bounds per column."""
+
+    medians: dict[str, float]
+    fences: dict[str, tuple[float, float]]
+
+
+def history(sketches: DataFrame, spec: CleaningSpec = DWELLINGS) -> History:
+    """Medians of the values, and bounds from the quartiles of the filled columns, over all days.
+
+    Only the sketches are read, a row per day and column.  A day's sketch holds its values
+    and the number of its gaps, not what filled them; so when later days move the median,
+    the quartiles of the filled column still follow.
+    """
+    found = {c: f for c, f in from_sketches(sketches, [0.5], spec.rel_err).items() if f[1]}
+    places = {c: [place_among_values(p, rows if c in spec.median else n, n) for p in (0.25, 0.75)]
+              for c, (rows, n, _) in found.items() if c in spec.clipped}
+    marks = from_sketches(sketches, [p for ps in places.values() for p in ps], spec.rel_err) if places else {}
+    return History({c: found[c][2][0.5] for c in spec.median if c in found},
+                   {c: cl.fences(*[marks[c][2][p] for p in ps], fv.IQR_FACTOR) for c, ps in places.items()})
+
+
+def clean_day(spark: SparkSession, bronze: str, silver: str, staging: str, sketches: str, day: str,
+              spec: CleaningSpec = DWELLINGS, schema=None, dataset: str | None = None,
+              discover: bool = False) -> History:
+    """Clean one day of bronze into its partition of silver, with statistics of all days so far.
+
+    Only that day's files are read: once from bronze, then from ``staging``.  Its sketches
+    replace that day's in the table ``sketches``, where those of other days stay, and the medians and
+    quartiles come from all of them, to ``spec.rel_err`` as in a clean of everything.  A day that is
+    cleaned again replaces its own sketches and rows.  Silver rows of other days stay as they were
+    cleaned.  A day without rows changes nothing.
+    """
+    rows = _bronze_rows(spark, bronze, spec, schema, dataset, discover).filter(col(DAY) == F.lit(day).cast("date"))
+    write_layer(select_rows(rows, spec), staging)
+    staged = read_layer(spark, staging)
+    encoded = encode(with_others(staged) if discover else staged, spec)
+    names = numeric_columns(encoded, dict.fromkeys([*spec.median, *spec.clipped]))
+    filled = encoded.withColumns({c: col(c).cast("float") for c in names if c in spec.median})
+    replace_partitions(kept_sketches(filled, names, spec.rel_err, [DAY]), sketches, [DAY])
+    known = history(read_layer(spark, sketches), spec)
+    result = cl.clip_between(cl.fill_gaps(encoded, {c: m for c, m in known.medians.items() if c in names}),
+                             {c: f for c, f in known.fences.items() if c in names})
+    replace_partitions(cl.log_transform(result, spec.logged), silver, [DAY])
+    return known
+
+
 def prepare_gold(df: DataFrame, year: str = "annee_construction",
                  conso: str = "conso_5_usages_ef", surface: str = "surface_habitable_logement",
                  bands=tuple(fv.PERIOD_BANDS), last: str = fv.PERIOD_LAST) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
+from energylake import fixed_values as fv
 from energylake.operators import cleaning as cl
-from energylake.plans.jobs import CleaningSpec, bronze_to_silver, clean
+from energylake.plans.jobs import CleaningSpec, bronze_to_silver, clean, clean_day, select_rows
 from energylake.queries.registry import query, table
 from energylake.session import scratch_path
 from energylake.sources.layers import read_layer
@@ -153,8 +156,9 @@ CLEAN_SQL = """with rows as (
           from filled, q"""
 
 
-def _line_rows(spark, sf):
+def _line_rows(spark, sf, **more):
     return table(spark, sf, "lineitem").select(
+        *[c.alias(n) for n, c in more.items()],
         "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus",
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("l_shipdate"), "l_suppkey",
         F.nullif("l_quantity", F.lit(50.0)).alias("l_quantity"),
@@ -184,3 +188,77 @@ def silver_from_bronze(spark, sf):
     rows.write.json(bronze)
     bronze_to_silver(spark, bronze, silver, staging, LINE_RULES, rows.schema)
     return _comparable(read_layer(spark, silver))
+
+
+@query(CLEAN_SQL.replace("l_linestatus, l_quantity,", """l_linestatus, l_quantity, l_partkey,
+                   case when l_linenumber % 2 = 1 then l_returnflag end as note,"""))
+def silver_with_new_fields(spark, sf):
+    """Fields the schema doesn't name become columns, from one scan; those of another dataset don't."""
+    more = {"l_partkey": F.col("l_partkey"),
+            "note": F.when(F.col("l_linenumber") % 2 == 1, F.col("l_returnflag"))}
+    rows = _line_rows(spark, sf, **more)
+    known = rows.drop(*more, "l_shipdate", "l_suppkey").schema
+    bronze, staging, silver = (scratch_path(spark, n) for n in ("fields", "staging", "silver"))
+    for name, records in (("a", rows), ("b", table(spark, sf, "part").select("p_partkey", "p_name"))):
+        records.write.json(f"{bronze}/dataset={name}")
+    bronze_to_silver(spark, bronze, silver, staging, LINE_RULES, known, "a", discover=True)
+    return _comparable(read_layer(spark, silver)).drop("dataset").withColumn("l_partkey", F.col("l_partkey").cast("long"))
+
+
+DAY_RULES = replace(LINE_RULES, rel_err=0.01)
+DAYS = ("2026-03-05", "2026-03-06")
+
+
+def _clean_days(spark, sf):
+    """Lines cleaned day by day; the second day is cleaned twice, at first with half of its lines.
+
+    The lines with the statistics of both days, and the paths of silver and of the sketches.
+    """
+    day = F.when(F.col("l_shipdate") < "1996-01-01", DAYS[0]).otherwise(DAYS[1])
+    rows = _line_rows(spark, sf).withColumn("date", day)
+    bronze, half, staging, silver, sketches = (
+        scratch_path(spark, n) for n in ("days", "half", "staging", "silver", "sketches"))
+    rows.write.partitionBy("date").json(bronze)
+    rows.filter("l_orderkey % 2 = 0").write.partitionBy("date").json(half)
+    known = rows.drop("date").schema
+    for source, one in ((bronze, DAYS[0]), (half, DAYS[1]), (bronze, DAYS[1])):
+        found = clean_day(spark, source, silver, staging, sketches, one, DAY_RULES, known)
+    return rows, found, silver, sketches
+
+
+@query("""select l_orderkey, l_linenumber, l_returnflag, l_linestatus, l_quantity,
+                 round(ln(1 + coalesce(case when l_linenumber <> 7 then l_discount end::float, 0)::double), 6) as l_discount,
+                 coalesce(case when l_linenumber <> 6 then l_tax > 0.04 end, false)::int as high_tax,
+                 case when l_shipdate < timestamp '1996-01-01' then '2026-03-05' else '2026-03-06' end as date,
+                 true as filled
+          from lineitem where l_quantity <> 50""")
+def silver_by_day(spark, sf):
+    """A silver table that grew by two days, the second replaced once."""
+    _, _, silver, _ = _clean_days(spark, sf)
+    return read_layer(spark, silver).select(
+        "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity",
+        F.round("l_discount", 6).alias("l_discount"), "high_tax", F.col("date").cast("string").alias("date"),
+        F.col("price").isNotNull().alias("filled"))
+
+
+@query("""select * from (values ('price', 0.25, true), ('price', 0.5, true), ('price', 0.75, true),
+                                ('size', 0.25, true), ('size', 0.75, true)) as t("column", prob, within)""")
+def quantiles_by_day(spark, sf):
+    """Statistics from the sketches of both days hold their error: true ranks within 0.01 of the wanted one.
+
+    Quartiles are those of the column whose gaps hold the median of all days.
+    """
+    rows, found, _, _ = _clean_days(spark, sf)
+    rows, err = select_rows(rows, DAY_RULES), DAY_RULES.rel_err
+    rows = cl.fill_gaps(rows, found.medians)
+    wanted = [("price", 0.5, found.medians["price"])]
+    for name, (low, high) in found.fences.items():
+        step = (high - low) / (1 + 2 * fv.IQR_FACTOR)
+        wanted += [(name, 0.25, low + fv.IQR_FACTOR * step), (name, 0.75, high - fv.IQR_FACTOR * step)]
+    checks = []
+    for name, p, v in wanted:
+        slack = abs(v) * 1e-6  # values are held in single precision
+        below, upto = F.avg((F.col(name) < v - slack).cast("int")), F.avg((F.col(name) <= v + slack).cast("int"))
+        checks.append(F.struct(F.lit(name).alias("column"), F.lit(p).alias("prob"),
+                               ((below <= p + err) & (upto >= p - err)).alias("within")))
+    return rows.agg(F.array(*checks).alias("checks")).select(F.inline("checks"))

@@ -12,6 +12,7 @@ from energylake import fixed_values as fv
 from energylake.functions.columns import col
 
 CORRUPT = "_corrupt_record"
+RECORD, OTHERS = "_record", "_others"
 
 
 def dwelling_schema() -> T.StructType:
@@ -29,19 +30,34 @@ def dwelling_schema() -> T.StructType:
         + [T.StructField(c, T.BooleanType()) for c in fv.BOOLEAN_COLUMNS])
 
 
-def full_schema(spark: SparkSession, path: str | Sequence[str],
-                known: T.StructType | None = None) -> T.StructType:
-    """Declared schema plus, as text, every other field that occurs in the records.
+def parse_bronze(spark: SparkSession, path: str | Sequence[str], known: T.StructType | None = None,
+                 skipped: Sequence[str] = ()) -> DataFrame:
+    """JSON lines read once: the known fields, all others as text in a map, the partition columns.
 
-    One scan collects the distinct field names, which are bounded by what the source
-    sends.  The never-analysed columns stay out.
+    No scan for field names comes before.  The map holds the JSON text of each other field but
+    the skipped ones and those named like a partition; ``with_others`` makes columns of it once
+    the rows are staged.  A line that is no JSON object has no field at all; blank lines are no rows.
     """
     known = known or dwelling_schema()
-    names = (spark.read.text(path).select(F.explode(F.json_object_keys("value")).alias("name"))
-             .distinct().collect())
-    others = sorted({r["name"] for r in names} - set(known.names)
-                    - {*fv.META_COLUMNS, *fv.DATE_COLUMNS, *fv.TEXT_COLUMNS})
-    return T.StructType([*known.fields, *[T.StructField(n, T.StringType()) for n in others]])
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    parts = [c for c in lines.columns if c != "value"]
+    fields = T.StructType([f for f in known.fields if f.name not in parts])
+    left = {*fields.names, *skipped, *parts}
+    others = F.map_filter(F.from_json("value", "map<string,string>"),
+                          lambda name, value: ~name.isin(*left) & value.isNotNull())
+    return (lines.withColumns({RECORD: F.from_json("value", fields), OTHERS: others})
+            .select(*[F.col(RECORD)[n].alias(n) for n in fields.names], OTHERS, *[col(c) for c in parts]))
+
+
+def with_others(rows: DataFrame) -> DataFrame:
+    """The rows of ``parse_bronze`` with a text column for each name in their map, in order of name.
+
+    The names are collected from the staged map column alone; they are bounded by what the
+    source sends.
+    """
+    names = sorted(r[0] for r in rows.select(F.explode(F.map_keys(OTHERS))).distinct().collect())
+    return rows.select(*[col(c) for c in rows.columns if c != OTHERS],
+                       *[F.try_element_at(OTHERS, F.lit(n)).alias(n) for n in names])
 
 
 def read_bronze(spark: SparkSession, path: str | Sequence[str],
@@ -71,6 +87,17 @@ def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Overwrite only the partitions that the rows fall into; all others keep their files.
+
+    Spark writes beside the table and swaps each partition directory when the whole job has
+    ended, so a failed job changes nothing.  A reader that lists the table during the swaps may see
+    some partitions new and some old.
+    """
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
+
+
 def read_json_table(spark: SparkSession, path: str) -> DataFrame:
     """Rows of JSON documents that hold one object or one array of objects each."""
     return spark.read.option("multiLine", True).json(path)
