@@ -13,7 +13,7 @@ from pyspark.sql.pandas.types import to_arrow_schema as schema_of
 from energylake.llm.common import pick
 
 ORDER, PRIOR, ADD = 2, 30.0, 0.1
-BLOCK_BYTES, PART_BYTES = 4 << 20, 16 << 20
+BLOCK_BYTES, PART_BYTES, LEAST_PARTS = 4 << 20, 16 << 20, 8  # small tables are dealt out, too
 BEGIN, END = b" begin", b" end"  # words hold no space, so these are none
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 ONE = np.uint64(1)
@@ -85,55 +85,56 @@ class Automaton:
     p(w | h) = (c(h w) + m p(w | h without its first word)) / (c(h) + m), so an arc weighs
     log p(w | h), the failure arc of h log(m / (c(h) + m)), and the weights of a path sum up to
     the log-probability.  At the root, p(w) = (c(w) + add) / (tokens + add * (kinds + 1)).
+
+    ``weight[n]`` and ``cost[n]`` hold the weights of the arc and of the failure arc of each n-gram by its
+    number, NaN where there is no such arc.
     """
 
     def __init__(self, grams: Grams, counts: np.ndarray, tokens: int, kinds: int, prior: float, add: float):
-        order, width = grams.order, grams.width
-        sizes = [len(grams.key[n]) for n in range(1, order + 1)]
-        count = dict(zip(range(1, order + 1), np.split(counts, np.cumsum(sizes)[:-1])))
-        base = (np.where(np.arange(width) > 0, count[1], 0) + add) / (tokens + add * (kinds + 1))
-        self.width, self.base, self.known = width, np.log10(base), count[1] > 0
-        # states: the root is 0, the n-grams of each shorter length follow
-        start = dict(zip(range(1, order), (1 + np.cumsum([0, *sizes[:max(order - 2, 0)]])).tolist()))
-        states = 1 + sum(sizes[:order - 1])
-        back, cost = np.zeros(states, np.int64), np.zeros(states)
-        for n in range(1, order):
-            s = start[n] + np.arange(sizes[n - 1])
-            back[s] = start[n - 1] + grams.shorter[n] if n > 1 else 0
-            cost[s] = np.log10(prior / (count[n] + prior))
-        at, to, weight, chance = [], [], [], base
-        for n in range(2, order + 1):
-            seen = np.flatnonzero(count[n] > 0)
+        lengths = range(1, grams.order + 1)
+        count = dict(zip(lengths, np.split(counts, np.cumsum([len(grams.key[n]) for n in lengths])[:-1])))
+        chance = (np.where(np.arange(grams.width) > 0, count[1], 0) + add) / (tokens + add * (kinds + 1))
+        self.order, self.known, self.base = grams.order, count[1] > 0, np.log10(chance)
+        self.state = self.known.tolist()
+        self.weight, self.cost = {1: self.base.tolist()}, {}
+        for n in lengths[1:]:
             chance = (count[n] + prior * chance[grams.shorter[n]]) / (count[n - 1][grams.context[n]] + prior)
-            at.append((start[n - 1] + grams.context[n][seen]) * width + grams.last[n][seen])
-            to.append(start[n] + seen if n < order else start[n - 1] + grams.shorter[n][seen])
-            weight.append(np.log10(chance[seen]))
-        joined = [np.concatenate(x).tolist() if x else [] for x in (at, to, weight)]
-        self.arc, self.to, self.weight = dict(zip(joined[0], range(len(joined[0])))), joined[1], joined[2]
-        self.back, self.cost, self.root = back.tolist(), cost.tolist(), self.base.tolist()
-        after = np.where(self.known & (np.arange(width) != 1), start.get(1, 0) + np.arange(width), 0)
-        self.after = after.tolist() if order > 1 else [0] * width
-        self.begin = start[1] if order > 1 and count[1][0] > 0 else 0
-
-    def walk(self, tokens: list[int]) -> float:
-        """Log10-probability of the tokens, from the state before a text."""
-        arc, to, weight, back, cost = self.arc, self.to, self.weight, self.back, self.cost
-        root, after, width, state, total = self.root, self.after, self.width, self.begin, 0.0
-        for word in tokens:
-            a = arc.get(state * width + word)
-            while a is None and state:
-                total += cost[state]
-                state = back[state]
-                a = arc.get(state * width + word)
-            if a is None:
-                total += root[word]
-                state = after[word]
-            else:
-                total += weight[a]
-                state = to[a]
+            self.weight[n] = np.where(count[n] > 0, np.log10(chance), np.nan).tolist()
+            self.cost[n - 1] = np.log10(prior / (count[n - 1] + prior)).tolist()
+
+    def walk(self, at: dict[int, list[int]]) -> float:
+        """Log10-probability of a text, whose n-grams of each length are given by position.
+
+        The state after a word is the n-gram of length ``held`` that ends there, so it needs no more
+        than that length; the arc over the next word is the n-gram one longer that ends at it.
+        """
+        weight, cost, state, most = self.weight, self.cost, self.state, self.order - 1
+        words, total = at[1], 0.0
+        held = 1 if most and state[words[0]] else 0
+        for i in range(1, len(words)):
+            n = held + 1
+            arc = weight[n][at[n][i]]
+            while arc != arc:
+                n -= 1
+                total += cost[n][at[n][i - 1]]
+                arc = weight[n][at[n][i]]
+            total += arc
+            held = min(n, most) if n > 1 or state[words[i]] else 0
         return total
 
 
+def narrow(counts: np.ndarray) -> bytes:
+    """Counts in a byte each; those of 255 and more follow in full."""
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype(np.int64).tobytes()
+
+
+def widened(data: bytes, n: int) -> np.ndarray:
+    """The ``n`` counts of ``narrow``."""
+    counts = np.frombuffer(data, np.uint8, n).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(data, np.uint8, offset=n).copy().view(np.int64)
+    return counts
+
+
 def score_texts(docs: DataFrame, learn: Column, order: int = ORDER, prior: float = PRIOR, add: float = ADD,
                 block_bytes: int = BLOCK_BYTES, part_bytes: int = PART_BYTES,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -156,7 +157,7 @@ def score_texts(docs: DataFrame, learn: Column, order: int = ORDER, prior: float
     """
     rows = pick(docs, id=id_col, text=text_col)
     size = rows.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 1
-    blocks, parts = max(1, -(-size // block_bytes)), max(1, -(-size // part_bytes))
+    blocks, parts = (max(LEAST_PARTS, -(-size // n)) for n in (block_bytes, part_bytes))
     block = F.pmod(F.xxhash64(F.col("id").cast("string"), "text"), F.lit(blocks)).cast("int")
     rows = rows.select(block.alias("block"), "id", "text", F.coalesce(learn, F.lit(False)).alias("learn"))
     rows = rows.repartition(blocks, "block")
@@ -175,18 +176,18 @@ def score_texts(docs: DataFrame, learn: Column, order: int = ORDER, prior: float
             "block": pa.array(np.full(parts, table.column("block")[0].as_py(), np.int32)),
             "part": pa.array(np.arange(parts, dtype=np.int32)),
             "keys": pa.array([keys[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
-            "counts": pa.array([counts[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())})
+            "counts": pa.array([narrow(counts[a:b]) for a, b in zip(cut, cut[1:])], pa.binary())})
 
     def add_up(table: pa.Table) -> pa.Table:
         keys = [np.frombuffer(b, np.uint64) for b in table.column("keys").to_pylist()]
         ends = np.cumsum([len(k) for k in keys])[:-1]
         distinct, own = np.unique(np.concatenate(keys), return_inverse=True)
-        counts = np.concatenate([np.frombuffer(b, np.int64) for b in table.column("counts").to_pylist()])
+        counts = np.concatenate([widened(b, len(k)) for b, k in zip(table.column("counts").to_pylist(), keys)])
         total = np.bincount(own, counts, len(distinct)).astype(np.int64)
         tokens = total[(distinct & ONE) == ONE]
         return pa.Table.from_pydict({
             "block": table.column("block"), "part": table.column("part"),
-            "counts": pa.array([c.tobytes() for c in np.split(total[own], ends)], pa.binary()),
+            "counts": pa.array([narrow(c) for c in np.split(total[own], ends)], pa.binary()),
             "tokens": pa.array(np.full(len(keys), tokens.sum())),
             "kinds": pa.array(np.full(len(keys), np.count_nonzero(tokens)))})
 
@@ -194,22 +195,22 @@ def score_texts(docs: DataFrame, learn: Column, order: int = ORDER, prior: float
         if not table.num_rows:
             return arrow.empty_table()
         grams = Grams(table.column("text").to_pylist(), order)
-        at = grams.ordered()[1]
-        counts = np.empty(len(at), np.int64)
+        keys, at = grams.ordered()
+        counts, cut = np.empty(len(at), np.int64), cuts(keys)
         parted = answers.sort_by("part").column("counts").to_pylist()
-        counts[at] = np.frombuffer(b"".join(parted), np.int64)
+        counts[at] = np.concatenate([widened(c, b - a) for c, a, b in zip(parted, cut, cut[1:])])
         tokens, kinds = (int(np.sum(answers.column(c).to_numpy())) for c in ("tokens", "kinds"))
         model = Automaton(grams, counts, tokens, kinds, prior, add)
-        flat = grams.at[1]
-        del grams.key, at, counts
-        start = np.cumsum(grams.sizes) - grams.sizes
-        spans = list(zip((start + 1).tolist(), (start + grams.sizes).tolist()))
+        ends = np.cumsum(grams.sizes)
+        spans = list(zip((ends - grams.sizes).tolist(), ends.tolist()))
+        tokens_of = [grams.at[1][a + 1:b] for a, b in spans]
+        paths = ({n: own[a:b].tolist() for n, own in grams.at.items()} for a, b in spans)
         return pa.Table.from_arrays([
             table.column("id"), pa.array(grams.sizes - 1),
-            pa.array([int(model.known[flat[a:b]].sum()) for a, b in spans], pa.int64()),
+            pa.array([int(model.known[t].sum()) for t in tokens_of], pa.int64()),
             pa.array(np.full(len(spans), tokens)),
-            pa.array([float(model.base[flat[a:b]].sum()) for a, b in spans], pa.float64()),
-            pa.array([model.walk(flat[a:b].tolist()) for a, b in spans], pa.float64())], schema=arrow)
+            pa.array([float(model.base[t].sum()) for t in tokens_of], pa.float64()),
+            pa.array([model.walk(p) for p in paths], pa.float64())], schema=arrow)
 
     fields = [T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known", "train_tokens")]
     fields += [T.StructField(n, T.DoubleType()) for n in ("base_score", "score")]

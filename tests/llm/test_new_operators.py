@@ -200,10 +200,18 @@ def test_scores_without_rows_to_learn_from(spark):
 
 
 def test_probabilities_of_all_next_words_sum_to_one():
-    learn = ["a b c a b", "b a", "c c c"]
-    grams = backoff_lm.Grams([*learn, "a a", "a b", "a c", "a", "a d"], 2)
+    learn, texts = ["a b c a b", "b a", "c c c"], ["a", "a a", "a b", "a c", "a d"]
+    grams = backoff_lm.Grams([*learn, *texts], 2)
     counts = grams.counts(np.array([True] * 3 + [False] * 5))
     model = backoff_lm.Automaton(grams, counts, 13, 4, 5.0, 0.1)
-    first = [10 ** model.walk([2])]  # numbers 0 and 1 are the marks, a is 2
-    paths = [10 ** model.walk([2, w]) for w in (1, 2, 3, 4, 5)]  # the last one is unknown
-    assert sum(paths) == pytest.approx(first[0])
+    ends = np.cumsum(grams.sizes)[3:]
+    paths = [model.walk({n: own[e - size:e if len(t) == 1 else e - 1].tolist() for n, own in grams.at.items()})
+             for t, e, size in zip(texts, ends, grams.sizes[3:])]
+    a = {n: own[ends[0] - 3:ends[0] - 1].tolist() for n, own in grams.at.items()}
+    # after a: the end, a, b, c, and what was never seen
+    assert sum(10 ** p for p in paths) == pytest.approx(10 ** model.walk(a))
+
+
+def test_counts_in_a_byte():
+    for counts in ([], [0, 1, 254, 255, 256, 10 ** 12, 3]):
+        assert backoff_lm.widened(backoff_lm.narrow(np.array(counts, np.int64)), len(counts)).tolist() == counts
