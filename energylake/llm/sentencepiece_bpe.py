@@ -17,7 +17,7 @@ from energylake.llm.common import map_texts, pick
 
 SPACE = "▁"
 MAX_WORD = 256
-CACHE_BYTES, WORD_BYTES = 96 << 20, 110  # a word's own cost: a string, its entry and a number
+CACHE_BYTES, WORD_BYTES = 64 << 20, 190  # a word's own cost: a string, its entry and a number
 DECODE_ROWS = 256
 NO_RANK = np.int64(1) << 40
 
