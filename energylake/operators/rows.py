@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from energylake.functions.columns import col
-from energylake.session import scratch_path
+from energylake.operators.ranks import between, groups, sort_key
 
 TOP_ROWS = 100_000
-PLACE_BITS = 33  # of monotonically_increasing_id, the bits below the partition number
 SMALL_ROWS = 10_000
 BUCKETS = 10_000
 
@@ -63,54 +63,25 @@ def ordered(df: DataFrame, *keys: Column, partitions: int | None = None) -> Data
     return df.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys)
 
 
-def row_order(df: DataFrame, c: str) -> list[Column]:
-    """Sort keys by which only rows equal in every column tie: the column, then a hash of the row."""
-    hashed = [col(f.name) for f in df.schema.fields
-              if not any(kind in f.dataType.simpleString() for kind in ("map<", "variant"))]
-    return [col(c), F.xxhash64(*hashed)]
-
-
 def slice_rows(df: DataFrame, order_by: str, limit: int | None = None, offset: int = 0,
                partitions: int | None = None) -> DataFrame:
     """``limit`` rows after the first ``offset`` rows in the order of a column.
 
     The column has any type that can be sorted; nulls come first and equal keys go by a
-    hash of the row.  A slice near the start is a bounded top-k.  Any other would send the
-    sorted table through one task, so there the sorted rows are written once, each with
-    its place; rows are counted per partition and the slice is a range filter on the
-    place.  Both ways give the same rows, and no partition is ever gathered.
+    hash of the row.  A slice near the start is a bounded top-k.  For any other, the keys at both
+    ends are searched for by rank, and only the rows between them are sorted.  Nothing is
+    written, no partition is ever gathered, and both ways give the same rows.
     """
-    keys = row_order(df, order_by)
+    key = sort_key(df, col(order_by))
     if limit is None and offset == 0:
-        return ordered(df, *keys, partitions=partitions)
+        return ordered(df, key, partitions=partitions)
     if limit is not None and offset + limit <= TOP_ROWS:
-        return df.orderBy(*keys).offset(offset).limit(limit)
-    place = "_place"
-    while place in map(str.lower, df.columns):
-        place += "_"
-    path = scratch_path(df.sparkSession, "sorted")
-    (ordered(df, *keys, partitions=partitions)
-     .withColumn(place, F.monotonically_increasing_id()).write.parquet(path))
-    rows = df.sparkSession.read.parquet(path)
-    sizes = (rows.groupBy(F.shiftright(place, PLACE_BITS).alias("part"))
-             .agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect())
-    total = sum(r["n"] for r in sizes)
+        return df.orderBy(key).offset(offset).limit(limit)
+    total = df.count()
     stop = total if limit is None else min(total, offset + limit)
     if offset >= stop:
         return df.limit(0)
-    rows = rows.filter(F.col(place) >= _place(sizes, offset))
-    if stop < total:
-        rows = rows.filter(F.col(place) < _place(sizes, stop))
-    return ordered(rows, F.col(place), partitions=partitions).drop(place)
-
-
-def _place(sizes: Sequence, row: int) -> int:
-    """Place of the row with this number: its partition's bits, then its number within."""
-    for part, n in sizes:
-        if row < n:
-            return (part << PLACE_BITS) + row
-        row -= n
-    raise IndexError(row)
+    return ordered(between(df, key, offset, stop, total), key, partitions=partitions)
 
 
 def hash_bucket(cols: Sequence[str], seed: int, n: int) -> Column:
@@ -140,6 +111,32 @@ def fold_by_key(df: DataFrame, key: Sequence[str], folds: int = 5, seed: int = 4
     return df.withColumn(out, bucket(key, seed + 1, folds).cast("int"))
 
 
+def seeded_order(df: DataFrame, key: Sequence[str], seed: int) -> Column:
+    """Sort key of a seeded random order; rows with equal key columns stand together."""
+    return sort_key(df, F.xxhash64(*[col(c) for c in key], F.lit(seed)))
+
+
+def split_exactly(df: DataFrame, key: Sequence[str], test: float = 0.2, seed: int = 42,
+                  out: str = "split") -> DataFrame:
+    """Adds ``train`` or ``test``; ceil(test * rows) rows are ``test``, however they are partitioned.
+
+    The seeded hash of the key columns is the rank, and the key at the exact border is found
+    without a sort.  Rows with one key fall on the same side unless the border lies among them.
+    """
+    total = df.count()
+    held_out = math.ceil(round(test * total, 9))
+    parted = groups(df, seeded_order(df, key, seed), [held_out], total, out)
+    return parted.withColumn(out, F.when(F.col(out) == 0, "test").otherwise("train"))
+
+
+def fold_exactly(df: DataFrame, key: Sequence[str], folds: int = 5, seed: int = 42,
+                 out: str = "fold") -> DataFrame:
+    """Adds a fold number 0..folds-1; sizes differ by one at most, larger folds first."""
+    total = df.count()
+    sizes = [total // folds + (i < total % folds) for i in range(folds - 1)]
+    return groups(df, seeded_order(df, key, seed + 1), sizes, total, out)
+
+
 def shuffle_rows(df: DataFrame, key: Sequence[str], seed: int = 42,
                  partitions: int | None = None) -> DataFrame:
     """Rows in a seeded random order that is the same on every run."""

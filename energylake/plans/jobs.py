@@ -18,7 +18,8 @@ from energylake.operators.metrics import class_distribution, regression_metrics
 from energylake.operators.quantiles import (
     from_sketches, kept_sketches, numeric_columns, place_among_values)
 from energylake.operators.ridge import Moments, best_alpha, cross_validate, fold_moments
-from energylake.operators.rows import Bucket, fold_by_key, hash_bucket, split_by_key
+from energylake.operators.rows import (
+    Bucket, fold_by_key, fold_exactly, hash_bucket, split_by_key, split_exactly)
 from energylake.operators.scoring import (
     RidgeModel, Term, diagnose, load_model, prediction, save_model, score_homes)
 from energylake.sources.layers import (
@@ -195,6 +196,7 @@ class TrainingSpec:
     test: float = fv.TEST_SHARE
     seed: int = fv.SEED
     bucket: Bucket = hash_bucket
+    exact: bool = False
     scale_on: str = "all"
     max_values: int | None = None
 
@@ -207,7 +209,8 @@ def training_rows(df: DataFrame, spec: TrainingSpec) -> DataFrame:
     """Target, filled features, split and fold of every usable row, and no other column.
 
     The hashed key defaults to the columns used, so rows that are equal in all of
-    them fall on the same side.
+    them fall on the same side.  With ``exact`` the split and the folds have their exact sizes,
+    for a few more scans of the rows.
     """
     categories, numbers = cl.present(df, spec.categories), cl.present(df, spec.numbers)
     used = [*dict.fromkeys([spec.conso, spec.surface, *categories, *numbers, *spec.key])]
@@ -217,6 +220,10 @@ def training_rows(df: DataFrame, spec: TrainingSpec) -> DataFrame:
     rows = rows.withColumns({c: finite(col(c).try_cast("double")) for c in numbers})
     rows = cl.impute_median(rows, numbers, exact=True)
     key = spec.key or used
+    if spec.exact:
+        rows = split_exactly(rows, key, spec.test, spec.seed)
+        folds = fold_exactly(rows.filter("split = 'train'"), key, spec.folds, spec.seed)
+        return folds.unionByName(rows.filter("split = 'test'").withColumn("fold", F.lit(HELD_OUT)))
     rows = split_by_key(rows, key, spec.test, spec.seed, spec.bucket)
     return fold_by_key(rows, key, spec.folds, spec.seed, spec.bucket).withColumn(
         "fold", F.when(F.col("split") == "test", HELD_OUT).otherwise(F.col("fold")))

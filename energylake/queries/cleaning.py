@@ -241,7 +241,7 @@ def silver_by_day(spark, sf):
         F.col("price").isNotNull().alias("filled"))
 
 
-@query("""select * from (values ('price', 0.25, true), ('price', 0.5, true), ('price', 0.75, true),
+@query("""select "column", prob::double as prob, within from (values ('price', 0.25, true), ('price', 0.5, true), ('price', 0.75, true),
                                 ('size', 0.25, true), ('size', 0.75, true)) as t("column", prob, within)""")
 def quantiles_by_day(spark, sf):
     """Statistics from the sketches of both days hold their error: true ranks within 0.01 of the wanted one.

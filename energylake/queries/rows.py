@@ -83,6 +83,19 @@ def split_counts(spark, sf):
         F.count(F.lit(1)).alias("n"), F.sum("l_linenumber").alias("lines"))
 
 
+@query("""with n as (select count(*) as n from lineitem),
+            t as (select n, ceil(0.2 * n)::bigint as test from n)
+          select 'test' as split, -1 as fold, test as n from t
+          union all select 'train', f.k, (n - test) // 5 + (case when f.k < (n - test) % 5 then 1 else 0 end)
+          from t, (select unnest(range(5))::int as k) f""")
+def exact_split_sizes(spark, sf):
+    """A fifth of the rows held out and five folds of the rest, each of its exact size."""
+    rows = r.split_exactly(table(spark, sf, "lineitem"), ["l_orderkey"])
+    folds = r.fold_exactly(rows.filter("split = 'train'"), ["l_orderkey"])
+    test = rows.filter("split = 'test'").withColumn("fold", F.lit(-1))
+    return folds.unionByName(test).groupBy("split", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("select c_custkey, c_name, c_mktsegment from customer")
 def shuffle_rows(spark, sf):
     customer = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
