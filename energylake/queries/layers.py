@@ -10,7 +10,6 @@ from energylake.queries.registry import query, table
 from energylake.session import scratch_path
 from energylake.sources.layers import read_bronze, read_layer, write_layer
 from energylake.sources.messages import publish, publish_stream
-from energylake.sources.paged import TEXT_ROWS, ParquetPages, paged_source
 from energylake.streaming.ingest import (
     bronze_totals, ingest_to_bronze, read_stream, run_totals)
 
@@ -52,14 +51,13 @@ def publish_messages(spark, sf):
 
 @query("select o_orderpriority as value, count(*) as n from orders group by 1")
 def paged_resume(spark, sf):
-    """A pull of all pages that is stopped half-way and taken up from its checkpoint."""
-    pages = ParquetPages(f"{sf}/orders.parquet", ["o_orderpriority"], ["value"])
-    spark.dataSource.register(paged_source(pages, TEXT_ROWS, "paged_resume"))
-    path, checkpoint = scratch_path(spark, "pulled"), scratch_path(spark, "pulled-checkpoint")
-    for limit in (pages.total() // 2, pages.total()):
-        stream = spark.readStream.format("paged_resume").option("limit", limit).load()
-        publish_stream(stream, "open-data-existant", {"path": path}, checkpoint,
-                       fmt="text").awaitTermination()
+    """A stream of messages that ends half-way and is taken up from its checkpoint."""
+    orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderpriority").alias("value"))
+    source, path, checkpoint = (scratch_path(spark, n) for n in ("pages", "pulled", "pulled-checkpoint"))
+    for half in (0, 1):
+        orders.filter(F.pmod("o_orderkey", F.lit(2)) == half).select("value").write.mode("append").text(source)
+        publish_stream(read_stream(spark, {}, "text", path=source), "open-data-existant", {"path": path},
+                       checkpoint, fmt="text").awaitTermination()
     return class_distribution(spark.read.text(path), "value", out="n")
 
 

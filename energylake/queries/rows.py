@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from energylake.operators import rows as r
 from energylake.queries.registry import query, table
-from energylake.sources.paged import ParquetPages, paged_source
+from energylake.sources.layers import read_layer
 
 
 @query("""select 'customer' as name, count(*) as "rows" from customer
@@ -104,9 +104,6 @@ def shuffle_rows(spark, sf):
 
 @query("""select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from orders""")
 def paged_source_read(spark, sf):
+    """The columns that a pull of this table would send, read as a layer."""
     columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
-    orders = table(spark, sf, "orders").select(columns)
-    source = paged_source(ParquetPages(f"{sf}/orders.parquet", columns),
-                          orders.schema.simpleString()[7:-1].replace(":", " "), "paged_orders")
-    spark.dataSource.register(source)
-    return spark.read.format("paged_orders").option("page_size", 100).load()
+    return read_layer(spark, f"{sf}/orders.parquet", columns)

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from energylake.session import scratch_path
 from energylake.sources import layers as s
 from energylake.sources.messages import as_messages, publish, publish_stream
-from energylake.sources.paged import HttpPages, ParquetPages, page_runs, paged_source
+from energylake.sources.paged import HttpPages, page_runs, paged_source
+from paged_trial import ParquetPages
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
