@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from energylake.llm.common import pick, staged
 
 SHARD_ROWS, LEAST_SHARDS, QUERY_ROWS = 4_096, 16, 4_096
+PROBES_AT_ONCE, WALKS_PER_TASK = 512, 256
 
 
 def usable(v: Column) -> Column:
@@ -117,32 +118,122 @@ def fit(vectors: DataFrame, cells: int, sample_rows: int) -> Codebook:
     return Codebook(*[kmeans(part, min(cells, len(part))) for part in (points[:, :half], points[:, half:])])
 
 
-def search(vectors: DataFrame, queries: Column, k: int = 20, cells: int = 32, sample_rows: int = 20_000,
-           visit: float = 0.6, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+def cells_for(rows: int) -> int:
+    """Centroids of each half: a power of two near a quarter of the root of the rows, 64 to 1,024.
+
+    The walk then takes about as many cells as a sixteenth of the rows it leads to.
+    """
+    return int(min(1_024, max(64, 2 ** round(np.log2(max(rows, 1) ** 0.5 / 4)))))
+
+
+def needed_visit(index: DataFrame, asked: DataFrame, book: Codebook, size: np.ndarray, k: int,
+                 recall: float, trials: int) -> float:
+    """The share of rows to visit at which ``trials`` of the queries find ``recall`` of their neighbours.
+
+    Their true neighbours come from one pass over all rows; each neighbour tells how many rows
+    its query's walk passes before its cell.
+    """
+    sample = (asked.orderBy(F.xxhash64("ask", F.lit(7)), "ask").limit(trials)
+              .select("ask", "v").toArrow().to_pydict())
+    if not sample["ask"]:
+        return 1.0
+    own, q = np.array(sample["ask"]), np.array(sample["v"], np.float64)
+
+    def best(batches):
+        near, cell = np.zeros((len(q), 0)), np.zeros((len(q), 0), np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            score = q @ np.vstack(batch.column(0).to_numpy(zero_copy_only=False)).T
+            score[own[:, None] == batch.column(1).to_numpy()] = -np.inf
+            near = np.hstack([near, score])
+            cell = np.hstack([cell, np.broadcast_to(batch.column(2).to_numpy(), score.shape)])
+            if near.shape[1] > k:
+                top = np.argpartition(-near, k - 1, axis=1)[:, :k]
+                near, cell = np.take_along_axis(near, top, 1), np.take_along_axis(cell, top, 1)
+        at, _ = np.nonzero(near > -np.inf)
+        yield pa.RecordBatch.from_pydict({
+            "q": pa.array(at), "near": pa.array(near[near > -np.inf]), "cell": pa.array(cell[near > -np.inf])})
+
+    order = Window.partitionBy("q").orderBy(F.desc("near"), "cell")
+    found = (index.select("v", "ask", "cell").mapInArrow(best, "q long, near double, cell long")
+             .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+             .select("q", "cell").toPandas())  # at most trials x k rows
+    d, needed = book.left.shape[1], []
+    for at, cells in found.groupby("q")["cell"]:
+        sums = ((book.left @ q[at, :d])[:, None] + book.right @ q[at, d:]).ravel()
+        walked = np.argsort(-sums, kind="stable")
+        before = np.empty(len(sums), np.int64)
+        before[walked] = np.cumsum(size[walked]) - size[walked]
+        needed.append((before[cells.to_numpy()] + 1) / max(size.sum(), 1))
+    return float(np.quantile(np.concatenate(needed), recall, method="higher")) if needed else 1.0
+
+
+def search(vectors: DataFrame, queries: Column, k: int = 20, cells: int | None = None,
+           sample_rows: int = 20_000, visit: float | None = None, recall: float = 0.95, trials: int = 64,
+           id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """The ``k`` rows found nearest to each query row: query_id, rank, vec_id, score.
 
     ``queries`` is a condition on the column ``id``; all rows but the query's own are
     candidates.  Nearness is the inner product in double precision, ties go to the smaller
     id.  ``cells`` is the number of centroids of each half, fitted on ``sample_rows`` rows at
-    most; every row is indexed.  A query walks the cells by summed nearness until they hold
-    the share ``visit`` of all rows, and all rows of those cells are ranked by their true
-    score.  Rows without an id, with a null or zero vector or one with a null or non-finite
+    most and by default chosen from the number of rows; every row is indexed.  A query walks the
+    cells by summed nearness until they hold the share ``visit`` of all rows, and all rows of
+    those cells are ranked by their true score.  Without ``visit``, it is the share at which
+    ``trials`` of the queries find ``recall`` of their true neighbours.
+    Rows without an id, with a null or zero vector or one with a null or non-finite
     component take no part.  Vectors of each length are a table of their own, with its own cells
     and one search for each length that has queries.
-    Rows that repeat an id are candidates each for itself, and as queries get ``k`` rows each.  An empty table gives no rows.
+    Rows that repeat an id are candidates each for itself, also for each other, and as queries get
+    ``k`` rows each.  An empty table gives no rows.
     """
     rows = pick(vectors, id=id_col, v=vec_col).select("id", F.col("v").cast("array<double>").alias("v"))
     rows = rows.filter(F.col("id").isNotNull() & usable(F.col("v")))
-    lengths = rows.groupBy(F.size("v").alias("n")).agg(F.bool_or(queries).alias("asked")).filter("asked").collect()
-    parts = [_search(rows.filter(F.size("v") == r["n"]), queries, k, cells, sample_rows, visit)
-             for r in sorted(lengths)]
+    lengths = rows.groupBy(F.size("v").alias("n")).agg(
+        F.bool_or(queries).alias("asked"), F.count(F.lit(1)).alias("rows")).filter("asked").collect()
+    parts = [_search(rows.filter(F.size("v") == r["n"]), queries, k, cells or cells_for(r["rows"]),
+                     sample_rows, visit, recall, trials) for r in sorted(lengths)]
     if parts:
         return reduce(DataFrame.unionAll, parts)
     id_type = rows.schema["id"].dataType.simpleString()
     return rows.sparkSession.createDataFrame([], f"query_id {id_type}, rank int, vec_id {id_type}, score double")
 
 
-def _search(rows: DataFrame, queries: Column, k: int, cells: int, sample_rows: int, visit: float) -> DataFrame:
+def best_of_shard(entries: pd.DataFrame, probes: pd.DataFrame, k: int):
+    """(probe number, entry number, score) of the ``k`` best visited entries of each probe.
+
+    ``entries`` are in order of cell, so the rows of a cell meet all probes that visit it in one product.
+    """
+    e, ask = np.vstack(entries["v"]), entries["ask"].to_numpy()
+    ids = entries["id"].to_numpy()
+    here, first = np.unique(entries["cell"].to_numpy(), return_index=True)
+    ends = np.append(first[1:], len(e))
+    for low in range(0, len(probes), PROBES_AT_ONCE):
+        part = probes.iloc[low:low + PROBES_AT_ONCE]
+        q = np.vstack(part["v"])
+        visits = np.zeros((len(q), len(here)), bool)
+        for row, wanted in zip(visits, part["cells"]):
+            row[np.searchsorted(here, wanted)] = True
+        near = np.full((len(q), len(e)), -np.inf)
+        for c, (a, b) in enumerate(zip(first, ends)):
+            who = np.flatnonzero(visits[:, c])
+            near[who, a:b] = q[who] @ e[a:b].T
+        _, x, y = np.intersect1d(part["ask"].to_numpy(), ask, return_indices=True)
+        near[x, y] = -np.inf  # a query's own row
+        if near.shape[1] > k:  # the product's last digits hang on the layout: leave some room
+            room = 1e-9 * (1 + np.abs(np.where(near > -np.inf, near, 0)).max(axis=1))
+            least = np.partition(near, -k, axis=1)[:, -k] - room
+            near[near < least[:, None]] = -np.inf
+        at, row = np.nonzero(near > -np.inf)
+        score = (e[row] * q[at]).sum(axis=1)
+        order = np.lexsort((ids[row], -score, at))
+        at, row, score = at[order], row[order], score[order]
+        place = np.arange(len(at)) - np.searchsorted(at, at)
+        yield low + at[place < k], row[place < k], score[place < k]
+
+
+def _search(rows: DataFrame, queries: Column, k: int, cells: int, sample_rows: int, visit: float | None,
+            recall: float, trials: int) -> DataFrame:
     """``search`` among rows (id, v) with vectors of one length."""
     book = fit(rows, cells, sample_rows)
 
@@ -162,16 +253,18 @@ def _search(rows: DataFrame, queries: Column, k: int, cells: int, sample_rows: i
         size[r["cell"]] = r["count"]
     layout = Layout(size, max(LEAST_SHARDS, -(-int(size.sum()) // SHARD_ROWS)))
     asked = index.filter(queries).select("id", "v", "ask")
-    blocks = max(1, -(-asked.count() // QUERY_ROWS))
+    n_asked = asked.count()
+    blocks = max(1, -(-n_asked // QUERY_ROWS))
+    share = needed_visit(index, asked, book, size, k, recall, trials) if visit is None else visit
+    wanted = max(int(np.ceil(share * layout.total)), min(k + 1, layout.total))
 
     def place(batches):
         for batch in batches:
-            shard = layout.shard_of(batch.column(2).to_numpy(), batch.column(3).to_numpy())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(shard)],
-                                             ["id", "v", "cell", "shard"])
+            shard = layout.shard_of(batch.column(3).to_numpy(), batch.column(4).to_numpy())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(shard)],
+                                             ["id", "v", "ask", "cell", "shard"])
 
     def probe(batches):
-        wanted = max(int(np.ceil(visit * layout.total)), min(k + 1, layout.total))
         for batch in batches:
             out = []
             for query, vector, ask in zip(*(c.to_pylist() for c in batch.columns)):
@@ -185,30 +278,25 @@ def _search(rows: DataFrame, queries: Column, k: int, cells: int, sample_rows: i
                 "cells": pa.array([o[4] for o in out], pa.list_(pa.int64()))})
 
     def rank(entries: pd.DataFrame, probes: pd.DataFrame) -> pd.DataFrame:
-        out = ([], [], [], [])
+        out = []
         if len(entries) and len(probes):
-            entries = entries.sort_values("id", kind="stable")
-            ids, cell, e = entries["id"].to_numpy(), entries["cell"].to_numpy(), np.vstack(entries["v"])
-            for query, vector, ask, wanted in zip(probes["id"], probes["v"], probes["ask"], probes["cells"]):
-                own = np.flatnonzero(np.isin(cell, wanted, kind="table") & (ids != query))
-                if not len(own):
-                    continue
-                near = e[own] @ vector
-                if len(own) > k:  # the product's last digits hang on the layout: leave some room
-                    own = own[near >= np.partition(near, -k)[-k] - 1e-9 * (1 + np.abs(near).max())]
-                score = (e[own] * vector).sum(axis=1)
-                best = np.lexsort((ids[own], -score))[:k]
-                out[0].extend([query] * len(best))
-                out[1].extend(ids[own][best])
-                out[2].extend(score[best])
-                out[3].extend([ask] * len(best))
-        return pd.DataFrame({"query_id": out[0], "vec_id": out[1], "score": out[2], "ask": out[3]})
+            entries = entries.sort_values(["cell", "id"], kind="stable")
+            # a shard holds a part of some cells, perhaps without rows of a cell it might hold
+            here = entries["cell"].unique()
+            probes = probes.assign(cells=[np.asarray(c)[np.isin(c, here)] for c in probes["cells"]])
+            for at, row, score in best_of_shard(entries, probes, k):
+                out.append(pd.DataFrame({
+                    "query_id": probes["id"].to_numpy()[at], "vec_id": entries["id"].to_numpy()[row],
+                    "score": score, "ask": probes["ask"].to_numpy()[at]}))
+        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "ask": []})
 
     # entries go to each block of queries, so a shard that many queries probe is split by query
-    keyed = index.select("id", "v", "cell", F.shiftrightunsigned(F.xxhash64(F.col("id").cast("string")), 1).alias("key"))
-    entries = keyed.mapInArrow(place, f"id {id_type}, v array<double>, cell long, shard long").withColumn(
+    keyed = index.select("id", "v", "ask", "cell",
+                         F.shiftrightunsigned(F.xxhash64(F.col("id").cast("string")), 1).alias("key"))
+    entries = keyed.mapInArrow(
+        place, f"id {id_type}, v array<double>, ask long, cell long, shard long").withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    probes = (asked.repartition(F.col("ask")).mapInArrow(
+    probes = (asked.repartition(max(1, -(-n_asked // WALKS_PER_TASK)), "ask").mapInArrow(
         probe, f"id {id_type}, v array<double>, ask long, shard long, cells array<long>")
         .withColumn("block", F.pmod(F.xxhash64("ask", F.lit(1)), F.lit(blocks)).cast("int")))
     ranked = entries.groupBy("shard", "block").cogroup(probes.groupBy("shard", "block")).applyInPandas(

@@ -326,8 +326,8 @@ def test_search_with_a_query_id_on_two_rows(spark):
     vectors = spark.createDataFrame(e, "vec_id long, embedding array<double>")
     got = multi_index.search(vectors, F.col("id") % 20 == 0, k=5, cells=4, visit=1.0).collect()
     want = []
-    for q, v in e:
-        near = sorted((-float(np.dot(v, x)), i) for i, x in e if i != q)[:5]
+    for at, (q, v) in enumerate(e):  # the other row of the query's id is a candidate
+        near = sorted((-float(np.dot(v, x)), i) for n, (i, x) in enumerate(e) if n != at)[:5]
         want += [(q, n, i, -s) for n, (s, i) in enumerate(near, 1) if q % 20 == 0]
     assert sorted(map(tuple, got)) == sorted(want) and len(want) == 20
 
@@ -344,10 +344,11 @@ def test_search_among_vectors_of_each_length(spark):
     assert sorted(map(tuple, got)) == sorted(want) and len(want) == 13
 
 
-def test_search_recall(spark):
-    found = REGISTRY["op1_multi_index"].run(spark, "/root/testdata/sf0.01").collect()
+@pytest.mark.parametrize("size", ["sf0.01", "sf0.1"])
+def test_search_recall(spark, size):
+    found = REGISTRY["op1_multi_index"].run(spark, f"/root/testdata/{size}").collect()
     e = np.array([r[0] for r in duckdb.connect().execute(
-        "select embedding from '/root/testdata/sf0.01/embeddings.parquet' order by vec_id").fetchall()])
+        f"select embedding from '/root/testdata/{size}/embeddings.parquet' order by vec_id").fetchall()])
     hits = 0
     for q in range(0, len(e), 20):
         score = e @ e[q]
