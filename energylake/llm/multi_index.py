@@ -119,11 +119,11 @@ def fit(vectors: DataFrame, cells: int, sample_rows: int) -> Codebook:
 
 
 def cells_for(rows: int) -> int:
-    """Centroids of each half: a power of two near a quarter of the root of the rows, 64 to 1,024.
+    """Centroids of each half: a power of two near an eighth of the root of the rows, 32 to 1,024.
 
-    The walk then takes about as many cells as a sixteenth of the rows it leads to.
+    A cell then holds some 64 rows, whose products cost about as much as the step of the walk to it.
     """
-    return int(min(1_024, max(64, 2 ** round(np.log2(max(rows, 1) ** 0.5 / 4)))))
+    return int(min(1_024, max(32, 2 ** round(np.log2(max(rows, 1) ** 0.5 / 8)))))
 
 
 def needed_visit(index: DataFrame, asked: DataFrame, book: Codebook, size: np.ndarray, k: int,
@@ -170,7 +170,7 @@ def needed_visit(index: DataFrame, asked: DataFrame, book: Codebook, size: np.nd
 
 
 def search(vectors: DataFrame, queries: Column, k: int = 20, cells: int | None = None,
-           sample_rows: int = 20_000, visit: float | None = None, recall: float = 0.95, trials: int = 64,
+           sample_rows: int = 20_000, visit: float | None = None, recall: float = 0.94, trials: int = 128,
            id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """The ``k`` rows found nearest to each query row: query_id, rank, vec_id, score.
 
