@@ -16,6 +16,11 @@ from energylake.functions.columns import col
 from energylake.operators.cleaning import has_value
 from energylake.operators.quantiles import medians, quantiles
 
+SALTS, DISTINCT_BITS = 200, 12
+# The sketch is off by at most 3.5 / places of the rows and has tracked / 0.75 places or more; it
+# leaves out values that it can't tell from rarer ones, which occur at most twice that often.
+LEFT_OUT = 2 * 3.5 * 0.75
+
 
 def class_distribution(df: DataFrame, c: str, skip_null: bool = False,
                        out: str = "count") -> DataFrame:
@@ -81,6 +86,51 @@ def profile_categories(df: DataFrame, cols: Sequence[str], k: int = 3) -> DataFr
     return top.join(F.broadcast(sizes), "feature")
 
 
+def profile_frequent(df: DataFrame, cols: Sequence[str], k: int = 3, tracked: int = 1_000) -> DataFrame:
+    """As ``profile_categories``, without a shuffle of every value a column takes; two passes.
+
+    The first keeps, per input split and column, a sketch of at least ``tracked`` frequent values and one
+    of distinct values; they merge in two levels.  The second counts the frequent ones
+    exactly.  A value left out occurs in at most ``LEFT_OUT / tracked`` of the rows, and in no more
+    than the counted values leave, so the ``k`` best are proven where the last occurs more often.
+    Columns where that fails are profiled in full.
+
+    ``distinct_values`` is exact up to 4,096 values and in columns profiled in full, and else off by
+    less than 3.2 % 95 times in 100.
+    """
+    cols = list(dict.fromkeys(cols))
+    names = [str(i) for i in range(len(cols))]
+    long = (df.select([col(c).cast("string").alias(n) for c, n in zip(cols, names)])
+            .withColumn("salt", F.spark_partition_id() % SALTS)
+            .unpivot(["salt"], names, "feature", "value").filter("value is not null"))
+    kept, entries = F.lit(tracked), F.lit(DISTINCT_BITS)
+    parts = long.groupBy("feature", "salt").agg(
+        F.count(F.lit(1)).alias("rows"), F.theta_sketch_agg("value", entries).alias("distinct"),
+        F.call_function("approx_top_k_accumulate", F.col("value"), kept).alias("frequent"))
+    found = parts.groupBy("feature").agg(
+        F.sum("rows").alias("rows"), F.theta_sketch_estimate(F.theta_union_agg("distinct", entries)).alias("distinct"),
+        F.call_function("approx_top_k_estimate", F.call_function(
+            "approx_top_k_combine", F.col("frequent"), kept), kept)["item"].alias("items"))
+    look = {r["feature"]: r for r in found.collect()}  # at most ``tracked`` values of each column
+    counts = {n: [] for n in look}
+    candidates = [(n, v) for n, r in look.items() for v in r["items"]]
+    if candidates:
+        these = F.broadcast(df.sparkSession.createDataFrame(candidates, "feature string, value string"))
+        for r in long.join(these, ["feature", "value"]).groupBy("feature", "value").count().collect():
+            counts[r["feature"]].append((-r["count"], r["value"]))
+    rows, unproven = [], []
+    for n, r in look.items():
+        best = sorted(counts[n])[:k]
+        left = r["rows"] + sum(c for c, _ in counts[n])
+        if left and (len(best) < k or -best[-1][0] <= min(left, LEFT_OUT / tracked * r["rows"])):
+            unproven.append(cols[int(n)])
+        rows += [(cols[int(n)], v, -c, i, r["distinct"]) for i, (c, v) in enumerate(best, 1)
+                 if cols[int(n)] not in unproven]
+    proven = df.sparkSession.createDataFrame(
+        rows, "feature string, value string, count long, rank int, distinct_values long")
+    return proven.unionByName(profile_categories(df, unproven, k)) if unproven else proven
+
+
 def target_summary(df: DataFrame, c: str, rel_err: float = 0) -> DataFrame:
     """Count, median, minimum and maximum; an error bound spares the search passes."""
     middle = next(iter(quantiles(df, [c], [0.5], rel_err)[c]), None) if rel_err else medians(df, [c])[c]

@@ -90,6 +90,18 @@ def profile_categories(spark, sf):
     return m.profile_categories(table(spark, sf, "part"), ["p_brand", "p_type"])
 
 
+FREQUENT = ["l_returnflag", "l_linenumber", "l_suppkey"]
+
+
+@query(" union all ".join(
+    f"""select '{c}' as feature, value, n as "count", rank, distinct_values from (
+          select value, n, row_number() over (order by n desc, value) as rank, count(*) over () as distinct_values
+          from (select {c}::varchar as value, count(*) as n from lineitem where {c} is not null group by 1))
+        where rank <= 3""" for c in FREQUENT))
+def profile_frequent(spark, sf):
+    return m.profile_frequent(table(spark, sf, "lineitem"), FREQUENT)
+
+
 @query("""select unnest([0.25, 0.5, 0.75])::double as prob,
                  unnest((select quantile_disc(l_extendedprice, [0.25, 0.5, 0.75]) from lineitem))
                    as value""")

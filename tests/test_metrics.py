@@ -51,6 +51,28 @@ def test_profile_ranks_below_the_shuffle(homes):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+def test_frequent_values_as_in_the_full_profile(spark, homes):
+    for df, cols in ((homes, ["c", "area"]), (homes.limit(0), ["c"]),
+                     (spark.range(60_000).selectExpr("id % 5 as a", "id as b", "null as n"), ["a", "b", "n"])):
+        full, found = (sorted(map(tuple, f(df, cols).select(
+            "feature", "value", "count", "rank", "distinct_values").collect()))
+            for f in (m.profile_categories, m.profile_frequent))
+        assert found == full
+
+
+def test_frequent_values_among_many_rare_ones(spark, monkeypatch):
+    def full(*_):
+        raise AssertionError("not needed")
+
+    monkeypatch.setattr(m, "profile_categories", full)
+    df = spark.range(200_000).selectExpr(
+        "case when id % 10 < 4 then 'x' when id % 10 = 4 then 'y' when id % 20 = 5 then 'z' else cast(id as string) end as v")
+    found = sorted(map(tuple, m.profile_frequent(df, ["v"]).select("rank", "value", "count").collect()))
+    assert found == [(1, "x", 80_000), (2, "y", 20_000), (3, "z", 10_000)]
+    distinct = m.profile_frequent(df, ["v"]).first()["distinct_values"]
+    assert abs(distinct / 90_003 - 1) < 0.05
+
+
 def test_report(homes):
     assert rows(m.cleaning_report(homes, ["c", "v"], "c")) == [
         ("A", 1, 5, 2, 3), ("B", 2, 5, 2, 3)]
