@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from energylake.functions.columns import col, encoded
 
-PACKED = "fold int, n double, mean array<double>, scatter array<double>"
+PACKED = "fold int, n double, mean array<double>, matrix array<double>"
 SALTS = 1_024
 
 
@@ -31,6 +32,13 @@ class Moments:
     mean: np.ndarray
     scatter: np.ndarray
 
+    @classmethod
+    def of(cls, rows: np.ndarray) -> Moments:
+        """Of a table with one row per feature (and the target last) and one column per record."""
+        mean = rows.mean(axis=1)
+        rows = rows - mean[:, None]
+        return cls(float(rows.shape[1]), mean, rows @ rows.T)
+
     def __add__(self, other: Moments) -> Moments:
         n = self.n + other.n
         gap = other.mean - self.mean
@@ -67,8 +75,65 @@ class Moments:
         return float(sse <= self.n * (1e-12 * self.mean[-1]) ** 2)
 
 
+@dataclass(frozen=True)
+class Factors:
+    """As ``Moments``, with a triangle ``root`` whose square the centred products are.
+
+    Products square the condition of the columns and lose half the digits where some are nearly
+    collinear; a triangle does not.  Triangles merge by a factorisation of one above the other.
+    """
+
+    n: float
+    mean: np.ndarray
+    root: np.ndarray
+
+    @classmethod
+    def of(cls, rows: np.ndarray) -> Factors:
+        """Of a table with one row per feature (and the target last) and one column per record."""
+        mean = rows.mean(axis=1)
+        return cls(float(rows.shape[1]), mean, triangle((rows - mean[:, None]).T))
+
+    def __add__(self, other: Factors) -> Factors:
+        n = self.n + other.n
+        gap = other.mean - self.mean
+        shift = gap * np.sqrt(self.n * other.n / n)
+        return Factors(n, self.mean + gap * (other.n / n), triangle(np.vstack([self.root, other.root, shift])))
+
+    def deviations(self) -> np.ndarray:
+        """Population deviations; 1 for a constant column."""
+        std = np.sqrt((self.root * self.root).sum(axis=0) / self.n)
+        return np.where(std > 1e-12 * np.abs(self.mean), std, 1.0)
+
+    def scaled(self, mean: np.ndarray, std: np.ndarray) -> Factors:
+        """Factors of the same rows with features (x - mean) / std; the target is kept."""
+        mean, std = np.append(mean, 0.0), np.append(std, 1.0)
+        return Factors(self.n, (self.mean - mean) / std, self.root / std)
+
+    def ridge(self, alpha: float) -> tuple[np.ndarray, float]:
+        """Coefficients and unpenalised intercept; the smallest ones where several fit alike."""
+        p = len(self.mean) - 1
+        rows = np.vstack([self.root[:, :-1], np.sqrt(alpha) * np.eye(p)])
+        coef = np.linalg.lstsq(rows, np.append(self.root[:, -1], np.zeros(p)), rcond=None)[0]
+        return coef, float(self.mean[-1] - coef @ self.mean[:-1])
+
+    def r2(self, coef: np.ndarray, intercept: float) -> float:
+        """R2 of a fit on these rows; with a constant target 1 without error, else 0."""
+        v = np.append(-coef, 1.0)
+        bias = self.mean @ v - intercept
+        sse = np.square(self.root @ v).sum() + self.n * bias * bias
+        sst, nought = np.square(self.root[:, -1]).sum(), self.n * (1e-12 * self.mean[-1]) ** 2
+        return float(1 - sse / sst) if sst > nought else float(sse <= nought)
+
+
+def triangle(rows: np.ndarray) -> np.ndarray:
+    """The square upper triangle with the same products of columns as ``rows``."""
+    root, width = np.linalg.qr(rows, mode="r"), rows.shape[1]
+    return np.vstack([root, np.zeros((width - len(root), width))])
+
+
 def fold_moments(df: DataFrame, features: Sequence[str], y: str, fold: str | None = None,
-                 vocab: Mapping[str, Sequence[str]] | None = None) -> dict[int, Moments]:
+                 vocab: Mapping[str, Sequence[str]] | None = None,
+                 kind: type = Moments) -> dict[int, Moments | Factors]:
     """Moments per fold number (fold 0 alone without a fold column), in one job.
 
     ``vocab`` adds the dummies of category columns after the numeric features, the
@@ -77,7 +142,8 @@ def fold_moments(df: DataFrame, features: Sequence[str], y: str, fold: str | Non
 
     Each task keeps one centred matrix per fold, so nothing cancels however far the data
     lie from zero.  The matrices travel as packed rows and are merged in two levels, by a
-    salt and by fold; the driver gets one row per fold.
+    salt and by fold; the driver gets one row per fold.  With ``kind=Factors`` they are
+    triangles, for columns that are nearly collinear, at some twice the time of the products.
     """
     names, vocab = [*features, y], vocab or {}
     widths = [max(0, len(values) - 1) for values in vocab.values()]
@@ -86,10 +152,11 @@ def fold_moments(df: DataFrame, features: Sequence[str], y: str, fold: str | Non
         *[col(c).cast("double").alias(f"x{i}") for i, c in enumerate(names)],
         *[encoded(col(c).cast("string"), {v: k for k, v in enumerate(values)}, 0).alias(f"c{i}")
           for i, (c, values) in enumerate(vocab.items())])
-    parts = rows.mapInArrow(_batch_moments(len(names), widths), PACKED)
+    parts = rows.mapInArrow(_batch_moments(len(names), widths, kind), PACKED)
     salted = parts.repartition("fold", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
-    merged = (salted.mapInArrow(_merge, PACKED).repartition("fold").mapInArrow(_merge, PACKED))
-    found = {r["fold"]: _unpacked(r["n"], r["mean"], r["scatter"]) for r in merged.collect()}
+    merge = _merge(kind)
+    merged = salted.mapInArrow(merge, PACKED).repartition("fold").mapInArrow(merge, PACKED)
+    found = {r["fold"]: _unpacked(kind, r["n"], r["mean"], r["matrix"]) for r in merged.collect()}
     if not found:
         raise ValueError("no rows to fit on")
     if any(np.isnan(m.mean).any() for m in found.values()):
@@ -97,31 +164,36 @@ def fold_moments(df: DataFrame, features: Sequence[str], y: str, fold: str | Non
     return dict(sorted(found.items()))
 
 
-def _unpacked(n: float, mean, scatter) -> Moments:
+def _unpacked(kind: type, n: float, mean, matrix) -> Moments | Factors:
     mean = np.array(mean, dtype=float)
-    return Moments(n, mean, np.array(scatter, dtype=float).reshape(len(mean), len(mean)))
+    return kind(n, mean, np.array(matrix, dtype=float).reshape(len(mean), len(mean)))
 
 
-def _packed(sums: Mapping[int, Moments]) -> Iterator[pa.RecordBatch]:
+def _packed(sums: Mapping[int, Moments | Factors]) -> Iterator[pa.RecordBatch]:
     for k, m in sums.items():
-        lists = [pa.array([x.ravel()], pa.list_(pa.float64())) for x in (m.mean, m.scatter)]
+        matrix = m.root if isinstance(m, Factors) else m.scatter
+        lists = [pa.array([x.ravel()], pa.list_(pa.float64())) for x in (m.mean, matrix)]
         yield pa.RecordBatch.from_arrays(
             [pa.array([k], pa.int32()), pa.array([m.n], pa.float64()), *lists],
-            names=["fold", "n", "mean", "scatter"])
+            names=["fold", "n", "mean", "matrix"])
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _merge(kind: type):
     """Task function: one matrix per fold from many, a few rows in memory at a time."""
-    sums = {}
-    for batch in batches:
-        for i in range(batch.num_rows):
-            k, n = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-            part = _unpacked(n, *(batch.column(c)[i].values.to_numpy() for c in (2, 3)))
-            sums[k] = sums[k] + part if k in sums else part
-    yield from _packed(sums)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {}
+        for batch in batches:
+            for i in range(batch.num_rows):
+                k, n = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                part = _unpacked(kind, n, *(batch.column(c)[i].values.to_numpy() for c in (2, 3)))
+                sums[k] = sums[k] + part if k in sums else part
+        yield from _packed(sums)
+
+    return run
 
 
-def _batch_moments(numbers: int, widths: list[int]):
+def _batch_moments(numbers: int, widths: list[int], kind: type):
     """Task function: moments per fold of (numbers..., dummies..., target)."""
 
     def table(columns: list[np.ndarray]) -> np.ndarray:
@@ -141,30 +213,27 @@ def _batch_moments(numbers: int, widths: list[int]):
             folds, *columns = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             z = table(columns)
             for k in map(int, np.unique(folds)):
-                part = z[:, folds == k]
-                mean = part.mean(axis=1)
-                part = part - mean[:, None]
-                found = Moments(float(part.shape[1]), mean, part @ part.T)
+                found = kind.of(z[:, folds == k])
                 sums[k] = sums[k] + found if k in sums else found
         yield from _packed(sums)
 
     return run
 
 
-def fit_ridge(df: DataFrame, features: Sequence[str], y: str, alpha: float) -> DataFrame:
+def fit_ridge(df: DataFrame, features: Sequence[str], y: str, alpha: float, kind: type = Moments) -> DataFrame:
     """Coefficient rows (feature, coef) with the intercept under ``(intercept)``."""
-    coef, intercept = fold_moments(df, features, y)[0].ridge(alpha)
+    coef, intercept = fold_moments(df, features, y, kind=kind)[0].ridge(alpha)
     rows = [*zip(features, map(float, coef)), ("(intercept)", intercept)]
     return df.sparkSession.createDataFrame(rows, "feature string, coef double")
 
 
-def cross_validate(moments: dict[int, Moments], alphas: Sequence[float]) -> list[tuple]:
+def cross_validate(moments: dict[int, Moments | Factors], alphas: Sequence[float]) -> list[tuple]:
     """(alpha, mean R2, deviation of R2) over the held-out folds."""
     results = []
     for alpha in alphas:
         scores = []
         for k, held_out in moments.items():
-            rest = reduce(Moments.__add__, [m for i, m in moments.items() if i != k])
+            rest = reduce(add, [m for i, m in moments.items() if i != k])
             scores.append(held_out.r2(*rest.ridge(alpha)))
         results.append((float(alpha), float(np.mean(scores)), float(np.std(scores))))
     return results
@@ -176,9 +245,9 @@ def best_alpha(results: Sequence[tuple]) -> float:
 
 
 def select_alpha(df: DataFrame, features: Sequence[str], y: str, alphas: Sequence[float],
-                 fold: str) -> DataFrame:
+                 fold: str, kind: type = Moments) -> DataFrame:
     """Cross-validated score per penalty; ``chosen`` marks the one to use."""
-    results = cross_validate(fold_moments(df, features, y, fold), alphas)
+    results = cross_validate(fold_moments(df, features, y, fold, kind=kind), alphas)
     chosen = best_alpha(results)
     return df.sparkSession.createDataFrame(
         [(a, m, s, a == chosen) for a, m, s in results],

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from energylake.operators.gains import class_gains
 from energylake.operators.metrics import class_distribution, regression_metrics
 from energylake.operators.quantiles import (
     from_sketches, kept_sketches, numeric_columns, place_among_values)
-from energylake.operators.ridge import Moments, best_alpha, cross_validate, fold_moments
+from energylake.operators.ridge import Factors, Moments, best_alpha, cross_validate, fold_moments
 from energylake.operators.rows import (
     Bucket, fold_by_key, fold_exactly, hash_bucket, split_by_key, split_exactly)
 from energylake.operators.scoring import (
@@ -199,6 +200,7 @@ class TrainingSpec:
     exact: bool = False
     scale_on: str = "all"
     max_values: int | None = None
+    collinear: bool = False
 
 
 TARGET = "target_conso_m2"
@@ -233,21 +235,21 @@ def train(df: DataFrame, spec: TrainingSpec = TrainingSpec()) -> tuple[RidgeMode
     """Model, its one metrics row with diagnosis, and the score per penalty.
 
     ``scale_on="all"`` takes means and deviations from all rows, ``"train"`` from the
-    training rows only.
+    training rows only.  ``collinear`` is for columns that nearly follow from others.
     """
     spark, rows = df.sparkSession, training_rows(df, spec)
     categories, numbers = cl.present(df, spec.categories), cl.present(df, spec.numbers)
     vocab = vocabulary(rows, categories, spec.max_values)
     columns = dummies(vocab, numbers)
     features = [*numbers, *columns]
-    moments = fold_moments(rows, numbers, TARGET, "fold", vocab=vocab)
+    moments = fold_moments(rows, numbers, TARGET, "fold", vocab, Factors if spec.collinear else Moments)
     training = {k: m for k, m in moments.items() if k != HELD_OUT}
-    basis = reduce(Moments.__add__, (moments if spec.scale_on == "all" else training).values())
+    basis = reduce(add, (moments if spec.scale_on == "all" else training).values())
     mean, std = basis.mean[:-1], basis.deviations()[:-1]
     scaled = {k: m.scaled(mean, std) for k, m in training.items()}
     scores = cross_validate(scaled, spec.alphas)
     alpha = best_alpha(scores)
-    coef, intercept = reduce(Moments.__add__, scaled.values()).ridge(alpha)
+    coef, intercept = reduce(add, scaled.values()).ridge(alpha)
     model = RidgeModel(tuple(
         Term(f, *columns.get(f, (f, None)), float(m), float(s), float(c))
         for f, m, s, c in zip(features, mean, std, coef)), intercept)

@@ -55,6 +55,29 @@ def ridge_fit(spark, sf):
             .withColumn("coef", F.round("coef", 6)))
 
 
+@query("""with z as (select l_extendedprice * (1 - l_discount) / 1000 as y, l_quantity as a, l_discount * 100 as b
+                     from lineitem),
+          s as (select avg(y) as my, avg(a) as ma, avg(b) as mb, var_pop(a) as aa, var_pop(b) as bb,
+                       covar_pop(a, b) as ab, covar_pop(a, y) as ay, covar_pop(b, y) as bey from z),
+          w as (select (ay * bb - bey * ab) / (aa * bb - ab * ab) as wa,
+                       (bey * aa - ay * ab) / (aa * bb - ab * ab) as wb, my, ma, mb from s)
+          select 'l_quantity' as feature, round(wa, 6) as coef from w
+          union all select 'l_discount', round(wb, 6) from w
+          union all select '(intercept)', round(my - wa * ma - wb * mb, 6) from w""")
+def ridge_collinear(spark, sf):
+    """A fit on the quantity and on the same with a millionth of the discount added, by each alone."""
+    tilt = 1e-6
+    rows = table(spark, sf, "lineitem").select(
+        "l_quantity", (F.col("l_quantity") + tilt * 100 * F.col("l_discount")).alias("tilted"),
+        (F.col("l_extendedprice") * (1 - F.col("l_discount")) / 1000).alias("y"))
+    found = {r["feature"]: r["coef"] for r in ridge.fit_ridge(
+        rows, ["l_quantity", "tilted"], "y", 0.0, ridge.Factors).collect()}
+    both = found["l_quantity"] + found["tilted"]
+    return spark.createDataFrame(
+        [("l_quantity", both), ("l_discount", found["tilted"] * tilt), ("(intercept)", found["(intercept)"])],
+        "feature string, coef double").withColumn("coef", F.round("coef", 6))
+
+
 CV_SQL = """
 sums as (
     select fold, count(*)::double as n, avg(x) as mx, avg(y) as my, var_pop(x) * count(*) as xx,

@@ -73,6 +73,37 @@ def test_moments_far_from_zero_and_in_any_order(spark):
             np.testing.assert_allclose(found.scatter, centred.T @ centred, rtol=1e-7, atol=1e-3)
 
 
+def test_factors_agree_with_products(spark):
+    x, y, folds = arrays()
+    df = frame(spark, x, y, folds, 7)
+    products, factors = (ridge.fold_moments(df, ["a", "b", "c"], "y", "fold", kind=k)
+                         for k in (ridge.Moments, ridge.Factors))
+    for k, m in products.items():
+        f = factors[k]
+        np.testing.assert_allclose(f.root.T @ f.root, m.scatter, rtol=1e-9, atol=1e-9 * np.abs(m.scatter).max())
+        np.testing.assert_allclose(f.deviations(), m.deviations(), rtol=1e-9)
+        np.testing.assert_allclose(f.ridge(2.0)[0], m.ridge(2.0)[0], rtol=1e-8)
+        assert f.r2(*f.ridge(2.0)) == pytest.approx(m.r2(*m.ridge(2.0)), abs=1e-9)
+    np.testing.assert_allclose(ridge.cross_validate(factors, [0.1, 10]), ridge.cross_validate(products, [0.1, 10]))
+
+
+def test_factors_keep_the_digits_of_nearly_collinear_columns(spark):
+    random = np.random.default_rng(8)
+    a, b = random.normal(size=(2, 3000))
+    x, y = np.column_stack([a, a + 1e-6 * b, random.normal(size=3000)]), 2 * a + 3 * b + random.normal(size=3000)
+    df = frame(spark, x, y, np.zeros(3000, int), 6)
+    want = np.linalg.lstsq(np.column_stack([x - x.mean(axis=0)]), y - y.mean(), rcond=None)[0]
+    off = {k: np.abs(ridge.fold_moments(df, ["a", "b", "c"], "y", kind=k)[0].ridge(0)[0] / want - 1).max()
+           for k in (ridge.Factors, ridge.Moments)}
+    assert off[ridge.Factors] < 1e-8 < off[ridge.Moments]
+
+
+def test_factors_of_few_rows_and_a_constant_target(spark):
+    few = ridge.Factors.of(np.array([[1.0], [5.0]])) + ridge.Factors.of(np.array([[3.0, 2.0], [5.0, 5.0]]))
+    assert few.n == 3 and few.mean.tolist() == [2.0, 5.0] and few.root.shape == (2, 2)
+    assert few.r2(np.array([0.0]), 5.0) == 1.0 and few.r2(np.array([1.0]), 4.0) == 0.0
+
+
 def test_the_driver_gets_one_row_per_fold(spark):
     x, y, folds = arrays()
     df = frame(spark, x, y, folds, 16)
