@@ -12,17 +12,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from energylake.llm.automata import Pattern, compile_dfa
+from energylake.llm.automata import Parser, Pattern, compile_dfa
 from energylake.llm.common import map_texts, pick
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A kind of secret: its pattern, and a check that a match must also pass."""
+    """A kind of secret: its pattern, and a check that a match must also pass.
+
+    ``head`` is what the joint automaton looks for instead of the whole pattern: the shortest
+    matches, where a match goes on with a run that may have any length.
+    """
 
     kind: str
     pattern: str
     check: str = ""
+    head: str = ""
 
 
 def either_case(word: str) -> str:
@@ -35,13 +40,20 @@ NAMES = "|".join(either_case(w) for w in ("password", "passwd", "secret", "token
 BASE_RULES = (
     Rule("assign", f"({NAMES})[\"']?\\x20*[:=]\\x20*[\"']?[A-Za-z0-9+/_.=-]+",
          r"[^\"'\x20:=]+[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{8,}"),
-    Rule("access", "AKIA[A-Z0-9]{12,}"),
+    Rule("access", "AKIA[A-Z0-9]+", "AKIA[A-Z0-9]{12,}", "AKIA[A-Z0-9]"),
     Rule("hex", "[0-9a-f]{32,}"),
 )
-# Each further rule with a free tail multiplies the states of the joint automaton by those of
-# the others' counters, so there are few.
+# Runs of free length are left to the automaton of their own rule, by ``head`` and ``check``: in the joint
+# one, the counters of the runs would multiply.
 MORE_RULES = (
     Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("github", "gh[pousr]_[A-Za-z0-9]+", "gh[pousr]_[A-Za-z0-9]{36,}", "gh[pousr]_[A-Za-z0-9]"),
+    Rule("gitlab", "glpat-[A-Za-z0-9_-]+", "glpat-[A-Za-z0-9_-]{20,}", "glpat-[A-Za-z0-9_-]"),
+    Rule("slack", "xox[abprs]-[A-Za-z0-9-]+", "xox[abprs]-[A-Za-z0-9-]{10,}", "xox[abprs]-[A-Za-z0-9-]"),
+    Rule("google", "AIza[A-Za-z0-9_-]+", "AIza[A-Za-z0-9_-]{35,}", "AIza[A-Za-z0-9_-]"),
+    Rule("stripe", "[rs]k_live_[A-Za-z0-9]+", "[rs]k_live_[A-Za-z0-9]{24,}", "[rs]k_live_[A-Za-z0-9]"),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", "",
+         r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]"),
 )
 RULES = BASE_RULES + MORE_RULES
 
@@ -52,15 +64,14 @@ SPAN_ARROW = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa
 
 @lru_cache(maxsize=2)
 def compiled(rules: tuple[Rule, ...]):
-    patterns = [Pattern(r.pattern) for r in rules]
-    return compile_dfa([p.tree for p in patterns], anywhere=True), patterns, [
+    heads = [Parser(r.head or r.pattern).parse() for r in rules]
+    return compile_dfa(heads, anywhere=True), [Pattern(r.pattern) for r in rules], [
         re.compile(r.check.encode()) if r.check else None for r in rules]
 
 
-def scanner(rules: Sequence[Rule]):
+def scanner(rules: tuple[Rule, ...], tables):
     """Function from texts to the span lists of each, by start and then by order of rules."""
-    rules = tuple(rules)
-    dfa, patterns, checks = compiled(rules)
+    dfa, patterns, checks = tables
 
     def in_text(data: bytes, ends: np.ndarray, bits: np.ndarray) -> list[dict]:
         found = []
@@ -85,8 +96,6 @@ def scanner(rules: Sequence[Rule]):
                  for r, at, a, b in zip(raw, first, cut, cut[1:])]
         return [pa.array(spans, pa.list_(SPAN_ARROW))]
 
-    if not dfa.resets[10]:
-        raise ValueError("no rule may match across lines")
     return scan
 
 
@@ -97,6 +106,11 @@ def find_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES, id_col: str = "
     Whole texts are scanned.  Offsets are code points, the end exclusive; spans of one kind
     do not overlap, those of different kinds may, and they come by start, then by order of
     rules.  Null and empty texts have none.  Repeated rows are scanned each for itself.
+    The automata are compiled once and sent to the tasks.
     """
+    rules = tuple(rules)
+    tables = compiled(rules)
+    if not tables[0].resets[10]:
+        raise ValueError("no rule may match across lines")
     return map_texts(pick(docs, doc_id=id_col, text=text_col), "text",
-                     [T.StructField("spans", T.ArrayType(SPAN))], lambda: scanner(rules))
+                     [T.StructField("spans", T.ArrayType(SPAN))], lambda: scanner(rules, tables))

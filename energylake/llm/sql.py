@@ -91,6 +91,12 @@ SECRETS = report([
     spans("access", 2, "AKIA[A-Z0-9]+", "len(m) >= 16"),
     spans("hex", 3, "[0-9a-f]{32,}"),
     spans("pem", 4, "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    spans("github", 5, "gh[pousr]_[A-Za-z0-9]+", "len(m) >= 40"),
+    spans("gitlab", 6, "glpat-[A-Za-z0-9_-]+", "len(m) >= 26"),
+    spans("slack", 7, "xox[abprs]-[A-Za-z0-9-]+", "len(m) >= 15"),
+    spans("google", 8, "AIza[A-Za-z0-9_-]+", "len(m) >= 39"),
+    spans("stripe", 9, "[rs]k_live_[A-Za-z0-9]+", "len(m) >= 32"),
+    spans("jwt", 10, r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
 ], ["assign", "access", "hex"], "s, k")
 
 DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
