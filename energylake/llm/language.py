@@ -109,25 +109,46 @@ class Model:
         return predict
 
 
+def first_keys(keyed: DataFrame, most: int) -> DataFrame:
+    """The distinct (key, lang) among the ``most`` rows with the smallest hash of the key, per language.
+
+    Rows of a language are counted first, and only hashes below some four times the share wanted
+    are ranked, so a common language costs its task no more than others.  Where keys that
+    repeat leave too few, the share is raised.
+    """
+    rows = dict(map(tuple, keyed.groupBy("lang").count().collect()))  # one row per language
+    h, share = F.xxhash64(F.col("key").cast("string")), 4 * most
+    order = Window.partitionBy("lang").orderBy(h, "key")
+    while rows:
+        least = {lang: min(int(-2 ** 63 + 2 ** 64 * min(share / n, 1)), 2 ** 63 - 1) for lang, n in rows.items()}
+        cut = F.create_map(*[F.lit(x) for pair in least.items() for x in pair])
+        ranked = staged(keyed.filter(h <= F.element_at(cut, F.col("lang")))
+                        .withColumn("n", F.row_number().over(order)).filter(F.col("n") <= most), "chosen")
+        got = dict(map(tuple, ranked.groupBy("lang").count().collect()))
+        if all(got.get(lang, 0) >= min(most, n) for lang, n in rows.items()):
+            return ranked.select("key", "lang").distinct()
+        share *= 16
+    return keyed.limit(0)
+
+
 def train(docs: DataFrame, per_language: int = 2_000, width: int = 20_000, alpha: float = 0.5,
           id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Learn the languages found in ``lang_col`` from ``per_language`` texts of each at most.
 
     Only keys whose crc32 modulo 3 is not 1 take part; those with the smallest hash are
-    taken.  The ``width`` most frequent trigrams are features.  For each bit a naive Bayes
+    taken, and of rows that repeat a key the text with the smallest hash.  The ``width`` most frequent trigrams are features.  For each bit a naive Bayes
     classifier separates the languages with +1 from those with -1; the bit's trust is its
     accuracy above chance on the sample.  Without labelled text no language is known.
     """
     keyed = pick(docs, key=id_col, lang=lang_col).filter(
         F.col("lang").isNotNull() & (key_remainder(F.col("key")) != 1))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("key").cast("string")), "key")
-    # the window's limit is pushed below its shuffle, so a common language costs no more
-    chosen = staged(keyed.withColumn("n", F.row_number().over(order)).filter(
-        F.col("n") <= per_language).select("key", "lang").distinct(), "chosen")
+    chosen = first_keys(keyed, per_language)
     if chosen.count() <= BROADCAST_ROWS:
         chosen = F.broadcast(chosen)
     texts = pick(docs, key=id_col, text=text_col, lang=lang_col).filter(F.col("text").isNotNull())
-    sample = staged(texts.join(chosen, ["key", "lang"]).select("text", "lang"), "languages")
+    one = F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("one")
+    sample = staged(texts.join(chosen, ["key", "lang"]).groupBy("key", "lang").agg(one)
+                    .select("one.text", "lang"), "languages")
 
     def count(batches):
         for batch in (part for whole in batches for part in slices(whole, 0)):

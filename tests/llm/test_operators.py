@@ -328,6 +328,30 @@ def test_classifiers_without_labels_and_on_empty_tables(spark):
     assert toxicity.score(docs.limit(0), toxicity.train(docs, none)).count() == 0
 
 
+@pytest.mark.parametrize("repeats", [1, 3000])
+def test_first_keys_of_each_language(spark, repeats):
+    """Also where one key holds most rows of a language; the smallest hashes, as by a sort."""
+    rows = [(i, "ab"[i % 2]) for i in range(400)] + [(7, "b")] * repeats + [(9, "c")]
+    keyed = spark.createDataFrame(rows, "key long, lang string")
+    got = {(r["key"], r["lang"]) for r in language.first_keys(keyed, 10).collect()}
+    signed = {k: int(np.uint64(xxhash.xxh64_intdigest(str(k), seed=42)).astype(np.int64)) for k, _ in rows}
+    want = set()
+    for lang in "abc":
+        want |= set(sorted((r for r in rows if r[1] == lang), key=lambda r: signed[r[0]])[:10])
+    assert got == want
+    assert language.first_keys(keyed.limit(0), 10).count() == 0
+
+
+def test_languages_learn_one_text_of_a_repeated_key(spark):
+    docs = spark.createDataFrame([(2, "the cat", "en")] * 500 + [(2, "the dog", "en"), (3, "le chat", "fr")],
+                                 "doc_id long, text string, lang string")
+    once = docs.groupBy("doc_id", "lang").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    texts = [(t,) for t in ("the cat", "le chat", "chat dog the", None, "12", "x")]
+    asked = spark.createDataFrame([(i, *t) for i, t in enumerate(texts)], "doc_id long, text string")
+    many, few = (sorted(map(tuple, language.predict(asked, language.train(d)).collect())) for d in (docs, once))
+    assert many == few
+
+
 def test_search_on_odd_vectors(spark):
     rows = [(i, [float(i % 7), 1.0, float(-i), 2.0]) for i in range(60)]
     rows += [(60, None), (61, [0.0] * 4), (62, [float("nan")] * 4), (63, [None, 1.0, 1.0, 1.0]),
