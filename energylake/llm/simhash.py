@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from energylake.llm.common import map_texts, pick, positional, staged
-from energylake.llm.components import components
+from energylake.llm.components import Forest, components
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
 BUCKET = 4_096
@@ -72,28 +72,6 @@ def blocks_for(n: int, distance: int) -> int:
     return min(range(distance + 2, distance + 6), key=cost)
 
 
-class Forest:
-    """Keeps of many links a spanning forest."""
-
-    def __init__(self):
-        self.parent: dict[int, int] = {}
-
-    def root(self, x: int) -> int:
-        parent = self.parent
-        while parent.setdefault(x, x) != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
-    def add(self, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
-        kept = []
-        for a, b in zip(left.tolist(), right.tolist()):
-            ra, rb = self.root(a), self.root(b)
-            if ra != rb:
-                self.parent[max(ra, rb)] = min(ra, rb)
-                kept.append((a, b))
-        return kept
-
-
 def _links(choice: np.ndarray, bits: np.ndarray, fp: np.ndarray, distance: int, forest: Forest):
     """A forest of the pairs within ``distance`` inside the runs of equal keys."""
     kept, i, step = [], np.arange(len(fp)), 1

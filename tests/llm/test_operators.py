@@ -13,6 +13,7 @@ import xxhash
 from energylake.llm import (
     components, decontamination, language, line_dedup, multi_index, pii, quality, secret_scan,
     sentencepiece_bpe, simhash, toxicity)
+from energylake.llm.common import staged
 from energylake.llm.registry import REGISTRY
 import energylake.llm.queries  # noqa: F401
 from pyspark.sql import functions as F
@@ -158,6 +159,29 @@ def test_components_of_a_long_chain(spark):
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
 
 
+def test_components_of_few_tasks_need_few_rounds(spark, monkeypatch):
+    links = [(i, i + 1) for i in range(300)] + [(1000, 2000 + i) for i in range(50)] + [(3000 + i, 5000) for i in range(50)]
+    labels = []
+    monkeypatch.setattr(components, "staged", lambda df, label: labels.append(label) or staged(df, label))
+    got = dict(components.components(spark.createDataFrame(links, "u long, v long").coalesce(1)).collect())
+    assert got == {**{i: 0 for i in range(301)}, **{2000 + i: 1000 for i in range(50)}, 1000: 1000,
+                   **{3000 + i: 3000 for i in range(50)}, 5000: 3000}
+    assert len(labels) == 1
+
+
+def test_components_of_small_forests_in_many_tasks(spark, monkeypatch):
+    contracted = components._contracted
+    monkeypatch.setattr(components, "_contracted", lambda edges: contracted(edges, 4))
+    rng = np.random.default_rng(9)
+    links = [(int(a), int(b)) for a, b in rng.integers(-200, 200, (190, 2))] + [(-500, i) for i in range(0, 200, 9)]
+    forest = components.Forest()
+    forest.add(*np.array(links).T)
+    got = dict(components.components(spark.createDataFrame(links, "u long, v long").repartition(7)).collect())
+    assert got == {x: forest.root(x) for a, b in links if a != b for x in (a, b)}
+    none = spark.createDataFrame([(1, 1), (None, 2)], "u long, v long")
+    assert components.components(none).count() == 0
+
+
 def test_decontamination_in_one_and_in_many_blocks(spark):
     items = spark.createDataFrame([("b", "A b c d e f g h i j k"), ("a", "short, Item"), ("n", None),
                                    ("e", "..."), (None, "lonely")], "item_id string, text string")
