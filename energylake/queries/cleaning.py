@@ -11,7 +11,7 @@ from energylake.operators import cleaning as cl
 from energylake.plans.jobs import CleaningSpec, bronze_to_silver, clean, clean_day, select_rows
 from energylake.queries.registry import query, table
 from energylake.session import scratch_path
-from energylake.sources.layers import read_layer
+from energylake.sources.layers import read_layer, write_bronze
 
 
 @query("select o_orderkey, o_custkey, o_orderstatus, o_orderpriority from orders")
@@ -185,7 +185,7 @@ def silver_from_bronze(spark, sf):
     """The same rules as a job over JSON files, staged and written."""
     rows = _line_rows(spark, sf)
     bronze, staging, silver = (scratch_path(spark, n) for n in ("lines", "staging", "silver"))
-    rows.write.json(bronze)
+    write_bronze(rows, bronze)
     bronze_to_silver(spark, bronze, silver, staging, LINE_RULES, rows.schema)
     return _comparable(read_layer(spark, silver))
 
@@ -200,7 +200,7 @@ def silver_with_new_fields(spark, sf):
     known = rows.drop(*more, "l_shipdate", "l_suppkey").schema
     bronze, staging, silver = (scratch_path(spark, n) for n in ("fields", "staging", "silver"))
     for name, records in (("a", rows), ("b", table(spark, sf, "part").select("p_partkey", "p_name"))):
-        records.write.json(f"{bronze}/dataset={name}")
+        write_bronze(records, f"{bronze}/dataset={name}")
     bronze_to_silver(spark, bronze, silver, staging, LINE_RULES, known, "a", discover=True)
     return _comparable(read_layer(spark, silver)).drop("dataset").withColumn("l_partkey", F.col("l_partkey").cast("long"))
 
@@ -218,8 +218,8 @@ def _clean_days(spark, sf):
     rows = _line_rows(spark, sf).withColumn("date", day)
     bronze, half, staging, silver, sketches = (
         scratch_path(spark, n) for n in ("days", "half", "staging", "silver", "sketches"))
-    rows.write.partitionBy("date").json(bronze)
-    rows.filter("l_orderkey % 2 = 0").write.partitionBy("date").json(half)
+    write_bronze(rows, bronze, ["date"])
+    write_bronze(rows.filter("l_orderkey % 2 = 0"), half, ["date"])
     known = rows.drop("date").schema
     for source, one in ((bronze, DAYS[0]), (half, DAYS[1]), (bronze, DAYS[1])):
         found = clean_day(spark, source, silver, staging, sketches, one, DAY_RULES, known)

@@ -13,6 +13,7 @@ from energylake.functions.columns import col
 
 CORRUPT = "_corrupt_record"
 RECORD, OTHERS = "_record", "_others"
+FILE_ROWS = 100_000
 
 
 def dwelling_schema() -> T.StructType:
@@ -75,6 +76,15 @@ def read_bronze(spark: SparkSession, path: str | Sequence[str],
     return reader.json(path)
 
 
+def write_bronze(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """JSON lines as gzip at its fastest level, so that a fraction of the text's bytes is written.
+
+    A reader can't split such a file, so none holds more than ``FILE_ROWS`` rows.
+    """
+    (df.write.options(compression="gzip", maxRecordsPerFile=FILE_ROWS).option("zlib.compress.level", "BEST_SPEED")
+     .partitionBy(*partition_by).json(path))
+
+
 def read_layer(spark: SparkSession, path: str | Sequence[str],
                columns: Sequence[str] | None = None) -> DataFrame:
     """Parquet table under a prefix; fails when there is none."""

@@ -2,6 +2,7 @@
 
 import io
 import json
+import pathlib
 import sys
 import urllib.error
 import urllib.parse
@@ -11,6 +12,7 @@ from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from energylake.queries import cleaning
 from energylake.session import scratch_path
 from energylake.sources import layers as s
 from energylake.sources.messages import as_messages, publish, publish_stream
@@ -25,6 +27,28 @@ def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
+def test_bronze_is_written_small_and_in_files_of_few_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(s, "FILE_ROWS", 300)
+    df = spark.range(2000).select("id", F.when(F.col("id") % 3 > 0, F.lit("é\n")).alias("t"),
+                                  F.concat(F.lit("2026-03-0"), F.col("id") % 2 + 1).alias("date")).coalesce(1)
+    plain, small = str(tmp_path / "plain"), str(tmp_path / "small")
+    df.write.partitionBy("date").json(plain)
+    s.write_bronze(df, small, ["date"])
+    size = {p: sum(f.stat().st_size for f in pathlib.Path(p).rglob("part-*")) for p in (plain, small)}
+    assert size[small] < size[plain] / 3
+    back = s.read_bronze(spark, small, spark.createDataFrame([], "id long, t string").schema)
+    assert sorted(map(str, rows(back))) == sorted(map(str, rows(s.read_bronze(spark, plain, back.drop("date").schema))))
+    assert back.count() == 2000
+    assert back.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] <= 300
+
+
+@pytest.mark.parametrize("query", ["silver_by_day", "silver_from_bronze", "silver_with_new_fields"])
+def test_lines_are_compressed_in_bronze(spark, tmp_path, monkeypatch, query):
+    monkeypatch.setattr(cleaning, "scratch_path", lambda spark, label: str(tmp_path / label))
+    getattr(cleaning, query)(spark, "/root/testdata/sf0.001")
+    assert list(tmp_path.rglob("part-*.json.gz")) and not list(tmp_path.rglob("part-*.json"))
+
+
 def test_a_layer_without_files_fails(spark, tmp_path):
     with pytest.raises(AnalysisException):
         s.read_layer(spark, str(tmp_path / "nothing"))
