@@ -42,7 +42,7 @@ def test_bronze_is_written_small_and_in_files_of_few_rows(spark, tmp_path, monke
     assert back.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] <= 300
 
 
-@pytest.mark.parametrize("query", ["silver_by_day", "silver_from_bronze", "silver_with_new_fields"])
+@pytest.mark.parametrize("query", ["silver_by_day", "quantiles_by_day", "silver_from_bronze", "silver_with_new_fields"])
 def test_lines_are_compressed_in_bronze(spark, tmp_path, monkeypatch, query):
     monkeypatch.setattr(cleaning, "scratch_path", lambda spark, label: str(tmp_path / label))
     getattr(cleaning, query)(spark, "/root/testdata/sf0.001")
