@@ -296,7 +296,7 @@ def _search(rows: DataFrame, queries: Column, k: int, cells: int, sample_rows: i
     entries = keyed.mapInArrow(
         place, f"id {id_type}, v array<double>, ask long, cell long, shard long").withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    probes = (asked.repartition(max(1, -(-n_asked // WALKS_PER_TASK)), "ask").mapInArrow(
+    probes = (asked.repartition(max(2, -(-n_asked // WALKS_PER_TASK)), "ask").mapInArrow(
         probe, f"id {id_type}, v array<double>, ask long, shard long, cells array<long>")
         .withColumn("block", F.pmod(F.xxhash64("ask", F.lit(1)), F.lit(blocks)).cast("int")))
     ranked = entries.groupBy("shard", "block").cogroup(probes.groupBy("shard", "block")).applyInPandas(
