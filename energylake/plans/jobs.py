@@ -9,6 +9,7 @@ from operator import add
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from energylake import fixed_values as fv
 from energylake.functions.columns import band_closed, col, finite, safe_ratio
@@ -159,7 +160,10 @@ def clean_day(spark: SparkSession, bronze: str, silver: str, staging: str, sketc
     known = history(read_layer(spark, sketches), spec)
     result = cl.clip_between(cl.fill_gaps(encoded, {c: m for c, m in known.medians.items() if c in names}),
                              {c: f for c, f in known.fences.items() if c in names})
-    replace_partitions(cl.log_transform(result, spec.logged), silver, [DAY])
+    result = cl.log_transform(result, spec.logged)
+    if isinstance(result.schema[DAY].dataType, T.DateType):  # a constant day is written without a sort of the rows, which spills
+        result = result.withColumn(DAY, F.lit(day).cast("date"))
+    replace_partitions(result, silver, [DAY])
     return known
 
 

@@ -2,6 +2,9 @@
 
 import json
 import os
+import pathlib
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -147,3 +150,37 @@ def test_only_the_partitions_of_the_rows_are_replaced(spark):
     with pytest.raises(Exception, match="no"):
         replace_partitions(failing, path, ["p"])
     assert sorted(map(tuple, read_layer(spark, path).collect())) == [(1, "a"), (3, "b"), (4, "c")]
+
+
+SPILL_EARLY = """
+import sys
+from energylake.queries import cleaning
+from energylake.session import build_session
+data, log, shared = sys.argv[1:]
+spark = build_session("spills", {
+    "spark.master": "local[2]", "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2", "spark.checkpoint.dir": shared,
+    "spark.shuffle.spill.numElementsForceSpillThreshold": "200",
+    "spark.eventLog.enabled": "true", "spark.eventLog.dir": "file://" + log, "spark.eventLog.compress": "false"})
+assert cleaning.quantiles_by_day(spark, data).count() == 5
+assert cleaning.silver_by_day(spark, data).count() == 4000
+spark.stop()
+"""
+
+
+def test_days_are_written_without_a_spill(spark, tmp_path):
+    """A sort of over 200 rows would spill here, as one of millions does."""
+    i = F.col("id")
+    spark.range(4000).select(
+        i.alias("l_orderkey"), *[(i % n + 1).alias(c) for c, n in (("l_partkey", 90), ("l_suppkey", 40))],
+        (i % 7 + 1).cast("int").alias("l_linenumber"), (i % 49 + 1).cast("double").alias("l_quantity"),
+        (i * 37 % 4000 + 0.25).cast("double").alias("l_extendedprice"), (i % 11 / 100).alias("l_discount"), (i % 9 / 100).alias("l_tax"),
+        F.element_at(F.array(*map(F.lit, "ANR")), (i % 3 + 1).cast("int")).alias("l_returnflag"), F.lit("O").alias("l_linestatus"),
+        F.when(i % 100 > 0, F.timestamp_seconds(757_382_400 + i * 37 % 4000 * 43_200)).alias("l_shipdate"),
+    ).coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    (tmp_path / "log").mkdir()
+    subprocess.run([sys.executable, "-c", SPILL_EARLY, *[str(tmp_path / n) for n in ("", "log", "shared")]], check=True,
+                   cwd=pathlib.Path(jobs.__file__).parents[2], timeout=240)
+    events = [json.loads(x) for f in (tmp_path / "log").rglob("events_*") for x in f.read_text().splitlines()]
+    metrics = [e["Task Metrics"] for e in events if e["Event"] == "SparkListenerTaskEnd"]
+    assert sum(m["Output Metrics"]["Records Written"] for m in metrics) > 20_000
+    assert sum(m["Memory Bytes Spilled"] + m["Disk Bytes Spilled"] for m in metrics) == 0
